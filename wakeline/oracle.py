@@ -7,6 +7,8 @@ Boxes, limits and code tables are printed from ``refdata`` as literals.
 from __future__ import annotations
 
 from wakeline import refdata as ref
+from wakeline.quality.expectations import Rule
+from wakeline.quality.suites import SUITES
 from wakeline.sources import events_adapter as adapter
 
 
@@ -82,7 +84,7 @@ DAY_TRACK = "OVER (PARTITION BY mmsi, date_day ORDER BY event_timestamp)"
 
 def _half_up(column: str, digits: int) -> str:
     """Rounding on the printed decimal digits, halves away from zero (20 digits hold every printed double here)."""
-    return f"round({column}::VARCHAR::DECIMAL(38, 20), {digits})::DOUBLE + 0.0::DOUBLE"
+    return f"(round({column}::VARCHAR::DECIMAL(38, 20), {digits})::DOUBLE + 0.0::DOUBLE)"
 
 
 # name -> (blocks it reads, SQL)
@@ -291,6 +293,67 @@ BLOCKS: dict[str, tuple[list[str], str]] = {
         SELECT rid + 1000000000000, mmsi, event_timestamp, 'LATE ' || vessel_name, 'r' || batch,
                ingested + INTERVAL 60 SECOND FROM renamed WHERE rid % 20 = 0"""),
 }
+# The mixed raw feed and the blocks built on it. Messages: 1 of 11 static, 1 of 11 of an unhandled type, 1 of 19 not
+# JSON, 1 of 13 without identity, 1 of 17 at latitude 91, 1 of 17 without own latitude (half of these have one in the
+# envelope).
+BLOCKS |= {
+    "feed": (["bronze"], f"""
+        SELECT rid, CASE WHEN rid % 11 = 1 THEN 'ShipStaticData' WHEN rid % 11 = 2 THEN 'BaseStationReport'
+                         ELSE 'PositionReport' END AS kind,
+               rid % 19 = 7 AS broken, CASE WHEN rid % 13 <> 4 THEN mmsi::BIGINT::VARCHAR END AS id,
+               CASE WHEN rid % 13 <> 4 THEN user_id END AS user_id,
+               CASE WHEN rid % 17 = 3 THEN 91::DOUBLE WHEN rid % 17 <> 5 THEN lat END AS own_lat,
+               CASE WHEN rid % 17 <> 5 OR rid % 2 = 0 THEN lat END AS meta_lat, lon, sog, cog, hd, nav, ship, t
+        FROM bronze"""),
+    "judged": (["feed"], """
+        SELECT *, CASE WHEN broken THEN 'invalid_json' WHEN kind = 'BaseStationReport' THEN 'unhandled_type'
+                       WHEN id IS NULL AND user_id IS NULL THEN 'missing_mmsi'
+                       WHEN kind = 'PositionReport' AND NOT coalesce(abs(coalesce(nullif(own_lat, 0), meta_lat)) <= 90
+                            AND abs(lon) <= 180, false) THEN 'invalid_position' END AS reject_reason
+        FROM feed"""),
+    "reports": (["feed"], "SELECT * FROM feed WHERE NOT broken AND kind = 'PositionReport'"),
+    "zoned": (["renamed"], f"""
+        SELECT *, {_port(3)}[port_no] AS port_name, {_port(4)}[port_no] AS port_country,
+               port_no IS NOT NULL AS is_in_port_zone,
+               sqrt(pow((latitude - {_port(0)}[port_no]) * 111, 2) + pow((longitude - {_port(1)}[port_no]) * 111, 2))
+                   AS distance_to_port_km
+        FROM renamed"""),
+}
+
+HALF = "TIMESTAMP '2024-01-02 12:00:00'"
+
+
+def _cutoff(table: str, column: str, hours: int) -> str:
+    return f"(SELECT max({column}) - INTERVAL {hours} HOUR FROM {table} WHERE {column} < {HALF})"
+
+
+BLOCKS |= {
+    "late_neighbours": (["stg", "dark"], f"""
+        SELECT *, lag(event_timestamp) {TRACK} AS before_ts, lag(latitude) {TRACK} AS before_lat,
+               lag(longitude) {TRACK} AS before_lon, lag(port_name) {TRACK} AS before_port
+        FROM stg WHERE event_timestamp >= {_cutoff('dark', 'signal_recovered_at', 6)}"""),
+    "late_gaps": (["late_neighbours"], BLOCKS["gaps"][1].replace("FROM neighbours", "FROM late_neighbours")),
+    "late_dark": (["late_gaps"], BLOCKS["dark"][1].replace("FROM gaps", "FROM late_gaps")),
+    "late_slow": (["slow", "loiter"], f"""
+        SELECT * FROM slow WHERE event_timestamp >= {_cutoff('loiter', 'window_start', 4)}"""),
+    "late_stays": (["late_slow"], BLOCKS["stays"][1].replace("FROM slow", "FROM late_slow")),
+    "late_loiter": (["late_stays"], BLOCKS["loiter"][1].replace("FROM stays", "FROM late_stays")),
+    "zoned_label": (["silver"], """
+        SELECT strftime(time_bucket(INTERVAL 5 MINUTE, event_timestamp), '%H:%M') AS t, count(*) AS n
+        FROM silver GROUP BY 1"""),
+    "minute_label": (["silver"], "SELECT strftime(event_timestamp, '%H:%M') AS t, count(*) AS n FROM silver GROUP BY 1"),
+    "last_alerts": (["alerts"], "SELECT * FROM alerts ORDER BY detected_at DESC, mmsi, alert_type LIMIT 50"),
+}
+
+
+def _hole(table: str, step: int) -> str:
+    minute = "left(t, 2)::INT * 60 + right(t, 2)::INT"
+    return f"""
+        SELECT after, t AS until, gap_minutes::INT AS gap_minutes FROM (
+            SELECT t, lag(t) OVER (ORDER BY t) AS after,
+                   {minute} - lag({minute}) OVER (ORDER BY t) - {step} AS gap_minutes FROM {table})
+        WHERE gap_minutes >= {step}"""
+
 
 SILVER_OUT = f"""mmsi, vessel_name, flag_country, latitude, longitude, ocean_region, port_name, port_country,
     is_in_port_zone, round(distance_to_port_km, 3) AS distance_to_port_km, speed_over_ground, course_over_ground,
@@ -360,6 +423,216 @@ FINAL: dict[str, tuple[list[str], str]] = {
         FROM twice QUALIFY row_number() OVER (PARTITION BY mmsi, event_timestamp ORDER BY ingested DESC, rid DESC) = 1"""),
 }
 
+ALERT_COLUMNS = "mmsi, alert_type, severity, description, latitude, longitude"
+KEPT = "dark_event_id, mmsi, gap_minutes, severity, event_date::VARCHAR AS event_date"
+FINAL |= {
+    "bronze_flatten": (["reports"], f"""
+        SELECT cog AS Cog, own_lat AS Latitude, lon AS Longitude, nav::DOUBLE AS NavigationalStatus, sog AS Sog,
+               hd::DOUBLE AS TrueHeading, user_id::DOUBLE AS UserID, true AS Valid, id AS MMSI, id AS MMSI_String,
+               ship AS ShipName, {_ts('t')} || '123 +0000 UTC' AS time_utc, '{ref.SOURCE_SYSTEM}' AS _source_system
+        FROM reports"""),
+    "bronze_validate": (["judged"], f"""
+        SELECT id AS MMSI, own_lat AS Latitude, lon AS Longitude, sog AS Sog, {_ts('t')} AS time_utc,
+               t::DATE::VARCHAR AS partition_date, hour(t)::INT AS partition_hour
+        FROM judged
+        WHERE reject_reason IS NULL AND kind = 'PositionReport' AND id IS NOT NULL AND own_lat BETWEEN -90 AND 90
+          AND lon BETWEEN -180 AND 180"""),
+    "bronze_rejected": (["reports"], f"""
+        SELECT id AS MMSI, own_lat AS Latitude, lon AS Longitude, ship AS ShipName,
+               {_ts('t')} || '123 +0000 UTC' AS time_utc
+        FROM reports WHERE id IS NULL OR own_lat IS NULL OR own_lat > 90"""),
+    "bronze_metadata": (["feed"], f"""
+        SELECT id AS MMSI, ship AS ShipName, (rid % 100)::INT AS Type, (rid + 9000000)::INT AS ImoNumber,
+               'C' || rid AS Callsign, ship AS Name, 'ROTTERDAM' AS Destination, 7.5::DOUBLE AS MaximumStaticDraught,
+               '{ref.SOURCE_SYSTEM}' AS _source_system, 'b' AS _batch_id, '{ref.PIPELINE_VERSION}' AS _pipeline_version
+        FROM feed WHERE NOT broken AND kind = 'ShipStaticData' AND id IS NOT NULL"""),
+    "route_messages": (["judged"], """
+        SELECT rid AS event_id, CASE WHEN reject_reason IS NULL THEN
+                   CASE kind WHEN 'PositionReport' THEN 'positions' ELSE 'metadata' END END AS route, reject_reason,
+               CASE WHEN NOT broken THEN strftime(t, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' END AS time_utc
+        FROM judged"""),
+    "normalize_time": (["feed"], f"""
+        SELECT rid AS event_id, CASE WHEN NOT broken THEN {_ts('t')} END AS time_utc FROM feed"""),
+    "stg_dedup": (["twice", "newest"], f"""
+        SELECT t.mmsi, {_ts('event_timestamp')} AS event_timestamp, t.vessel_name, batch AS _bronze_batch_id,
+               coalesce(vessel_type_normalized, 'unknown') AS vessel_type_normalized
+        FROM (SELECT * FROM twice WHERE mmsi NOT LIKE '0%' QUALIFY row_number() OVER
+                  (PARTITION BY mmsi, event_timestamp ORDER BY ingested DESC, batch DESC) = 1) t
+        LEFT JOIN newest n ON t.mmsi = n.mmsi"""),
+    "ocean_region_lookup": (["renamed"], """
+        SELECT ocean_region, count(*) AS n, min(latitude) AS south, max(latitude) AS north FROM renamed GROUP BY 1"""),
+    "port_zone_lookup": (["zoned"], """
+        SELECT port_name, port_country, is_in_port_zone, count(*) AS n, count(DISTINCT mmsi) AS vessels
+        FROM zoned GROUP BY ALL"""),
+    "port_distance": (["zoned"], """
+        SELECT mmsi, port_name, rid AS event_id, round(distance_to_port_km, 3) AS distance_to_port_km
+        FROM zoned WHERE is_in_port_zone"""),
+    "flag_lookup": (["bronze"], f"""
+        SELECT {_mid_case('mmsi')} AS flag_country, count(*) AS n, count(DISTINCT mmsi) AS vessels FROM bronze GROUP BY 1"""),
+    "nav_status_lookup": (["bronze"], f"""
+        SELECT nav::BIGINT AS code, {NAV} AS navigational_status, count(*) AS n FROM bronze GROUP BY ALL"""),
+    "ship_type_lookup": (["static"], f"""
+        SELECT kind::BIGINT AS code, {SHIP_TYPE} AS category, count(*) AS n FROM static GROUP BY ALL"""),
+    "speed_limit_lookup": (["stg"], f"""
+        SELECT vessel_type_normalized, {LIMIT} AS type_max_speed, count(*) AS n FROM stg GROUP BY ALL"""),
+    "masked_vessels": (["bronze"], "SELECT left(mmsi, 6) || '***' AS mmsi, count(*) AS n FROM bronze GROUP BY 1"),
+    "movement_deltas": (["silver"], f"""
+        SELECT mmsi, {_ts('event_timestamp')} AS event_timestamp, speed_change_rate, heading_change_degrees FROM silver"""),
+    "day_segments": (["seg"], f"""
+        SELECT mmsi, {_ts('event_timestamp')} AS event_timestamp, silence::DOUBLE AS minutes_since_prev,
+               round(km, 3) AS segment_distance_km FROM seg"""),
+    "loiter_candidates": (["slow"], f"""
+        SELECT mmsi, {_ts('event_timestamp')} AS event_timestamp, speed_over_ground, lat_cell, lon_cell FROM slow"""),
+    "incremental_cutoff": (["late_dark"], FINAL["vessel_dark_events"][1].replace("FROM dark", "FROM late_dark")),
+    "dark_events_incremental": (["dark"], FINAL["vessel_dark_events"][1]
+        + f" WHERE dark.signal_recovered_at >= {_cutoff('dark', 'signal_recovered_at', 6)}"),
+    "speed_anomalies_incremental": (["speed"], FINAL["vessel_speed_anomalies"][1]
+        + f" WHERE speed.event_timestamp >= {_cutoff('speed', 'event_timestamp', 2)}"),
+    "loitering_incremental": (["late_loiter"], FINAL["vessel_loitering"][1].replace("FROM loiter", "FROM late_loiter")),
+    "merge_upsert": (["dark"], f"""
+        SELECT {KEPT} FROM dark WHERE event_date < DATE '2024-01-02'
+        UNION ALL SELECT {KEPT.replace('severity', 'lower(severity)')} FROM dark WHERE event_date >= DATE '2024-01-02'"""),
+    "merge_sync_schema": (["dark"], """
+        SELECT dark_event_id, mmsi, CASE WHEN event_date >= DATE '2024-01-02' THEN lower(severity) ELSE severity END AS severity,
+               event_date::VARCHAR AS event_date, CASE WHEN event_date >= DATE '2024-01-02' THEN true END AS reviewed
+        FROM dark"""),
+    "risk_signals_30d": (["dark", "speed", "loiter"], """
+        WITH d AS (SELECT mmsi, count(*) AS dark_events,
+                          sum(CASE severity WHEN 'CRITICAL' THEN 3 WHEN 'HIGH' THEN 2 ELSE 1 END) AS dark_score,
+                          count(*) FILTER (reappeared_in_other_port) AS port_change_gaps FROM dark GROUP BY 1),
+             s AS (SELECT mmsi, count(*) AS speed_anomalies,
+                          count(*) FILTER (anomaly_type = 'GPS_SPOOFING') AS spoofing_signals,
+                          sum(speed_excess_knots) AS total_excess_knots FROM speed GROUP BY 1),
+             l AS (SELECT mmsi, count(*) AS loiter_events, sum(duration_minutes) AS total_loiter_minutes
+                   FROM loiter GROUP BY 1)
+        SELECT mmsi, coalesce(dark_events, 0) AS dark_events, coalesce(dark_score, 0)::BIGINT AS dark_score,
+               coalesce(port_change_gaps, 0) AS port_change_gaps, coalesce(speed_anomalies, 0) AS speed_anomalies,
+               coalesce(spoofing_signals, 0) AS spoofing_signals,
+               round(coalesce(total_excess_knots, 0), 3) AS total_excess_knots,
+               coalesce(loiter_events, 0) AS loiter_events, coalesce(total_loiter_minutes, 0)::BIGINT AS total_loiter_minutes
+        FROM d FULL JOIN s USING (mmsi) FULL JOIN l USING (mmsi)"""),
+    "null_profile": (["bronze"], """
+        SELECT "column", (SELECT count(*) FROM bronze) AS total, nulls,
+               round(nulls * 100e0 / (SELECT count(*) FROM bronze), 1) AS percent
+        FROM (SELECT 'MMSI' AS "column", count(*) - count(mmsi) AS nulls FROM bronze
+              UNION ALL SELECT 'Latitude', count(*) - count(lat) FROM bronze
+              UNION ALL SELECT 'Longitude', count(*) - count(lon) FROM bronze
+              UNION ALL SELECT 'Sog', count(*) - count(sog) FROM bronze
+              UNION ALL SELECT 'RateOfTurn', count(*) FROM bronze
+              UNION ALL SELECT '_source_file', count(*) FROM bronze
+              UNION ALL SELECT 'time_utc', count(*) - count(t) FROM bronze)"""),
+    "duplicate_audit": (["twice"], """
+        SELECT count(*) AS total_rows, count(DISTINCT (mmsi, event_timestamp)) AS distinct_keys,
+               count(*) - count(DISTINCT (mmsi, event_timestamp)) AS duplicate_rows,
+               (SELECT count(*) FROM (SELECT 1 FROM twice GROUP BY mmsi, event_timestamp HAVING count(*) > 1))
+                   AS duplicated_keys
+        FROM twice"""),
+    "duplicate_batches": (["twice"], f"""
+        SELECT batch AS _bronze_batch_id, count(*) AS rows_in_duplicated_groups, {_ts('min(ingested)')} AS processed_at
+        FROM twice SEMI JOIN (SELECT mmsi, event_timestamp FROM twice GROUP BY 1, 2 HAVING count(*) > 1)
+            USING (mmsi, event_timestamp) GROUP BY 1"""),
+    "layer_gap": (["reports"], f"""
+        SELECT sum(n)::BIGINT AS rows_read, sum(good)::BIGINT AS rows_written,
+               round(greatest(0, 1 - sum(good) / sum(n)::DOUBLE), 6) AS gap
+        FROM (SELECT date_trunc('minute', t) AS done, count(*) AS n,
+                     count(*) FILTER (id IS NOT NULL AND own_lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180) AS good
+              FROM reports GROUP BY 1)
+        WHERE done > {HALF} - INTERVAL 15 MINUTE AND done <= {HALF}"""),
+    "report_overview": (["silver"], f"""
+        SELECT count(*) AS positions, count(DISTINCT mmsi) AS vessels, count(DISTINCT flag_country) AS flags,
+               count(*) FILTER (is_in_port_zone) AS in_port, {_ts('min(event_timestamp)')} AS first_ts,
+               {_ts('max(event_timestamp)')} AS last_ts FROM silver"""),
+    "report_gold_totals": (["activity"], """
+        SELECT count(*) AS vessel_days, round(sum(estimated_distance_km)) AS km, sum(sharp_turns)::BIGINT AS sharp_turns,
+               sum(sudden_speed_changes)::BIGINT AS sudden_changes FROM activity"""),
+    "report_table_counts": (["activity", "stg", "erratic", "dark", "speed", "loiter", "risk"], """
+        SELECT 'vessel_activity_summary' AS t, count(*) AS n FROM activity
+        UNION ALL SELECT 'port_traffic', count(DISTINCT (port_name, date_day)) FROM stg WHERE port_name IS NOT NULL
+        UNION ALL SELECT 'vessel_erratic_course', count(*) FROM erratic
+        UNION ALL SELECT 'vessel_dark_events', count(*) FROM dark
+        UNION ALL SELECT 'vessel_speed_anomalies', count(*) FROM speed
+        UNION ALL SELECT 'vessel_loitering', count(*) FROM loiter
+        UNION ALL SELECT 'vessel_risk_score', count(*) FROM risk"""),
+    "report_top_flags": (["silver"], """
+        SELECT flag_country AS k, count(DISTINCT mmsi) AS n FROM silver WHERE flag_country IS NOT NULL
+        GROUP BY 1 ORDER BY n DESC, k LIMIT 10"""),
+    "report_regions": (["silver"], "SELECT ocean_region AS k, count(*) AS n FROM silver GROUP BY 1"),
+    "report_types": (["activity"], """
+        SELECT vessel_type AS k, count(*) AS n FROM activity GROUP BY 1 ORDER BY n DESC, k LIMIT 8"""),
+    "report_timeline": (["zoned_label"], "SELECT * FROM zoned_label"),
+    "report_timeline_gaps": (["zoned_label"], _hole("zoned_label", 5)),
+    "report_timeline_gaps_minute": (["minute_label"], _hole("minute_label", 1)),
+    "report_grid": (["silver"], f"""
+        SELECT ({_half_up('(latitude / 2)', 0)} * 2)::BIGINT AS la, ({_half_up('(longitude / 2)', 0)} * 2)::BIGINT AS lo,
+               count(*) AS n FROM silver GROUP BY 1, 2"""),
+    "report_top_ports": (["in_port", "first_entries"], f"""
+        SELECT port_name, port_country, unique_vessels, total_position_reports, cargo_vessels, tanker_vessels,
+               passenger_vessels, round(avg_speed_in_port, 1) AS avg_speed
+        FROM ({_port_traffic("first_entries")}) ORDER BY total_position_reports DESC, port_name, date_day LIMIT 8"""),
+    "report_top_risk": (["risk"], """
+        SELECT left(mmsi, 6) || '***' AS mmsi, flag_country, vessel_type_normalized AS t, dark_events_30d AS dark,
+               speed_anomalies_30d AS speed, spoofing_signals_30d AS spoof, loiter_events_30d AS loiter, risk_score
+        FROM risk ORDER BY risk_score DESC, risk.mmsi LIMIT 8"""),
+    "report_risk_histogram": (["risk"], "SELECT risk_score AS k, count(*) AS n FROM risk GROUP BY 1"),
+    "report_anomaly_buckets": (["speed"], """
+        SELECT CASE WHEN calculated_speed_knots < 35 THEN '14-35 kn' WHEN calculated_speed_knots < 100 THEN '35-100 kn'
+                    WHEN calculated_speed_knots < 1000 THEN '100-1,000 kn' ELSE 'over 1,000 kn' END AS k,
+               count(*) AS n, round(min(calculated_speed_knots), 3) AS lo FROM speed GROUP BY 1"""),
+    "report_case_file": (["speed", "silver"], f"""
+        WITH worst AS (SELECT mmsi, event_timestamp AS seen, calculated_speed_knots AS knots FROM speed
+                       ORDER BY knots DESC, mmsi, seen LIMIT 1)
+        SELECT left(p.mmsi, 6) || '***' AS mmsi, round(knots) AS speed_knots, {_ts('p.event_timestamp')} AS ts,
+               round(latitude, 3) AS lat, round(longitude, 3) AS lon, speed_over_ground AS sog, navigational_status AS status
+        FROM silver p JOIN worst ON p.mmsi = worst.mmsi AND p.event_timestamp BETWEEN seen - INTERVAL 60 SECOND AND seen
+        ORDER BY p.event_timestamp DESC LIMIT 2"""),
+    "alerts_by_type": (["last_alerts"], "SELECT alert_type, count(*) AS n FROM last_alerts GROUP BY 1"),
+    "latest_alerts": (["last_alerts"], f"SELECT detected_at, {ALERT_COLUMNS} FROM last_alerts ORDER BY detected_at DESC, mmsi, alert_type LIMIT 8"),
+    "vessel_alerts_stream": (["alerts"], f"SELECT {ALERT_COLUMNS} FROM alerts"),
+    "silver_stream": (["silver"], f"SELECT {SILVER_OUT} FROM silver"),
+}
+
+
+# Expectations: every rule as one SELECT over the model's block.
+
+MODEL_BLOCK = {
+    "silver_positions": ["silver"], "silver_metadata": ["metadata"], "vessel_activity_summary": ["activity"],
+    "port_traffic": ["in_port", "first_entries"], "vessel_erratic_course": ["erratic"], "vessel_dark_events": ["dark"],
+    "vessel_speed_anomalies": ["speed"], "vessel_loitering": ["loiter"], "vessel_risk_score": ["risk"],
+}
+
+
+def _rule_sql(rule: Rule) -> str:
+    column = rule.columns[0] if rule.columns else ""
+    keys = ", ".join(rule.columns)
+    if rule.kind == "not_null":
+        count = f"SELECT count(*) FROM model WHERE {column} IS NULL"
+    elif rule.kind == "accepted_values":
+        count = f"SELECT count(*) FROM model WHERE {column} NOT IN ({', '.join(map(_text, rule.values))})"
+    elif rule.kind == "not_constant":
+        count = f"SELECT CASE WHEN count(DISTINCT {column}) > 1 THEN 0 ELSE 1 END FROM model"
+    elif rule.kind == "is_true":
+        expression = rule.expression.replace("timestampdiff(MINUTE, ", "date_sub('minute', ")
+        count = f"SELECT count(*) FROM model WHERE NOT ({expression})"
+    else:
+        present = f"WHERE {column} IS NOT NULL" if rule.kind == "unique" else ""
+        count = f"SELECT count(*) FROM (SELECT 1 FROM model {present} GROUP BY {keys} HAVING count(*) > 1)"
+    return (
+        f"SELECT '{rule.name}' AS name, '{rule.kind}' AS kind, '{rule.severity}' AS severity, "
+        f"({count})::BIGINT AS failures, ({count}) = 0 AS passed"
+    )
+
+
+def _expectations(name: str) -> str:
+    source = MODEL_BLOCK[name][0] if name != "port_traffic" else f"({_port_traffic('first_entries')})"
+    clock = {"silver_metadata": ", processed_at AS processing_timestamp"}.get(name, ", now() AS gold_processed_at")
+    model = f"WITH model AS (SELECT *{clock} FROM {source})"
+    if name == "port_traffic":
+        model = f"WITH model AS (SELECT * REPLACE (date_day::DATE AS date_day){clock} FROM {source})"
+    return model + "\n" + "\nUNION ALL ".join(_rule_sql(r) for r in SUITES[name])
+
+
+FINAL |= {f"expectations_{name}": (blocks, _expectations(name)) for name, blocks in MODEL_BLOCK.items()}
+
 
 def _needed(names: list[str], seen: dict[str, None]) -> None:
     for name in names:
@@ -373,7 +646,7 @@ def sql(name: str) -> str:
     order: dict[str, None] = {}
     _needed(reads, order)
     blocks = ",\n".join(f"{b} AS ({BLOCKS[b][1]})" for b in order)
-    return f"WITH {blocks}\n{select}" if blocks else select
+    return f"WITH {blocks}\nSELECT * FROM ({select})"
 
 
 def oracle_sql() -> dict[str, str]:

@@ -5,18 +5,28 @@ Times and dates leave as text and clock stamps are left out, so results compare
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.functions.timeparts import stamp
+from wakeline.functions import clean, lookup
+from wakeline.functions.timeparts import normalize_time, stamp
 from wakeline.operators.dedup import dedup_latest
+from wakeline.operators.merge import merge_upsert
 from wakeline.operators.sequence import busy_days
 from wakeline.plans import activity, alerts, bronze, dark, erratic, loiter, ports, reports, risk, silver, speed, staging
-from wakeline.session import use_utc
+from wakeline.quality.expectations import expect
+from wakeline.quality.suites import SUITES
+from wakeline.schemas import RAW_POSITION, RAW_STATIC
+from wakeline.session import shared_dir, use_utc
 from wakeline.sources import events_adapter as adapter
+from wakeline.sources import layers, routing
+from wakeline.sources.streams import parse_json
+from wakeline.streaming import alerts as live
+from wakeline.streaming import ingest
 
 CLOCK_COLUMNS = ("gold_processed_at", "processing_timestamp", "ingestion_timestamp", "_ingestion_date")
 
@@ -50,6 +60,19 @@ class Frames:
     def table(self, name: str) -> DataFrame:
         return adapter.table(self.spark, self.sf_dir, name)
 
+    def event_stream(self) -> DataFrame:
+        """The events file as a stream source."""
+        schema = self.table("events").schema
+        return self.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(self.sf_dir)
+
+    def scratch(self, name: str) -> str:
+        """A new folder in the shared directory for one run of a stream."""
+        return f"{shared_dir(self.spark)}/{name}-{uuid.uuid4().hex}"
+
+    @cached_property
+    def raw(self) -> DataFrame:
+        return adapter.raw_messages(self.table("events"))
+
     @cached_property
     def bronze(self) -> DataFrame:
         return adapter.bronze_from_events(self.table("events"))
@@ -150,6 +173,259 @@ QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
 }
 
 
+# Bronze -------------------------------------------------------------------------------------------------------------
+
+
+def bronze_flatten(f: Frames) -> DataFrame:
+    """Raw JSON text -> flat columns; unreadable texts and other message types drop out."""
+    return comparable(
+        bronze.flatten_positions(parse_json(f.raw, RAW_POSITION)).drop(
+            "CommunicationState", "MessageID", "PositionAccuracy", "Raim", "RateOfTurn", "RepeatIndicator", "Spare",
+            "SpecialManoeuvreIndicator", "Timestamp",
+        ),
+        doubles=("UserID", "TrueHeading", "NavigationalStatus"),
+    )
+
+
+def bronze_validate(f: Frames) -> DataFrame:
+    """Accepted rows with event time, day and hour."""
+    positions, _, _ = routing.route_messages(f.raw)
+    rows = bronze.bronze_positions(positions, "b")
+    return comparable(rows.select("MMSI", "Latitude", "Longitude", "Sog", "time_utc", "partition_date", "partition_hour"))
+
+
+def bronze_rejected(f: Frames) -> DataFrame:
+    rows = bronze.rejected_positions(bronze.flatten_positions(parse_json(f.raw, RAW_POSITION)))
+    return comparable(rows.select("MMSI", "Latitude", "Longitude", "ShipName", "time_utc"))
+
+
+def bronze_metadata(f: Frames) -> DataFrame:
+    rows = bronze.bronze_metadata(parse_json(f.raw, RAW_STATIC), "b")
+    return comparable(rows.drop("partition_date"))
+
+
+def route_messages(f: Frames) -> DataFrame:
+    routed = routing.classify_messages(f.raw)
+    return routed.select("event_id", "route", "reject_reason", F.col("MetaData.time_utc").alias("time_utc"))
+
+
+def normalized_time(f: Frames) -> DataFrame:
+    text = F.get_json_object("value", "$.MetaData.time_utc")
+    return comparable(f.raw.select("event_id", normalize_time(text).alias("time_utc")))
+
+
+# Building blocks ----------------------------------------------------------------------------------------------------
+
+
+def stg_dedup(f: Frames) -> DataFrame:
+    """Staging over silver that holds replayed rows: the newest copy wins."""
+    twice = silver.select_silver(
+        silver.with_port_zone(silver.with_ocean_region(f.replayed_silver)).withColumns({
+            "speed_change_rate": F.lit(None).cast("double"), "heading_change_degrees": F.lit(None).cast("double"),
+            "processing_timestamp": F.col("ingestion_timestamp"),
+        })
+    )
+    rows = staging.stg_vessel_positions(twice, f.metadata, dedup=True, meta_tie_break=("_row_id",))
+    return comparable(rows.select("mmsi", "event_timestamp", "vessel_name", "_bronze_batch_id", "vessel_type_normalized"))
+
+
+def speed_limits(f: Frames) -> DataFrame:
+    limit = lookup.speed_limit(F.col("vessel_type_normalized")).alias("type_max_speed")
+    return f.stg.select("vessel_type_normalized", limit).groupBy("vessel_type_normalized", "type_max_speed").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+def first_half(f: Frames, model: DataFrame, moment: str) -> DataFrame:
+    """A gold table as it was stored on the second day at noon."""
+    return model.filter(F.col(moment) < F.lit("2024-01-02 12:00:00").cast("timestamp"))
+
+
+def dark_incremental(f: Frames, compat: bool) -> DataFrame:
+    target = first_half(f, f.dark, "signal_recovered_at")
+    events = dark.vessel_dark_events(f.stg, target=target, compat=compat, busy=f.busy)
+    return comparable(events, thousandths=("displacement_km",))
+
+
+def speed_incremental(f: Frames) -> DataFrame:
+    target = first_half(f, f.speed, "event_timestamp")
+    events = speed.vessel_speed_anomalies(f.stg, target=target, busy=f.busy)
+    return comparable(events, thousandths=("calculated_speed_knots", "speed_excess_knots"))
+
+
+def loiter_incremental(f: Frames) -> DataFrame:
+    target = first_half(f, f.loiter, "window_start")
+    stays = loiter.vessel_loitering(f.stg, target=target)
+    return comparable(stays, thousandths=("avg_speed_knots", "avg_heading_change"))
+
+
+def _merge_sides(f: Frames) -> tuple[DataFrame, DataFrame]:
+    events = f.dark.select("dark_event_id", "mmsi", "gap_minutes", "severity", "event_date")
+    target = events.filter(F.col("event_date") <= F.lit("2024-01-02").cast("date"))
+    updates = events.filter(F.col("event_date") >= F.lit("2024-01-02").cast("date"))
+    return target, updates.withColumn("severity", F.lower("severity"))
+
+
+def merge_upsert_query(f: Frames) -> DataFrame:
+    target, updates = _merge_sides(f)
+    return comparable(merge_upsert(target, updates, "dark_event_id"))
+
+
+def merge_sync_schema(f: Frames) -> DataFrame:
+    """The updates bring a new column and drop one."""
+    target, updates = _merge_sides(f)
+    changed = updates.drop("gap_minutes").withColumn("reviewed", F.lit(True))
+    return comparable(merge_upsert(target, changed, "dark_event_id", sync_schema=True))
+
+
+def risk_signals(f: Frames) -> DataFrame:
+    """The three 30-day aggregates side by side, for vessels that have any of them."""
+    parts = [
+        risk.dark_30d(f.dark, adapter.AS_OF),
+        risk.speed_30d(f.speed, adapter.AS_OF),
+        risk.loiter_30d(f.loiter, adapter.AS_OF),
+    ]
+    both = parts[0].join(parts[1], "mmsi", "full").join(parts[2], "mmsi", "full")
+    counts = [c for c in both.columns if c not in ("mmsi", "total_excess_knots")]
+    return comparable(both.na.fill(0, counts).na.fill(0.0, ["total_excess_knots"]), thousandths=("total_excess_knots",))
+
+
+def layer_audit(f: Frames) -> DataFrame:
+    """Audit rows of the bronze layer, one per source batch: messages read, rows accepted, last arrival."""
+    flat = bronze.flatten_positions(parse_json(f.raw, RAW_POSITION))
+    timed = flat.withColumn("at", normalize_time(F.col("time_utc")))
+    good = F.coalesce(bronze.is_possible_position(), F.lit(False))
+    return timed.groupBy(F.date_trunc("MINUTE", "at").alias("finished_at")).agg(
+        F.lit("bronze_positions").alias("layer"),
+        F.count(F.lit(1)).alias("rows_read"),
+        F.count_if(good).alias("rows_written"),
+    )
+
+
+def expectations(name: str) -> Callable[[Frames], DataFrame]:
+    attribute = {
+        "silver_positions": "silver", "silver_metadata": "metadata", "vessel_activity_summary": "activity",
+        "port_traffic": "ports", "vessel_erratic_course": "erratic", "vessel_dark_events": "dark",
+        "vessel_speed_anomalies": "speed", "vessel_loitering": "loiter", "vessel_risk_score": "risk",
+    }[name]
+    return lambda f: expect(getattr(f, attribute), SUITES[name])
+
+
+# Streams ------------------------------------------------------------------------------------------------------------
+
+
+def vessel_alerts_stream(f: Frames) -> DataFrame:
+    """The stateful alert stream over the events file, drained into a Parquet folder and read back."""
+    positions = adapter.bronze_from_events(f.event_stream()).select(
+        "MMSI", "Latitude", "Longitude", "Sog", stamp(F.col("time_utc")).alias("time_utc")
+    )
+    out = f.scratch("alerts")
+    live.start_alert_stream(
+        live.vessel_alerts(positions), "parquet", f"{out}/checkpoint", trigger={"availableNow": True},
+        name=None, keyed_json=False, path=f"{out}/rows",
+    ).awaitTermination()
+    return f.spark.read.parquet(f"{out}/rows").drop("detected_at")
+
+
+def silver_stream(f: Frames) -> DataFrame:
+    """Silver through micro-batches with one folder per batch, read back as a table."""
+    out = f.scratch("silver")
+    ingest.start(
+        adapter.bronze_from_events(f.event_stream()), ingest.silver_batch(f"{out}/rows"), f"{out}/checkpoint",
+        name=None, trigger={"availableNow": True},
+    ).awaitTermination()
+    rows = f.spark.read.parquet(f"{out}/rows").drop("batch", "partition_date", "_silver_batch_id")
+    return comparable(rows, thousandths=("distance_to_port_km",), doubles=("heading",))
+
+
+QUERIES |= {
+    "bronze_flatten": bronze_flatten,
+    "bronze_validate": bronze_validate,
+    "bronze_rejected": bronze_rejected,
+    "bronze_metadata": bronze_metadata,
+    "route_messages": route_messages,
+    "normalize_time": normalized_time,
+    "stg_dedup": stg_dedup,
+    "ocean_region_lookup": lambda f: silver.with_ocean_region(silver.rename_positions(f.bronze)).groupBy(
+        "ocean_region"
+    ).agg(F.count(F.lit(1)).alias("n"), F.min("latitude").alias("south"), F.max("latitude").alias("north")),
+    "port_zone_lookup": lambda f: silver.with_port_zone(silver.rename_positions(f.bronze)).groupBy(
+        "port_name", "port_country", "is_in_port_zone"
+    ).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("mmsi").alias("vessels")),
+    "port_distance": lambda f: silver.with_port_zone(silver.rename_positions(f.bronze)).filter("is_in_port_zone").select(
+        "mmsi", "port_name", F.col("_row_id").alias("event_id"), F.round("distance_to_port_km", 3).alias("distance_to_port_km")
+    ),
+    "flag_lookup": lambda f: f.bronze.select("MMSI", lookup.flag_of(F.col("MMSI")).alias("flag_country")).groupBy(
+        "flag_country"
+    ).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("MMSI").alias("vessels")),
+    "nav_status_lookup": lambda f: f.bronze.groupBy(
+        F.col("NavigationalStatus").cast("bigint").alias("code"),
+        lookup.nav_label(F.col("NavigationalStatus")).alias("navigational_status"),
+    ).agg(F.count(F.lit(1)).alias("n")),
+    "ship_type_lookup": lambda f: adapter.metadata_from_orders(f.table("orders")).groupBy(
+        F.col("Type").cast("bigint").alias("code"), lookup.ship_category(F.col("Type")).alias("category")
+    ).agg(F.count(F.lit(1)).alias("n")),
+    "speed_limit_lookup": speed_limits,
+    "masked_vessels": lambda f: f.bronze.groupBy(clean.mask_mmsi(F.col("MMSI")).alias("mmsi")).agg(
+        F.count(F.lit(1)).alias("n")
+    ),
+    "movement_deltas": lambda f: comparable(
+        f.silver.select("mmsi", "event_timestamp", "speed_change_rate", "heading_change_degrees")
+    ),
+    "day_segments": lambda f: comparable(
+        activity.day_segments(f.stg, f.busy).select("mmsi", "event_timestamp", "minutes_since_prev", "segment_distance_km"),
+        thousandths=("segment_distance_km",), doubles=("minutes_since_prev",),
+    ),
+    "loiter_candidates": lambda f: comparable(
+        loiter.loiter_candidates(f.stg).select("mmsi", "event_timestamp", "speed_over_ground", "lat_cell", "lon_cell")
+    ),
+    "incremental_cutoff": lambda f: dark_incremental(f, compat=True),
+    "dark_events_incremental": lambda f: dark_incremental(f, compat=False),
+    "speed_anomalies_incremental": speed_incremental,
+    "loitering_incremental": loiter_incremental,
+    "merge_upsert": merge_upsert_query,
+    "merge_sync_schema": merge_sync_schema,
+    "risk_signals_30d": risk_signals,
+    "null_profile": lambda f: layers.null_profile(
+        f.bronze, ["MMSI", "Latitude", "Longitude", "Sog", "RateOfTurn", "_source_file", "time_utc"]
+    ),
+    "duplicate_audit": lambda f: layers.duplicate_audit(f.replayed_silver),
+    "duplicate_batches": lambda f: comparable(
+        layers.duplicate_batches(f.replayed_silver, processed="ingestion_timestamp")
+    ),
+    "layer_gap": lambda f: layer_gap(f),
+    "report_overview": lambda f: comparable(reports.report_overview(f.silver)),
+    "report_gold_totals": lambda f: reports.report_gold_totals(f.activity),
+    "report_table_counts": lambda f: reports.report_table_counts({
+        "vessel_activity_summary": f.activity, "port_traffic": f.ports, "vessel_erratic_course": f.erratic,
+        "vessel_dark_events": f.dark, "vessel_speed_anomalies": f.speed, "vessel_loitering": f.loiter,
+        "vessel_risk_score": f.risk,
+    }),
+    "report_top_flags": lambda f: reports.report_top_flags(f.silver),
+    "report_regions": lambda f: reports.report_regions(f.silver),
+    "report_types": lambda f: reports.report_types(f.activity),
+    "report_timeline": lambda f: reports.report_timeline(f.silver),
+    "report_timeline_gaps": lambda f: reports.report_timeline_gaps(f.silver),
+    "report_timeline_gaps_minute": lambda f: reports.report_timeline_gaps(f.silver, seconds=60),
+    "report_grid": lambda f: reports.report_grid(f.silver),
+    "report_top_ports": lambda f: reports.report_top_ports(f.ports),
+    "report_top_risk": lambda f: reports.report_top_risk(f.risk),
+    "report_risk_histogram": lambda f: reports.report_risk_histogram(f.risk),
+    "report_anomaly_buckets": lambda f: comparable(reports.report_anomaly_buckets(f.speed), thousandths=("lo",)),
+    "report_case_file": lambda f: comparable(reports.report_case_file(f.speed, f.silver)),
+    "alerts_by_type": lambda f: reports.alerts_by_type(f.alerts),
+    "latest_alerts": lambda f: reports.latest_alerts(f.alerts),
+    "vessel_alerts_stream": vessel_alerts_stream,
+    "silver_stream": silver_stream,
+    **{f"expectations_{name}": expectations(name) for name in SUITES},
+}
+
+
+def layer_gap(f: Frames) -> DataFrame:
+    gap = reports.layer_gap(layer_audit(f), minutes=15, as_of="2024-01-02 12:00:00")
+    return gap.withColumn("gap", F.round("gap", 6))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(build: Callable[[Frames], DataFrame]):
         return lambda spark, sf_dir: build(Frames(spark, sf_dir))

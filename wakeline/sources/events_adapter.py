@@ -105,15 +105,16 @@ def raw_messages(events: DataFrame) -> DataFrame:
     """
     bronze = bronze_from_events(events).withColumn("e", F.col("_row_id"))
     e = F.col("e")
+    user = F.when(e % 13 != 4, F.col("UserID"))
     report = F.struct(*[
         {
             "Latitude": F.when(e % 17 == 3, F.lit(91.0)).when(e % 17 != 5, F.col("Latitude")),
-            "UserID": F.when(e % 13 != 4, F.col("UserID")),
+            "UserID": user,
         }.get(name, F.col(name)).alias(name)
         for name in schemas.names(schemas.POSITION_REPORT)
     ])
     static = F.struct(
-        F.col("UserID"), (e % 100).cast("int").alias("Type"), (e + 9_000_000).cast("int").alias("ImoNumber"),
+        user.alias("UserID"), (e % 100).cast("int").alias("Type"), (e + 9_000_000).cast("int").alias("ImoNumber"),
         F.concat(F.lit("C"), e.cast("string")).alias("Callsign"), F.col("ShipName").alias("Name"),
         F.lit("ROTTERDAM").alias("Destination"), F.lit(7.5).cast("float").alias("MaximumStaticDraught"),
     )
