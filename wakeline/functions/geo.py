@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,37 +27,38 @@ def flat_km(dlat: Column, dlon: Column) -> Column:
     return F.sqrt(y * y + x * x)
 
 
-def _first_match(tests: list[tuple[Column, Column]], otherwise: Column) -> Column:
-    """CASE WHEN t1 THEN v1 WHEN t2 THEN v2 ... ELSE otherwise."""
-    (test, value), *rest = tests
-    return reduce(lambda chain, tv: chain.when(*tv), rest, F.when(test, value)).otherwise(otherwise)
+def _sql_text(value: str | float) -> str:
+    return f"'{value}'" if isinstance(value, str) else f"{value!r}D"
+
+
+def _first_match(tests: list[str], values: list[str], otherwise: str) -> Column:
+    """CASE over many boxes, handed over as one SQL text: one call instead of hundreds."""
+    branches = " ".join(f"WHEN {test} THEN {value}" for test, value in zip(tests, values))
+    return F.expr(f"CASE {branches} ELSE {otherwise} END")
 
 
-def ocean_region(lat: Column, lon: Column) -> Column:
-    return _first_match(
-        [
-            (lat.between(south, north) & lon.between(west, east), F.lit(name))
-            for south, north, west, east, name in ref.OCEAN_BOXES
-        ],
-        F.lit(ref.OCEAN_FALLBACK),
-    )
+def ocean_region(lat: str = "latitude", lon: str = "longitude") -> Column:
+    tests = [
+        f"({lat} BETWEEN {south!r}D AND {north!r}D AND {lon} BETWEEN {west!r}D AND {east!r}D)"
+        for south, north, west, east, _ in ref.OCEAN_BOXES
+    ]
+    return _first_match(tests, [_sql_text(box[4]) for box in ref.OCEAN_BOXES], _sql_text(ref.OCEAN_FALLBACK))
 
 
-def port_number(lat: Column, lon: Column) -> Column:
+def port_number(lat: str = "latitude", lon: str = "longitude") -> Column:
     """1-based position in the port table, null outside every box; a later entry wins an overlap."""
-    numbered = list(enumerate(ref.PORT_BOXES, start=1))
-    return _first_match(
-        [
-            ((F.abs(lat - plat) <= half) & (F.abs(lon - plon) <= half), F.lit(number))
-            for number, (plat, plon, half, _, _) in reversed(numbered)
-        ],
-        F.lit(None).cast("int"),
-    )
+    numbered = list(enumerate(ref.PORT_BOXES, start=1))[::-1]
+    tests = [
+        f"(abs({lat} - {plat!r}D) <= {half!r}D AND abs({lon} - {plon!r}D) <= {half!r}D)"
+        for _, (plat, plon, half, _, _) in numbered
+    ]
+    return _first_match(tests, [str(number) for number, _ in numbered], "CAST(NULL AS INT)")
 
 
-def port_attribute(number: Column, field: int) -> Column:
+def port_attribute(number: str, field: int) -> Column:
     """One field of the port table by port number (null in, null out)."""
-    return F.get(F.array(*[F.lit(port[field]) for port in ref.PORT_BOXES]), number - 1)
+    values = ", ".join(_sql_text(port[field]) for port in ref.PORT_BOXES)
+    return F.expr(f"get(array({values}), {number} - 1)")
 
 
 def grid_cell(value: Column, step: float) -> Column:

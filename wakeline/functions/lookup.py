@@ -11,7 +11,8 @@ from wakeline import refdata as ref
 
 
 def _map_literal(table: dict) -> Column:
-    return F.create_map(*[F.lit(x) for x in chain.from_iterable(table.items())])
+    """The table as one SQL text; Catalyst folds it into a constant."""
+    return F.expr("map(" + ", ".join(repr(x) for x in chain.from_iterable(table.items())) + ")")
 
 
 def flag_of(mmsi: Column) -> Column:
@@ -26,13 +27,13 @@ def nav_label(code: Column) -> Column:
 
 def ship_category(code: Column) -> Column:
     """Category of a ship-type code; unlisted codes are "other", null stays null."""
-    labelled = F.when(code.isNull(), F.lit(None).cast("string"))
-    for low, high, label in ref.SHIP_TYPE_RANGES:
-        labelled = labelled.when(code.between(low, high), label)
-    return labelled.otherwise(ref.SHIP_TYPE_FALLBACK)
+    table = {code: label for low, high, label in ref.SHIP_TYPE_RANGES for code in range(low, high + 1)}
+    known = F.coalesce(F.try_element_at(_map_literal(table), code), F.lit(ref.SHIP_TYPE_FALLBACK))
+    return F.when(code.isNotNull(), known)
 
 
 def speed_limit(category: Column) -> Column:
     """Knots allowed for a ship category: eleven fixed rows, so a map literal instead of a join."""
-    limit = F.try_element_at(_map_literal(ref.SPEED_LIMIT_KNOTS), category)
+    table = ", ".join(f"'{name}', {knots!r}D" for name, knots in ref.SPEED_LIMIT_KNOTS.items())
+    limit = F.try_element_at(F.expr(f"map({table})"), category)
     return F.coalesce(limit, F.lit(ref.DEFAULT_SPEED_LIMIT_KNOTS))

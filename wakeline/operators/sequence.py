@@ -1,44 +1,64 @@
-"""Previous-row values along each vessel's track, without putting a whole vessel into one task.
+"""Previous-row values along each vessel's track, without putting a whole hot vessel into one task.
 
-A plain ``lag`` over ``partitionBy(vessel)`` sorts everything a vessel ever sent in a single task, which
-breaks as soon as one MMSI (a shared default number, say) holds a large share of the rows. Here a track is cut
-into chunks of one day, and days that are still too large into equal time slices. ``lag`` runs inside the
-chunks; the first row of a chunk then takes its predecessor from the edge rows (first and last row of every
+A plain ``lag`` over ``partitionBy(vessel)`` sorts everything a vessel ever sent in a single task, which breaks as
+soon as one MMSI (a shared default number, say) holds a large share of the rows. So the rows per key are counted
+first, from two columns. While every key is small enough the plain window is used: one shuffle, one sort. Otherwise
+each track is cut into chunks of one day, and days that are still too large into equal time slices: ``lag`` runs
+inside the chunks, and the first row of a chunk takes its predecessor from the edge rows (first and last row of every
 chunk), a set of two rows per chunk.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DAY_SECONDS = 86_400
-ROWS_PER_SLICE = 2_000_000
+ROWS_PER_WINDOW = 2_000_000
+
+
+@dataclass(frozen=True)
+class TrackLayout:
+    """How tracks are windowed: whole keys, or day chunks with ``busy`` days cut further."""
+
+    whole_keys: bool
+    busy: DataFrame | None = None
+
+
+WHOLE_KEYS = TrackLayout(True)
+
+
+def track_layout(df: DataFrame, key: str, time: str, rows_per_window: int = ROWS_PER_WINDOW) -> TrackLayout:
+    """Count the rows per key (combined before the shuffle) and choose. An upper bound will do: count the stored
+    rows before filters and joins, and pass the layout on to every model built on them."""
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    if per_key.filter(F.col("_rows") > rows_per_window).isEmpty():
+        return WHOLE_KEYS
+    return TrackLayout(False, busy_days(df, key, time, rows_per_window))
 
 
-def busy_days(df: DataFrame, key: str, time: str, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
-    """(key, day, number of slices) for every key-day with more than ``rows_per_slice`` rows.
+def busy_days(df: DataFrame, key: str, time: str, rows_per_window: int = ROWS_PER_WINDOW) -> DataFrame:
+    """(key, day, number of slices) for every key-day with more than ``rows_per_window`` rows.
 
-    At most rows/rows_per_slice key-days can qualify, so the result is small by construction. The count reads
-    two columns and is combined before its shuffle.
+    At most rows/rows_per_window key-days can qualify, so the result is small by construction.
     """
     return (
         df.groupBy(F.col(key).alias("_busy_key"), F.to_date(time).alias("_busy_day"))
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > rows_per_slice)
-        .select("_busy_key", "_busy_day", F.ceil(F.col("_rows") / rows_per_slice).alias("_slices"))
+        .filter(F.col("_rows") > rows_per_window)
+        .select("_busy_key", "_busy_day", F.ceil(F.col("_rows") / rows_per_window).alias("_slices"))
     )
 
 
-def with_chunks(df: DataFrame, key: str, time: str, busy: DataFrame | None) -> DataFrame:
+def with_chunks(df: DataFrame, key: str, time: str, busy: DataFrame) -> DataFrame:
     """Add ``_day`` and ``_slice``; together with the key they name one chunk of a track."""
     df = df.withColumn("_day", F.to_date(time))
-    if busy is None:
-        return df.withColumn("_slice", F.lit(0).cast("long"))
     second_of_day = F.unix_micros(time) / F.lit(1e6) % DAY_SECONDS
     return (
         df.join(
-            F.broadcast(busy),  # bounded: at most one row per ROWS_PER_SLICE input rows
+            F.broadcast(busy),  # bounded: at most one row per ROWS_PER_WINDOW input rows
             F.col(key).eqNullSafe(F.col("_busy_key")) & F.col("_day").eqNullSafe(F.col("_busy_day")),
             "left",
         )
@@ -54,33 +74,30 @@ def with_previous(
     time: str = "event_timestamp",
     ties: tuple[str, ...] = (),
     per_day: bool = False,
-    busy: DataFrame | None = None,
-    whole_keys: bool = False,
+    layout: TrackLayout | None = None,
 ) -> DataFrame:
     """Add ``new_name -> value of column in the key's previous row`` for every entry of ``columns``.
 
-    ``per_day`` restarts the track at midnight. ``whole_keys=True`` keeps each key in one window, which is only
-    meant for frames of a known small size such as one micro-batch.
+    ``per_day`` restarts the track at midnight. Without a ``layout`` the frame is counted first.
     """
+    layout = layout or track_layout(df, key, time)
     order = [F.col(time), *[F.col(c) for c in ties]]
     earlier_row = F.struct(*[F.col(source).alias(name) for name, source in columns.items()])
 
     def unpack(frame: DataFrame) -> DataFrame:
         return frame.withColumns({name: F.col(f"_prev.{name}") for name in columns}).drop("_prev")
 
-    if whole_keys:
+    if layout.whole_keys:
         days = [F.to_date(time)] if per_day else []
         window = Window.partitionBy(key, *days).orderBy(*order)
         return unpack(df.withColumn("_prev", F.lag(earlier_row).over(window)))
 
-    chunked = with_chunks(df, key, time, busy)
+    chunked = with_chunks(df, key, time, layout.busy)
     window = Window.partitionBy(key, "_day", "_slice").orderBy(*order)
     inside = chunked.withColumns({
         "_prev": F.lag(earlier_row).over(window),
         "_next": F.lead(F.lit(True)).over(window),
     })
-    if per_day and busy is None:
-        return unpack(inside.drop("_day", "_slice", "_next"))
 
     track = [key, "_day"] if per_day else [key]
     starts = F.col("_prev").isNull()

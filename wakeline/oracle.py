@@ -612,6 +612,7 @@ def _rule_sql(rule: Rule) -> str:
         count = f"SELECT CASE WHEN count(DISTINCT {column}) > 1 THEN 0 ELSE 1 END FROM model"
     elif rule.kind == "is_true":
         expression = rule.expression.replace("timestampdiff(MINUTE, ", "date_sub('minute', ")
+        expression = expression.replace("current_timestamp()", "now()").replace("current_date()", "current_date")
         count = f"SELECT count(*) FROM model WHERE NOT ({expression})"
     else:
         present = f"WHERE {column} IS NOT NULL" if rule.kind == "unique" else ""

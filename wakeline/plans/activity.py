@@ -7,19 +7,17 @@ from pyspark.sql import functions as F
 
 from wakeline.functions.geo import flat_km
 from wakeline.functions.timeparts import elapsed
-from wakeline.operators.sequence import busy_days, with_previous
+from wakeline.operators.sequence import TrackLayout, with_previous
 
 
 def avg_if(condition: Column, value: Column) -> Column:
     return F.avg(F.when(condition, value))
 
 
-def day_segments(stg: DataFrame, busy: DataFrame | None = None) -> DataFrame:
+def day_segments(stg: DataFrame, layout: TrackLayout | None = None) -> DataFrame:
     """Minutes and flat distance since the vessel's previous row of the same day (first row: null and 0)."""
-    if busy is None:
-        busy = busy_days(stg, "mmsi", "event_timestamp")
     before = with_previous(
-        stg, {"_before": "event_timestamp", "_lat": "latitude", "_lon": "longitude"}, per_day=True, busy=busy
+        stg, {"_before": "event_timestamp", "_lat": "latitude", "_lon": "longitude"}, per_day=True, layout=layout
     )
     step = flat_km(F.col("latitude") - F.col("_lat"), F.col("longitude") - F.col("_lon"))
     return before.withColumns({
@@ -28,7 +26,7 @@ def day_segments(stg: DataFrame, busy: DataFrame | None = None) -> DataFrame:
     }).drop("_before", "_lat", "_lon")
 
 
-def vessel_activity_summary(stg: DataFrame, busy: DataFrame | None = None) -> DataFrame:
+def vessel_activity_summary(stg: DataFrame, layout: TrackLayout | None = None) -> DataFrame:
     """One row per (mmsi, day). Text columns are the lexical maximum of the day."""
     speed = F.col("speed_over_ground")
     change = F.col("speed_change_rate")
@@ -36,7 +34,7 @@ def vessel_activity_summary(stg: DataFrame, busy: DataFrame | None = None) -> Da
     gap = F.col("minutes_since_prev")
     in_port = F.coalesce("is_in_port_zone", F.lit(False))
     first, last = F.min("event_timestamp"), F.max("event_timestamp")
-    return day_segments(stg, busy).groupBy("mmsi", "date_day").agg(
+    return day_segments(stg, layout).groupBy("mmsi", "date_day").agg(
         F.max("vessel_name").alias("vessel_name"),
         F.max("flag_country").alias("flag_country"),
         F.max("vessel_type_normalized").alias("vessel_type"),

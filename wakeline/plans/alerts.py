@@ -10,7 +10,7 @@ from wakeline import schemas
 from wakeline.functions.clean import clean_sog
 from wakeline.functions.geo import haversine_nm
 from wakeline.functions.timeparts import as_timestamp, seconds_between, stamp
-from wakeline.operators.sequence import busy_days, with_previous
+from wakeline.operators.sequence import TrackLayout, with_previous
 
 
 def has_coordinates() -> Column:
@@ -23,7 +23,7 @@ def alert_text(speed: Column, sog: Column, change: Column) -> Column:
     return F.format_string("calculated_speed=%.1fkn reported_sog=%skn speed_change=%.1fkn", speed, reported, change)
 
 
-def vessel_alerts_batch(bronze: DataFrame, ties: tuple[str, ...] = (), busy: DataFrame | None = None) -> DataFrame:
+def vessel_alerts_batch(bronze: DataFrame, ties: tuple[str, ...] = (), layout: TrackLayout | None = None) -> DataFrame:
     """Compare every position with the vessel's previous one; same rules and columns as the stream.
 
     Elapsed time is fractional here, and an unknown speed is no evidence of a speed change.
@@ -32,11 +32,9 @@ def vessel_alerts_batch(bronze: DataFrame, ties: tuple[str, ...] = (), busy: Dat
         F.col("MMSI").alias("mmsi"), F.col("Latitude").alias("latitude"), F.col("Longitude").alias("longitude"),
         clean_sog(F.col("Sog")).alias("sog"), F.col("time_utc").alias("seen_at"), *ties,
     )
-    if busy is None:
-        busy = busy_days(usable, "mmsi", "seen_at")
     track = with_previous(
         usable, {"_lat": "latitude", "_lon": "longitude", "_sog": "sog", "_seen": "seen_at"},
-        time="seen_at", ties=ties, busy=busy,
+        time="seen_at", ties=ties, layout=layout,
     )
     hours = seconds_between(F.col("seen_at"), F.col("_seen")) / 3600.0
     timed = track.withColumn("_hours", hours).filter("_hours > 0")

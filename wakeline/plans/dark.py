@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wakeline.functions.geo import haversine_km
 from wakeline.functions.timeparts import elapsed, event_id
 from wakeline.operators.incremental import before, incremental_cutoff, since
-from wakeline.operators.sequence import busy_days, with_previous
+from wakeline.operators.sequence import TrackLayout, with_previous
 
 LOOKBACK_HOURS = 6
 GAP_MINUTES = 120
@@ -31,7 +31,7 @@ def vessel_dark_events(
     target: DataFrame | None = None,
     compat: bool = False,
     ties: tuple[str, ...] = (),
-    busy: DataFrame | None = None,
+    layout: TrackLayout | None = None,
     seeds: DataFrame | None = None,
 ) -> DataFrame:
     """Gaps between consecutive positions of a vessel.
@@ -47,13 +47,11 @@ def vessel_dark_events(
     if target is not None:
         cutoff = incremental_cutoff(target, "signal_recovered_at", LOOKBACK_HOURS)
         wanted = since(wanted, cutoff) if compat else recent_with_seeds(wanted, cutoff, ties, seeds)
-    if busy is None:
-        busy = busy_days(wanted, "mmsi", "event_timestamp")
     ordered = with_previous(
         wanted,
         {"signal_lost_at": "event_timestamp", "last_known_lat": "latitude",
          "last_known_lon": "longitude", "last_known_port": "port_name"},
-        ties=ties, busy=busy,
+        ties=ties, layout=layout,
     )
     recovered = F.col("event_timestamp")
     gaps = ordered.withColumn("gap_minutes", elapsed("MINUTE", recovered, F.col("signal_lost_at"))).filter(

@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wakeline import refdata as ref
-from wakeline.operators.sequence import busy_days, with_previous
+from wakeline.operators.sequence import TrackLayout, with_previous
 
 PORT_DAY = ["port_name", "port_country", "date_day"]
 
 
 def port_entries(
-    stg: DataFrame, entry_mode: str = "first", ties: tuple[str, ...] = (), busy: DataFrame | None = None
+    stg: DataFrame, entry_mode: str = "first", ties: tuple[str, ...] = (), layout: TrackLayout | None = None
 ) -> DataFrame:
     """(port_name, port_country, date_day, mmsi): the port-days a vessel entered.
 
@@ -34,9 +34,7 @@ def port_entries(
             .select(*PORT_DAY, "mmsi")
         )
     if entry_mode == "transition":
-        if busy is None:
-            busy = busy_days(stg, "mmsi", "event_timestamp")
-        before = with_previous(stg, {"_was_in": "port_name"}, ties=ties, busy=busy)
+        before = with_previous(stg, {"_was_in": "port_name"}, ties=ties, layout=layout)
         return (
             before.filter(F.col("port_name").isNotNull() & ~F.col("port_name").eqNullSafe(F.col("_was_in")))
             .select(*PORT_DAY, "mmsi")
@@ -46,7 +44,7 @@ def port_entries(
 
 
 def port_traffic(
-    stg: DataFrame, entry_mode: str = "first", ties: tuple[str, ...] = (), busy: DataFrame | None = None
+    stg: DataFrame, entry_mode: str = "first", ties: tuple[str, ...] = (), layout: TrackLayout | None = None
 ) -> DataFrame:
     """One row per (port, country, day).
 
@@ -74,7 +72,7 @@ def port_traffic(
         earliest = F.min("_moment").over(Window.partitionBy("mmsi"))
         flagged = per_vessel.withColumn("_entered", F.col("_moment") == earliest)
     else:
-        entries = port_entries(stg, entry_mode, ties, busy).withColumn("_entry", F.lit(True))
+        entries = port_entries(stg, entry_mode, ties, layout).withColumn("_entry", F.lit(True))
         flagged = per_vessel.join(entries, [*PORT_DAY, "mmsi"], "left").withColumn(
             "_entered", F.col("_entry").isNotNull()
         )

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wakeline import schemas
 from wakeline.operators.merge import merge_into
+from wakeline.operators.sequence import track_layout
 from wakeline.plans import activity, dark, erratic, loiter, ports, risk, speed
 from wakeline.plans.staging import stg_vessel_positions
 from wakeline.quality.expectations import expect, failed
@@ -27,10 +28,13 @@ def stored(spark: SparkSession, root: str, name: str) -> DataFrame | None:
     return spark.read.option("mergeSchema", "true").parquet(path) if folders else None
 
 
+def silver_table(spark: SparkSession, root: str) -> DataFrame:
+    columns, partitions = schemas.LAYERS["silver_positions"]
+    return read_layer(spark, f"{root}/silver/positions", columns + partitions)
+
+
 def staging(spark: SparkSession, root: str, dedup: bool = False) -> DataFrame:
-    positions = read_layer(
-        spark, f"{root}/silver/positions", schemas.SILVER_POSITIONS + schemas.SILVER_BATCH + schemas.DAY_PARTITION
-    )
+    positions = silver_table(spark, root)
     metadata = read_layer(
         spark, f"{root}/silver/metadata", schemas.SILVER_METADATA + schemas.SILVER_BATCH + schemas.DAY_PARTITION
     )
@@ -49,6 +53,7 @@ def refresh_gold(
     if fresh_hours is not None and not is_fresh(spark, f"{root}/silver/positions", fresh_hours, now):
         return {"status": "skipped"}
     stg = staging(spark, root, dedup)
+    layout = track_layout(silver_table(spark, root), "mmsi", "event_timestamp")
 
     def table(name: str) -> DataFrame | None:
         return stored(spark, root, name)
@@ -65,14 +70,14 @@ def refresh_gold(
         else:
             merge_into(spark, f"{root}/gold/{name}", df, key, day, sync_schema, sort_by)
 
-    replace("vessel_activity_summary", activity.vessel_activity_summary(stg), "date_day", ["mmsi", "flag_country"])
+    replace("vessel_activity_summary", activity.vessel_activity_summary(stg, layout), "date_day", ["mmsi", "flag_country"])
     replace("port_traffic", ports.port_traffic(stg, ties=TIES), "date_day", ["port_name", "port_country"])
     merge(
-        "vessel_dark_events", dark.vessel_dark_events(stg, previous("vessel_dark_events"), ties=TIES),
+        "vessel_dark_events", dark.vessel_dark_events(stg, previous("vessel_dark_events"), ties=TIES, layout=layout),
         "dark_event_id", "event_date", ["mmsi", "flag_country"],
     )
     merge(
-        "vessel_speed_anomalies", speed.vessel_speed_anomalies(stg, previous("vessel_speed_anomalies"), ties=TIES),
+        "vessel_speed_anomalies", speed.vessel_speed_anomalies(stg, previous("vessel_speed_anomalies"), ties=TIES, layout=layout),
         "anomaly_id", "event_date", ["mmsi", "vessel_type_normalized"],
     )
     merge(

@@ -9,7 +9,7 @@ from wakeline import refdata as ref
 from wakeline import schemas
 from wakeline.functions import clean, geo, lookup
 from wakeline.operators.dedup import dedup_latest
-from wakeline.operators.sequence import busy_days, with_previous
+from wakeline.operators.sequence import WHOLE_KEYS, TrackLayout, track_layout, with_previous
 
 _LINEAGE = {
     "_source_system": "_source_system", "_source_file": "_source_file",
@@ -40,31 +40,28 @@ def rename_positions(bronze: DataFrame) -> DataFrame:
 
 
 def with_ocean_region(df: DataFrame) -> DataFrame:
-    return df.withColumn("ocean_region", geo.ocean_region(F.col("latitude"), F.col("longitude")))
+    return df.withColumn("ocean_region", geo.ocean_region())
 
 
 def with_port_zone(df: DataFrame) -> DataFrame:
     """Port name, country, membership flag (never null) and rough distance to the port centre."""
-    port = F.col("_port")
-    dlat = F.col("latitude") - geo.port_attribute(port, 0)
-    dlon = F.col("longitude") - geo.port_attribute(port, 1)
+    dlat = F.col("latitude") - geo.port_attribute("_port", 0)
+    dlon = F.col("longitude") - geo.port_attribute("_port", 1)
     return (
-        df.withColumn("_port", geo.port_number(F.col("latitude"), F.col("longitude")))
+        df.withColumn("_port", geo.port_number())
         .withColumns({
-            "port_name": geo.port_attribute(port, 3),
-            "port_country": geo.port_attribute(port, 4),
-            "is_in_port_zone": port.isNotNull(),
+            "port_name": geo.port_attribute("_port", 3),
+            "port_country": geo.port_attribute("_port", 4),
+            "is_in_port_zone": F.col("_port").isNotNull(),
             "distance_to_port_km": geo.flat_km(dlat, dlon),
         })
         .drop("_port")
     )
 
 
-def movement_deltas(df: DataFrame, busy: DataFrame | None = None, whole_keys: bool = False) -> DataFrame:
+def movement_deltas(df: DataFrame, layout: TrackLayout | None = None) -> DataFrame:
     """Absolute change of speed and heading against the vessel's previous row (no wrap at 360 degrees)."""
-    with_last = with_previous(
-        df, {"_last_speed": "speed_over_ground", "_last_heading": "heading"}, busy=busy, whole_keys=whole_keys
-    )
+    with_last = with_previous(df, {"_last_speed": "speed_over_ground", "_last_heading": "heading"}, layout=layout)
     return with_last.withColumns({
         "speed_change_rate": F.abs(F.col("speed_over_ground") - F.col("_last_speed")),
         "heading_change_degrees": F.abs(F.col("heading") - F.col("_last_heading")).cast("double"),
@@ -76,21 +73,21 @@ def select_silver(df: DataFrame) -> DataFrame:
 
 
 def silver_positions(
-    bronze: DataFrame, scope: str = "table", tie_break: tuple[str, ...] = (), busy: DataFrame | None = None
+    bronze: DataFrame, scope: str = "table", tie_break: tuple[str, ...] = (), layout: TrackLayout | None = None
 ) -> DataFrame:
     """The silver position table.
 
     ``scope="table"`` is for frames of any size. ``scope="batch"`` is for one micro-batch, whose size the source
-    limits: it skips the busy-day count. De-duplication and deltas cover exactly the frame passed in.
+    limits: it skips the count of rows per vessel. De-duplication and deltas cover exactly the frame passed in.
     """
     if scope not in ("table", "batch"):
         raise ValueError("scope must be 'table' or 'batch'")
-    if scope == "table" and busy is None:
+    if layout is None:
         # counted before de-duplication: an upper bound that needs no shuffle of whole rows
-        busy = busy_days(bronze, "MMSI", "time_utc")
+        layout = WHOLE_KEYS if scope == "batch" else track_layout(bronze, "MMSI", "time_utc")
     renamed = rename_positions(bronze)
     unique = dedup_latest(renamed, latest_by=("ingestion_timestamp", *tie_break))
-    moved = movement_deltas(unique, busy=busy, whole_keys=scope == "batch")
+    moved = movement_deltas(unique, layout)
     # boxes come last: their columns need not travel through the shuffles
     located = with_port_zone(with_ocean_region(moved))
     return select_silver(located.withColumn("processing_timestamp", F.current_timestamp()))

@@ -10,7 +10,7 @@ from wakeline.functions.geo import haversine_nm
 from wakeline.functions.lookup import speed_limit
 from wakeline.functions.timeparts import elapsed, event_id
 from wakeline.operators.incremental import incremental_cutoff, since
-from wakeline.operators.sequence import busy_days, with_previous
+from wakeline.operators.sequence import TrackLayout, with_previous
 from wakeline.plans.dark import recent_with_seeds
 
 LOOKBACK_HOURS = 2
@@ -30,7 +30,7 @@ def vessel_speed_anomalies(
     target: DataFrame | None = None,
     compat: bool = False,
     ties: tuple[str, ...] = (),
-    busy: DataFrame | None = None,
+    layout: TrackLayout | None = None,
     seeds: DataFrame | None = None,
 ) -> DataFrame:
     """One row per anomaly. ``target``, ``compat`` and ``seeds`` work as in ``vessel_dark_events``."""
@@ -43,10 +43,8 @@ def vessel_speed_anomalies(
     if target is not None:
         cutoff = incremental_cutoff(target, "event_timestamp", LOOKBACK_HOURS)
         wanted = since(wanted, cutoff) if compat else recent_with_seeds(wanted, cutoff, ties, seeds)
-    if busy is None:
-        busy = busy_days(wanted, "mmsi", "event_timestamp")
     ordered = with_previous(
-        wanted, {"_lat": "latitude", "_lon": "longitude", "_before": "event_timestamp"}, ties=ties, busy=busy
+        wanted, {"_lat": "latitude", "_lon": "longitude", "_before": "event_timestamp"}, ties=ties, layout=layout
     )
     seconds = elapsed("SECOND", F.col("event_timestamp"), F.col("_before"))
     timed = ordered.withColumn("_seconds", seconds).filter((F.col("_seconds") > 0) & F.col("_lat").isNotNull())

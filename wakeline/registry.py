@@ -16,7 +16,7 @@ from wakeline.functions import clean, lookup
 from wakeline.functions.timeparts import normalize_time, stamp
 from wakeline.operators.dedup import dedup_latest
 from wakeline.operators.merge import merge_upsert
-from wakeline.operators.sequence import busy_days
+from wakeline.operators.sequence import TrackLayout, track_layout
 from wakeline.plans import activity, alerts, bronze, dark, erratic, loiter, ports, reports, risk, silver, speed, staging
 from wakeline.quality.expectations import expect
 from wakeline.quality.suites import SUITES
@@ -78,8 +78,8 @@ class Frames:
         return adapter.bronze_from_events(self.table("events"))
 
     @cached_property
-    def busy(self) -> DataFrame:
-        return busy_days(self.bronze, "MMSI", "time_utc")
+    def layout(self) -> TrackLayout:
+        return track_layout(self.bronze, "MMSI", "time_utc")
 
     @cached_property
     def replayed(self) -> DataFrame:
@@ -87,7 +87,7 @@ class Frames:
 
     @cached_property
     def silver(self) -> DataFrame:
-        return silver.silver_positions(self.bronze, tie_break=("_row_id",), busy=self.busy)
+        return silver.silver_positions(self.bronze, tie_break=("_row_id",), layout=self.layout)
 
     @cached_property
     def replayed_silver(self) -> DataFrame:
@@ -105,7 +105,7 @@ class Frames:
 
     @cached_property
     def activity(self) -> DataFrame:
-        return activity.vessel_activity_summary(self.stg, busy=self.busy)
+        return activity.vessel_activity_summary(self.stg, layout=self.layout)
 
     @cached_property
     def ports(self) -> DataFrame:
@@ -117,11 +117,11 @@ class Frames:
 
     @cached_property
     def dark(self) -> DataFrame:
-        return dark.vessel_dark_events(self.stg, busy=self.busy)
+        return dark.vessel_dark_events(self.stg, layout=self.layout)
 
     @cached_property
     def speed(self) -> DataFrame:
-        return speed.vessel_speed_anomalies(self.stg, busy=self.busy)
+        return speed.vessel_speed_anomalies(self.stg, layout=self.layout)
 
     @cached_property
     def loiter(self) -> DataFrame:
@@ -133,7 +133,7 @@ class Frames:
 
     @cached_property
     def alerts(self) -> DataFrame:
-        return alerts.vessel_alerts_batch(self.bronze, busy=self.busy)
+        return alerts.vessel_alerts_batch(self.bronze, layout=self.layout)
 
 
 def silver_positions(f: Frames) -> DataFrame:
@@ -151,7 +151,7 @@ QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
     "vessel_activity_summary": lambda f: comparable(f.activity, doubles=("max_ais_gap_minutes",)),
     "port_traffic": lambda f: comparable(f.ports),
     "port_traffic_transition": lambda f: comparable(
-        ports.port_traffic(f.stg, entry_mode="transition", busy=f.busy)
+        ports.port_traffic(f.stg, entry_mode="transition", layout=f.layout)
     ),
     "port_entries": lambda f: comparable(ports.port_entries(f.stg)),
     "vessel_erratic_course": lambda f: comparable(f.erratic),
@@ -243,13 +243,13 @@ def first_half(f: Frames, model: DataFrame, moment: str) -> DataFrame:
 
 def dark_incremental(f: Frames, compat: bool) -> DataFrame:
     target = first_half(f, f.dark, "signal_recovered_at")
-    events = dark.vessel_dark_events(f.stg, target=target, compat=compat, busy=f.busy)
+    events = dark.vessel_dark_events(f.stg, target=target, compat=compat, layout=f.layout)
     return comparable(events, thousandths=("displacement_km",))
 
 
 def speed_incremental(f: Frames) -> DataFrame:
     target = first_half(f, f.speed, "event_timestamp")
-    events = speed.vessel_speed_anomalies(f.stg, target=target, busy=f.busy)
+    events = speed.vessel_speed_anomalies(f.stg, target=target, layout=f.layout)
     return comparable(events, thousandths=("calculated_speed_knots", "speed_excess_knots"))
 
 
@@ -373,7 +373,7 @@ QUERIES |= {
         f.silver.select("mmsi", "event_timestamp", "speed_change_rate", "heading_change_degrees")
     ),
     "day_segments": lambda f: comparable(
-        activity.day_segments(f.stg, f.busy).select("mmsi", "event_timestamp", "minutes_since_prev", "segment_distance_km"),
+        activity.day_segments(f.stg, f.layout).select("mmsi", "event_timestamp", "minutes_since_prev", "segment_distance_km"),
         thousandths=("segment_distance_km",), doubles=("minutes_since_prev",),
     ),
     "loiter_candidates": lambda f: comparable(

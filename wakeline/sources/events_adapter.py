@@ -5,7 +5,7 @@ Only integer arithmetic and literals are used, so another engine computes bit-id
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeline import refdata as ref
@@ -23,51 +23,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _mmsi(user: Column) -> Column:
-    mid = F.element_at(F.array(*[F.lit(m) for m in MID_OF_USER]), (user % 10 + 1).cast("int"))
-    return F.concat(mid, F.lpad(user.cast("string"), 6, "0"))
+def _mmsi(user: str) -> str:
+    mids = ", ".join(f"'{m}'" for m in MID_OF_USER)
+    return f"concat(element_at(array({mids}), CAST({user} % 10 + 1 AS INT)), lpad(CAST({user} AS STRING), 6, '0'))"
 
 
-def _port_centre(port: Column, field: int) -> Column:
-    return F.element_at(F.array(*[F.lit(p[field]) for p in ref.PORT_BOXES]), port + 1)
+def _port_centre(field: int) -> str:
+    return f"element_at(array({', '.join(f'{p[field]!r}D' for p in ref.PORT_BOXES)}), p + 1)"
 
 
 def bronze_from_events(events: DataFrame) -> DataFrame:
     """Bronze position rows, one per event; ``_row_id`` is the tie-break."""
-    origin = F.unix_micros(F.lit(ORIGIN).cast("timestamp"))
-    base = events.select(
-        "event_id", "user_id", "event_type", "value",
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
-        F.timestamp_micros(
-            origin + F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - origin) / TIME_SHRINK)
-        ).alias("t"),
-    ).withColumn("p", ((F.col("user_id") + F.dayofmonth("t")) % len(ref.PORT_BOXES)).cast("int"))
-    k, event, kind = F.col("k"), F.col("event_id"), F.col("event_type")
-    browsing = kind.isin("click", "view")
-    near = (k - 50) / F.lit(1000.0)
-    north = F.when(browsing, near).when(kind == "purchase", F.lit(1.0) + k / F.lit(2000.0)).otherwise(k / F.lit(40.0))
-    east = F.when(browsing, near).when(kind == "purchase", F.lit(1.0)).otherwise(-k / F.lit(50.0))
+    origin = f"unix_micros(TIMESTAMP'{ORIGIN}')"
+    base = events.selectExpr(
+        "event_id", "user_id", "event_type", "value", "CAST(get_json_object(props, '$.k') AS INT) AS k",
+        f"timestamp_micros({origin} + (unix_micros(CAST(ts AS TIMESTAMP)) - {origin}) div {TIME_SHRINK}) AS t",
+    ).selectExpr("*", f"CAST((user_id + dayofmonth(t)) % {len(ref.PORT_BOXES)} AS INT) AS p")
+    near = "WHEN event_type IN ('click', 'view') THEN (k - 50) / 1000.0D"
     filled = {
-        "Cog": F.when(k == 97, F.lit(360.0)).otherwise((event * 53 % 3600) / F.lit(10.0)),
-        "Latitude": _port_centre(F.col("p"), 0) + north,
-        "Longitude": _port_centre(F.col("p"), 1) + east,
-        "NavigationalStatus": (event % 16).cast("int"),
-        "Sog": F.when(k == 99, F.lit(102.3)).otherwise(F.col("value") * F.lit(0.19371)),
-        "TrueHeading": F.when(k == 98, F.lit(511)).otherwise(((event * 37 + k * 11) % 360).cast("int")),
-        "UserID": F.col("user_id").cast("int"),
-        "Valid": F.lit(True),
-        "MMSI": _mmsi(F.col("user_id")),
-        "ShipName": F.concat(F.lit("VESSEL "), F.col("user_id").cast("string"), F.lit(" ")),
-        "time_utc": F.col("t"),
-        "ingestion_timestamp": F.col("t") + F.expr("interval 5 seconds"),
-        "_source_system": F.lit(ref.SOURCE_SYSTEM),
-        "_batch_id": (event % 50).cast("string"),
-        "_pipeline_version": F.lit(ref.PIPELINE_VERSION),
+        "Cog": "IF(k = 97, 360.0D, (event_id * 53 % 3600) / 10.0D)",
+        "Latitude": f"{_port_centre(0)} + CASE {near} WHEN event_type = 'purchase' THEN 1.0D + k / 2000.0D ELSE k / 40.0D END",
+        "Longitude": f"{_port_centre(1)} + CASE {near} WHEN event_type = 'purchase' THEN 1.0D ELSE -k / 50.0D END",
+        "NavigationalStatus": "event_id % 16",
+        "Sog": "IF(k = 99, 102.3D, value * 0.19371D)",
+        "TrueHeading": "IF(k = 98, 511, (event_id * 37 + k * 11) % 360)",
+        "UserID": "user_id",
+        "Valid": "true",
+        "MMSI": _mmsi("user_id"),
+        "ShipName": "concat('VESSEL ', user_id, ' ')",
+        "time_utc": "t",
+        "ingestion_timestamp": "t + INTERVAL 5 SECONDS",
+        "_source_system": f"'{ref.SOURCE_SYSTEM}'",
+        "_batch_id": "event_id % 50",
+        "_pipeline_version": f"'{ref.PIPELINE_VERSION}'",
     }
-    columns = [
-        filled.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in schemas.BRONZE_POSITIONS
-    ]
-    return base.select(*columns, F.col("event_id").alias("_row_id"))
+    columns = [f"CAST({filled.get(name, 'NULL')} AS {kind}) AS `{name}`" for name, kind in schemas.BRONZE_POSITIONS]
+    return base.selectExpr(*columns, "event_id AS _row_id")
 
 
 def with_replayed_rows(bronze: DataFrame) -> DataFrame:
@@ -83,18 +74,17 @@ def with_replayed_rows(bronze: DataFrame) -> DataFrame:
 
 def metadata_from_orders(orders: DataFrame) -> DataFrame:
     """Bronze static rows, one per order; arrival time is the order date, ``_row_id`` the tie-break."""
-    key, customer = F.col("o_orderkey"), F.col("o_custkey")
-    return orders.select(
-        _mmsi(customer).alias("MMSI"),
-        F.concat(F.lit(" SHIP "), customer.cast("string")).alias("ShipName"),
-        (customer * 7 % 100).cast("int").alias("Type"),
-        (customer + 9_000_000).cast("int").alias("ImoNumber"),
-        F.concat(F.lit("C"), customer.cast("string")).alias("Callsign"),
-        F.lit(None).cast("string").alias("Name"),
-        F.when(key % 7 == 0, "tba ").otherwise(F.lower("o_orderpriority")).alias("Destination"),
-        ((key % 150) / F.lit(10.0)).cast("float").alias("MaximumStaticDraught"),
-        F.col("o_orderdate").cast("timestamp").alias("ingestion_timestamp"),
-        key.alias("_row_id"),
+    return orders.selectExpr(
+        f"{_mmsi('o_custkey')} AS MMSI",
+        "concat(' SHIP ', o_custkey) AS ShipName",
+        "CAST(o_custkey * 7 % 100 AS INT) AS Type",
+        "CAST(o_custkey + 9000000 AS INT) AS ImoNumber",
+        "concat('C', o_custkey) AS Callsign",
+        "CAST(NULL AS STRING) AS Name",
+        "IF(o_orderkey % 7 = 0, 'tba ', lower(o_orderpriority)) AS Destination",
+        "CAST((o_orderkey % 150) / 10.0D AS FLOAT) AS MaximumStaticDraught",
+        "CAST(o_orderdate AS TIMESTAMP) AS ingestion_timestamp",
+        "o_orderkey AS _row_id",
     )
 
 

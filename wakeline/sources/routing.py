@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wakeline import refdata as ref
 from wakeline import schemas
 from wakeline.functions.timeparts import normalize_time
+from wakeline.sources.streams import parse_once
 
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 
@@ -23,18 +24,16 @@ def classify_messages(raw: DataFrame, column: str = "value", fallback_time=None)
     the time text of the payload is rewritten; unreadable times take ``fallback_time`` (default: now).
     """
     fields = [*schemas.RAW_MESSAGE, ("_corrupt_record", "string")]
-    parsed = raw.withColumn(
-        "_m", F.from_json(F.col(column), schemas.ddl(fields), {"columnNameOfCorruptRecord": "_corrupt_record"})
-    )
-    kind = F.col("_m.MessageType")
-    position, static, meta = F.col("_m.Message.PositionReport"), F.col("_m.Message.ShipStaticData"), F.col("_m.MetaData")
+    parsed = raw.select("*", parse_once(column, fields, {"columnNameOfCorruptRecord": "_corrupt_record"}))
+    kind = F.col("MessageType")
+    position, static, meta = F.col("Message.PositionReport"), F.col("Message.ShipStaticData"), F.col("MetaData")
     user = F.when(kind == "PositionReport", position["UserID"]).when(kind == "ShipStaticData", static["UserID"])
     mmsi = F.coalesce(F.nullif(meta["MMSI"], F.lit(0).cast("bigint")), user.cast("bigint"))
     lat = F.coalesce(_unless_zero(position["Latitude"]), meta["latitude"])
     lon = F.coalesce(_unless_zero(position["Longitude"]), meta["longitude"])
     on_globe = F.coalesce((F.abs(lat) <= 90) & (F.abs(lon) <= 180), F.lit(False))
     reason = (
-        F.when(kind.isNull() & F.col("_m._corrupt_record").isNotNull(), "invalid_json")
+        F.when(kind.isNull() & F.col("_corrupt_record").isNotNull(), "invalid_json")
         .when(kind.isNull() | ~kind.isin("PositionReport", "ShipStaticData"), "unhandled_type")
         .when(mmsi.isNull(), "missing_mmsi")
         .when((kind == "PositionReport") & ~on_globe, "invalid_position")
@@ -47,12 +46,8 @@ def classify_messages(raw: DataFrame, column: str = "value", fallback_time=None)
             "route",
             F.when(F.col("reject_reason").isNull(), F.when(kind == "PositionReport", "positions").otherwise("metadata")),
         )
-        .withColumns({
-            "Message": F.col("_m.Message"),
-            "MessageType": kind,
-            "MetaData": F.when(meta.isNotNull(), meta.withField("time_utc", iso)),
-        })
-        .drop("_m")
+        .withColumn("MetaData", F.when(meta.isNotNull(), meta.withField("time_utc", iso)))
+        .drop("_corrupt_record")
     )
 
 

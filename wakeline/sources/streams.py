@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeline import schemas
@@ -14,8 +14,15 @@ KAFKA_DEFAULTS = {"startingOffsets": "earliest", "maxOffsetsPerTrigger": "4000",
 def parse_json(df: DataFrame, fields: schemas.Fields, column: str = "value") -> DataFrame:
     """One flat row per JSON text. Only the fields of the schema are parsed; unknown ones are ignored, missing
     ones and malformed texts give nulls."""
-    parsed = F.from_json(F.col(column).cast("string"), schemas.ddl(fields))
-    return df.select(parsed.alias("_json")).select("_json.*")
+    return df.select(parse_once(column, fields))
+
+
+def parse_once(column: str, fields: schemas.Fields, options: dict | None = None) -> Column:
+    """Generator giving the parsed fields as columns.
+
+    As a generator the parse stays one step: filters and projections above it cannot pull copies of it apart.
+    """
+    return F.inline(F.array(F.from_json(F.col(column).cast("string"), schemas.ddl(fields), options)))
 
 
 def read_json_stream(
