@@ -30,6 +30,6 @@ def left_lookup(
     """
     if fits_broadcast(right.select(key), max_rows):
         return left.join(F.broadcast(right), key, "left")
-    salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(salt_from), F.lit(salts)))
-    salted_right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long"))
+    salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(salt_from), F.lit(salts)).cast("int"))
+    salted_right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted_left.join(salted_right, [key, "_salt"], "left").drop("_salt")
