@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from wakeline.sources.streams import to_keyed_json
 
@@ -34,8 +35,16 @@ def write_silver_metadata(df: DataFrame, path: str, files: int = 1) -> None:
 
 
 def write_idempotent(df: DataFrame, path: str, epoch_id: int, partition_by: Sequence[str] = (), files: int = 2) -> None:
-    """Write one micro-batch into its own ``batch=<epoch>`` folder, replacing what an earlier try left there."""
-    df.coalesce(files).write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/batch={epoch_id}")
+    """Write one micro-batch into its own ``<day>/batch=<epoch>`` folders, replacing what an earlier try left there.
+
+    A batch that is processed again holds the same rows, so it replaces exactly its own folders. The day comes first
+    in the path: readers prune by day, and a closed day can be compacted.
+    """
+    (
+        df.repartition(files).withColumn("batch", F.lit(str(epoch_id)))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partition_by, "batch").parquet(path)
+    )
 
 
 def publish(df: DataFrame, sink: str, key: str = "MMSI", **options: str) -> None:

@@ -41,10 +41,12 @@ def _fan_out(
 ) -> BatchFn:
     def run(batch: DataFrame, epoch_id: int) -> None:
         started = time.monotonic()
-        if batch.isEmpty():
-            return
+        # one micro-batch: read and parsed once, and both sinks get the very same rows and clock stamps
+        batch = batch.persist()
         rows = transform(batch, batch_name(epoch_id)).persist()
         try:
+            if batch.isEmpty():
+                return
             sinks.write_idempotent(rows, archive, epoch_id, partition_by, files)
             if publish is not None:
                 publish(rows)
@@ -52,6 +54,7 @@ def _fan_out(
                 audit(batch, audit_path, layer, epoch_id, batch.count(), rows.count(), started)
         finally:
             rows.unpersist()
+            batch.unpersist()
 
     return run
 
