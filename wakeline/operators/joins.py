@@ -19,16 +19,18 @@ def left_lookup(
     right: DataFrame,
     key: str,
     salt_from: Column,
+    keys: DataFrame | None = None,
     max_rows: int = BROADCAST_ROWS,
     salts: int = SALTS,
 ) -> DataFrame:
     """``left ⟕ right`` on ``key``, ``right`` holding one row per key.
 
-    The lookup is broadcast only after its row count was checked. Past the limit the join shuffles, and each
+    The lookup is broadcast only after its row count was checked (on ``keys``, a cheaper frame with one row for
+    every row of ``right``, when given). Past the limit the join shuffles, and each
     left key is spread over ``salts`` parts (with the lookup row repeated for each), so that one hot key is never
     one task.
     """
-    if fits_broadcast(right.select(key), max_rows):
+    if fits_broadcast(right.select(key) if keys is None else keys, max_rows):
         return left.join(F.broadcast(right), key, "left")
     salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(salt_from), F.lit(salts)).cast("int"))
     salted_right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

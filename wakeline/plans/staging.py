@@ -21,7 +21,8 @@ def with_latest_metadata(
     positions: DataFrame, meta: DataFrame, tie_break: tuple[str, ...] = (), broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     newest = latest_metadata(meta, tie_break).select("mmsi", *FROM_METADATA)
-    joined = left_lookup(positions, newest, "mmsi", salt_from=F.col("event_timestamp"), max_rows=broadcast_rows)
+    vessels = meta.select("mmsi").distinct()  # as many rows as ``newest`` (or one more, for null)
+    joined = left_lookup(positions, newest, "mmsi", F.col("event_timestamp"), vessels, broadcast_rows)
     category = F.coalesce("vessel_type_normalized", F.lit(ref.SHIP_TYPE_MISSING))
     return joined.withColumn("vessel_type_normalized", category)
 
