@@ -40,11 +40,11 @@ def rows(df):
     return sorted(map(tuple, df.select("mmsi", "event_timestamp", "x", "before").collect()))
 
 
-@pytest.mark.parametrize("per_day", [False, True])
+@pytest.mark.parametrize("per_day", [None, "day"])
 @pytest.mark.parametrize("limit", [10, 100, 10_000])
 def test_previous_equals_plain_lag(spark, per_day, limit):
-    df = skewed(spark)
-    keys = ["mmsi", F.to_date("event_timestamp")] if per_day else ["mmsi"]
+    df = skewed(spark).withColumn("day", F.to_date("event_timestamp"))
+    keys = ["mmsi", "day"] if per_day else ["mmsi"]
     plain = df.withColumn("before", F.lag("x").over(Window.partitionBy(*keys).orderBy("event_timestamp")))
     layout = track_layout(df, "mmsi", "event_timestamp", rows_per_window=limit)
     assert layout.whole_keys == (limit == 10_000)

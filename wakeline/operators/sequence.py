@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 DAY_SECONDS = 86_400
 ROWS_PER_WINDOW = 2_000_000
+MAX_BUSY_DAYS = 200_000  # rows of the broadcast table of busy days: about 10 MB
 
 
 @dataclass(frozen=True)
@@ -34,15 +35,19 @@ def track_layout(df: DataFrame, key: str, time: str, rows_per_window: int = ROWS
     """Count the rows per key (combined before the shuffle) and choose. An upper bound will do: count the stored
     rows before filters and joins, and pass the layout on to every model built on them."""
     per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    if per_key.filter(F.col("_rows") > rows_per_window).isEmpty():
+    largest, total = per_key.agg(F.max("_rows"), F.sum("_rows")).first()
+    if largest is None or largest <= rows_per_window:
         return WHOLE_KEYS
-    return TrackLayout(False, busy_days(df, key, time, rows_per_window))
+    # a day is busy only above total/MAX_BUSY_DAYS rows, so fewer than MAX_BUSY_DAYS days can be
+    limit = max(rows_per_window, -(-total // MAX_BUSY_DAYS))
+    return TrackLayout(False, busy_days(df, key, time, limit))
 
 
 def busy_days(df: DataFrame, key: str, time: str, rows_per_window: int = ROWS_PER_WINDOW) -> DataFrame:
     """(key, day, number of slices) for every key-day with more than ``rows_per_window`` rows.
 
-    At most rows/rows_per_window key-days can qualify, so the result is small by construction.
+    At most rows/rows_per_window key-days can qualify, so the result is small by construction. Slices are of equal
+    width: event times are unique per vessel once de-duplicated, which bounds what any stretch of time can hold.
     """
     return (
         df.groupBy(F.col(key).alias("_busy_key"), F.to_date(time).alias("_busy_day"))
@@ -58,7 +63,7 @@ def with_chunks(df: DataFrame, key: str, time: str, busy: DataFrame) -> DataFram
     second_of_day = F.unix_micros(time) / F.lit(1e6) % DAY_SECONDS
     return (
         df.join(
-            F.broadcast(busy),  # bounded: at most one row per ROWS_PER_WINDOW input rows
+            F.broadcast(busy),  # at most MAX_BUSY_DAYS rows, see track_layout
             F.col(key).eqNullSafe(F.col("_busy_key")) & F.col("_day").eqNullSafe(F.col("_busy_day")),
             "left",
         )
@@ -73,12 +78,12 @@ def with_previous(
     key: str = "mmsi",
     time: str = "event_timestamp",
     ties: tuple[str, ...] = (),
-    per_day: bool = False,
+    per_day: str | None = None,
     layout: TrackLayout | None = None,
 ) -> DataFrame:
     """Add ``new_name -> value of column in the key's previous row`` for every entry of ``columns``.
 
-    ``per_day`` restarts the track at midnight. Without a ``layout`` the frame is counted first.
+    ``per_day`` names the day column at whose change the track starts anew. Without a ``layout`` the frame is counted first.
     """
     layout = layout or track_layout(df, key, time)
     order = [F.col(time), *[F.col(c) for c in ties]]
@@ -88,7 +93,7 @@ def with_previous(
         return frame.withColumns({name: F.col(f"_prev.{name}") for name in columns}).drop("_prev")
 
     if layout.whole_keys:
-        days = [F.to_date(time)] if per_day else []
+        days = [per_day] if per_day else []
         window = Window.partitionBy(key, *days).orderBy(*order)
         return unpack(df.withColumn("_prev", F.lag(earlier_row).over(window)))
 
@@ -99,7 +104,7 @@ def with_previous(
         "_next": F.lead(F.lit(True)).over(window),
     })
 
-    track = [key, "_day"] if per_day else [key]
+    track = [key, per_day] if per_day else [key]
     starts = F.col("_prev").isNull()
     edges = (
         inside.filter(starts | F.col("_next").isNull())

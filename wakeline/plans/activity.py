@@ -17,7 +17,7 @@ def avg_if(condition: Column, value: Column) -> Column:
 def day_segments(stg: DataFrame, layout: TrackLayout | None = None) -> DataFrame:
     """Minutes and flat distance since the vessel's previous row of the same day (first row: null and 0)."""
     before = with_previous(
-        stg, {"_before": "event_timestamp", "_lat": "latitude", "_lon": "longitude"}, per_day=True, layout=layout
+        stg, {"_before": "event_timestamp", "_lat": "latitude", "_lon": "longitude"}, per_day="date_day", layout=layout
     )
     step = flat_km(F.col("latitude") - F.col("_lat"), F.col("longitude") - F.col("_lon"))
     return before.withColumns({

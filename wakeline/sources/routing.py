@@ -51,15 +51,22 @@ def classify_messages(raw: DataFrame, column: str = "value", fallback_time=None)
     )
 
 
+def split_routes(routed: DataFrame, column: str = "value", source: str = ref.SOURCE_SYSTEM):
+    """(positions, metadata, rejected) of a classified frame. Rejected rows carry the original text, the reason and
+    the source."""
+    payload = ["Message", "MessageType", "MetaData"]
+    return (
+        routed.filter("route = 'positions'").select(*payload),
+        routed.filter("route = 'metadata'").select(*payload),
+        routed.filter("route is null").select(
+            F.col(column).alias("original_data"), F.col("reject_reason").alias("error"), F.lit(source).alias("source")
+        ),
+    )
+
+
 def route_messages(
     raw: DataFrame, column: str = "value", source: str = ref.SOURCE_SYSTEM, fallback_time=None
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(positions, metadata, rejected). Rejected rows carry the original text, the reason and the source."""
-    routed = classify_messages(raw, column, fallback_time)
-    payload = ["Message", "MessageType", "MetaData"]
-    positions = routed.filter("route = 'positions'").select(*payload)
-    metadata = routed.filter("route = 'metadata'").select(*payload)
-    rejected = routed.filter("route is null").select(
-        F.col(column).alias("original_data"), F.col("reject_reason").alias("error"), F.lit(source).alias("source")
-    )
-    return positions, metadata, rejected
+    """Classify and split. When more than one part is used, persist ``classify_messages(raw)`` and call
+    ``split_routes`` on it, so that each text is parsed once."""
+    return split_routes(classify_messages(raw, column, fallback_time), column, source)
