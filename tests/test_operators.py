@@ -170,3 +170,26 @@ def test_staging_same_with_and_without_broadcast(frames):
         frames.silver, frames.metadata, meta_tie_break=("_row_id",), broadcast_rows=1
     ).select(*narrow)
     assert sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
+
+
+def test_models_do_not_depend_on_the_layout(frames):
+    from wakeline.plans.alerts import vessel_alerts_batch
+
+    sliced = track_layout(frames.bronze, "MMSI", "time_utc", rows_per_window=5)
+    assert not sliced.whole_keys
+    for build in (
+        lambda layout: vessel_alerts_batch(frames.bronze, layout=layout),
+        lambda layout: speed.vessel_speed_anomalies(frames.stg, layout=layout).drop("processing_timestamp"),
+    ):
+        assert sorted(map(str, build(sliced).collect())) == sorted(map(str, build(WHOLE_KEYS).collect()))
+
+
+def test_cutoff_prunes_day_folders(spark, tmp_path):
+    from wakeline.operators.incremental import since
+
+    path = str(tmp_path / "t")
+    skewed(spark, 300).withColumn("partition_date", F.to_date("event_timestamp")).write.partitionBy("partition_date").parquet(path)
+    recent = since(spark.read.parquet(path), START + timedelta(days=4))
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(partition_date" in plan and "PushedFilters: [IsNotNull(event_timestamp)" in plan
+    assert recent.count() > 0

@@ -591,6 +591,16 @@ FINAL |= {
     "silver_stream": (["silver"], f"SELECT {SILVER_OUT} FROM silver"),
 }
 
+FINAL |= {
+    "movement_deltas_sliced": FINAL["movement_deltas"],
+    "stg_salted": FINAL["stg_vessel_positions"],
+    "dark_events_sliced": FINAL["vessel_dark_events"],
+    "activity_sliced": FINAL["vessel_activity_summary"],
+    "dead_letters": (["judged"], f"""
+        SELECT reject_reason AS error, '{ref.SOURCE_SYSTEM}' AS source, count(*) AS n FROM judged
+        WHERE reject_reason IS NOT NULL GROUP BY 1"""),
+}
+
 
 # Expectations: every rule as one SELECT over the model's block.
 

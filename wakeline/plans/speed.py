@@ -25,6 +25,10 @@ def anomaly_type(over_limit: Column, change: Column) -> Column:
     )
 
 
+def with_speed_limit(df: DataFrame) -> DataFrame:
+    return df.withColumn("type_max_speed", speed_limit(F.col("vessel_type_normalized")))
+
+
 def vessel_speed_anomalies(
     stg: DataFrame,
     target: DataFrame | None = None,
@@ -51,10 +55,8 @@ def vessel_speed_anomalies(
     if target is not None and not compat:
         timed = since(timed, cutoff)
     miles = haversine_nm(F.col("_lat"), F.col("_lon"), F.col("latitude"), F.col("longitude"))
-    rated = timed.withColumns({
-        "calculated_speed_knots": F.try_divide(miles, F.col("_seconds") / 3600.0),
-        "type_max_speed": speed_limit(F.col("vessel_type_normalized")),
-    })
+    knots = F.try_divide(miles, F.col("_seconds") / 3600.0)
+    rated = with_speed_limit(timed.withColumn("calculated_speed_knots", knots))
     excess = F.col("calculated_speed_knots") - F.col("type_max_speed")
     over = F.col("calculated_speed_knots") > F.col("type_max_speed")
     change = F.abs("speed_change_rate")

@@ -421,6 +421,39 @@ QUERIES |= {
 }
 
 
+# The ways for data that outgrows one window or one broadcast, forced on the given tables.
+
+
+def sliced(f: Frames) -> TrackLayout:
+    return track_layout(f.bronze, "MMSI", "time_utc", rows_per_window=10)
+
+
+def movement_deltas_sliced(f: Frames) -> DataFrame:
+    rows = silver.silver_positions(f.bronze, tie_break=("_row_id",), layout=sliced(f))
+    return comparable(rows.select("mmsi", "event_timestamp", "speed_change_rate", "heading_change_degrees"))
+
+
+def stg_salted(f: Frames) -> DataFrame:
+    """Staging with the salted join that replaces the broadcast for a large lookup."""
+    rows = staging.stg_vessel_positions(f.silver, f.metadata, meta_tie_break=("_row_id",), broadcast_rows=1)
+    return comparable(rows, thousandths=("distance_to_port_km",), doubles=("heading",))
+
+
+QUERIES |= {
+    "movement_deltas_sliced": movement_deltas_sliced,
+    "stg_salted": stg_salted,
+    "dark_events_sliced": lambda f: comparable(
+        dark.vessel_dark_events(f.stg, layout=sliced(f)), thousandths=("displacement_km",)
+    ),
+    "activity_sliced": lambda f: comparable(
+        activity.vessel_activity_summary(f.stg, layout=sliced(f)), doubles=("max_ais_gap_minutes",)
+    ),
+    "dead_letters": lambda f: routing.route_messages(f.raw)[2].groupBy("error", "source").agg(
+        F.count(F.lit(1)).alias("n")
+    ),
+}
+
+
 def layer_gap(f: Frames) -> DataFrame:
     gap = reports.layer_gap(layer_audit(f), minutes=15, as_of="2024-01-02 12:00:00")
     return gap.withColumn("gap", F.round("gap", 6))

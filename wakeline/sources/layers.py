@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,7 +38,7 @@ def is_fresh(spark: SparkSession, path: str, hours: float = 2, as_of: datetime |
 
     Only file listings are used: no file content is read.
     """
-    now = as_of or datetime.utcnow()
+    now = as_of or datetime.now(timezone.utc)
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "[!_.]*.parquet")
