@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -22,10 +24,17 @@ TRIGGER = "30 seconds"
 NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 
 
+# The state function runs in Python workers that may not have this package: it travels by value, and needs only plain
+# values besides numpy and pandas.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+RADIUS_NM = ref.EARTH_RADIUS_KM / ref.KM_PER_NAUTICAL_MILE
+SPEED_LIMIT, SPOOFING, SUDDEN = ref.ALERT_SPEED_LIMIT_KNOTS, ref.SPOOFING_SPEED_CHANGE, ref.SUDDEN_SPEED_CHANGE
+
+
 def _nautical_miles(lat1, lon1, lat2, lon2):
     phi1, phi2 = np.radians(lat1), np.radians(lat2)
     chord = np.sin((phi2 - phi1) / 2) ** 2 + np.cos(phi1) * np.cos(phi2) * np.sin(np.radians(lon2 - lon1) / 2) ** 2
-    return 2 * ref.EARTH_RADIUS_KM * np.arcsin(np.sqrt(np.minimum(chord, 1.0))) / ref.KM_PER_NAUTICAL_MILE
+    return 2 * RADIUS_NM * np.arcsin(np.sqrt(np.minimum(chord, 1.0)))
 
 
 def score_track(track: pd.DataFrame) -> pd.DataFrame:
@@ -35,9 +44,9 @@ def score_track(track: pd.DataFrame) -> pd.DataFrame:
     with np.errstate(divide="ignore", invalid="ignore"):
         knots = _nautical_miles(prev["lat"], prev["lon"], here["lat"], here["lon"]).to_numpy() / hours
     change = (here["sog"] - prev["sog"]).abs().fillna(0.0).to_numpy()
-    over = knots > ref.ALERT_SPEED_LIMIT_KNOTS
+    over = knots > SPEED_LIMIT
     kind = np.select(
-        [over & (change > ref.SPOOFING_SPEED_CHANGE), over, change > ref.SUDDEN_SPEED_CHANGE],
+        [over & (change > SPOOFING), over, change > SUDDEN],
         ["GPS_SPOOFING", "IMPOSSIBLE_SPEED", "SUDDEN_ACCELERATION"], default="",
     )
     hit = (hours > 0) & (kind != "")
