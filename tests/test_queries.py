@@ -5,6 +5,7 @@ import pytest
 import __spark_entry__ as entry
 from compare import compare, connect
 from conftest import SMALL
+from wakeline import oracle, registry
 
 
 @pytest.fixture(scope="module")
@@ -13,10 +14,10 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.queries()) == set(oracle.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(registry.queries()))
 def test_query_matches_sql(spark, duck, name):
     assert compare(spark, duck, name, SMALL).startswith("ok")
 
