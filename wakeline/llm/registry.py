@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wakeline.llm import chat, exact
+from wakeline.llm import bpe, chat, exact, packing
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_byte_bpe": bpe.op1,
         "op4_exact_dedup": exact.op4,
         "op9_chat_windows": chat.op9,
+        "op10_packing": packing.op10,
     }
 
 
