@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wakeline.llm import bpe, chat, exact, packing
+from wakeline.llm import bpe, chat, exact, packing, secrets
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_byte_bpe": bpe.op1,
+        "op3_secret_scan": secrets.op3,
         "op4_exact_dedup": exact.op4,
         "op9_chat_windows": chat.op9,
         "op10_packing": packing.op10,
@@ -20,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_secret_scan": secrets.OP3_SQL,
         "op4_exact_dedup": exact.OP4_SQL,
         "op9_chat_windows": chat.OP9_SQL,
     }
