@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +17,8 @@ from pyspark.sql import functions as F
 from wakeline.llm.common import put, quoted, table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-#: Characters whose new words are replayed together, and words a worker remembers from earlier blocks.
-BLOCK_CHARS, REMEMBERED = 2_000_000, 200_000
+#: Bytes whose new words are replayed together, words a worker remembers from earlier blocks, and pairs it remembers.
+BLOCK_BYTES, REMEMBERED, PAIRS = 1_000_000, 100_000, 300_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -40,7 +41,7 @@ class MergeReplay:
 
     def rank(self, left: int, right: int) -> int:
         """The token that two neighbours merge to, -1 if there is none."""
-        if len(self.pairs) > 2_000_000:
+        if len(self.pairs) > PAIRS:
             self.pairs.clear()
         found = self.pairs[left * self.WIDE + right] = self.ranks.get(self.token[left] + self.token[right], -1)
         return found
@@ -184,17 +185,12 @@ def gather(flat: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarra
     return flat[np.repeat(begin - (ends - length), length) + np.arange(total)]
 
 
-def blocks(texts: list[str]) -> Iterator[list[str]]:
-    """Whole texts in order, in lists of about BLOCK_CHARS characters."""
-    held, chars = [], 0
-    for text in texts:
-        held.append(text)
-        chars += len(text)
-        if chars >= BLOCK_CHARS:
-            yield held
-            held, chars = [], 0
-    if held:
-        yield held
+def blocks(batch: pa.Array, sizes: np.ndarray, most: int) -> Iterator[pa.Array]:
+    """Slices of whole rows whose sizes add up to about ``most``."""
+    part = np.cumsum(sizes) // most
+    cuts = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(batch)]]) if len(batch) else [0, 0]
+    for begin, end in zip(cuts[:-1], cuts[1:]):
+        yield batch.slice(begin, end - begin)
 
 
 def encode(docs: DataFrame, text: str = "text", output: str = "ids", ranks: str = RANKS,
@@ -217,8 +213,9 @@ def encode(docs: DataFrame, text: str = "text", output: str = "ids", ranks: str
         words, find = WordTable(MergeReplay(shared.value)), regex.compile(pattern).findall
         for batch in batches:
             ids, counts = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
-            for held in blocks(batch.to_pylist()):
-                found, sizes = words.encode([find(t or "") for t in held])
+            sizes = pc.fill_null(pc.binary_length(batch), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            for held in blocks(batch, sizes, BLOCK_BYTES):
+                found, sizes = words.encode([find(t or "") for t in held.to_pylist()])
                 ids.append(found)
                 counts.append(sizes)
             yield pa.ListArray.from_arrays(
@@ -239,16 +236,19 @@ def decode(docs: DataFrame, ids: str = "ids", output: str = "decoded", ranks: st
         begin = np.cumsum(np.maximum(length, 0)) - np.maximum(length, 0)
         flat = np.frombuffer(b"".join(t or b"" for t in tokens), np.uint8)
         for batch in batches:
-            out = []
-            for row in batch:
-                if not row.is_valid:
-                    out.append(None)
-                    continue
-                at = row.values.to_numpy(zero_copy_only=False).astype(np.int64)
+            sizes = pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            ends, data = [np.zeros(1, np.int64)], []
+            for held, size in zip(blocks(batch, sizes, BLOCK_BYTES), blocks(pa.array(sizes), sizes, BLOCK_BYTES)):
+                at = held.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
                 if len(at) and (at.min() < 0 or at.max() >= len(tokens) or length[at].min() < 0):
                     raise ValueError("an id that the ranks do not have")
-                out.append(gather(flat, begin[at], length[at]).tobytes())
-            yield pa.array(out, pa.binary())
+                data.append(gather(flat, begin[at], length[at]))
+                bytes_to = np.concatenate([[0], np.cumsum(length[at])])
+                ends.append(ends[-1][-1] + bytes_to[np.cumsum(size.to_numpy())])
+            buffers = [pa.py_buffer(np.concatenate(ends).astype(np.int64)), pa.py_buffer(np.concatenate([flat[:0], *data]))]
+            valid = pc.is_valid(batch)
+            whole = pa.Array.from_buffers(pa.large_binary(), len(batch), [None, *buffers])
+            yield pc.if_else(valid, whole, None).cast(pa.binary())
 
     return put(docs, {output: to_bytes(F.col(quoted(ids)))})
 
