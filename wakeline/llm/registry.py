@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wakeline.llm import bpe, chat, exact, packing, secrets
+from wakeline.llm import bpe, chat, exact, packing, secrets, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_byte_bpe": bpe.op1,
+        "op2_toxicity": toxicity.op2,
         "op3_secret_scan": secrets.op3,
         "op4_exact_dedup": exact.op4,
         "op9_chat_windows": chat.op9,
