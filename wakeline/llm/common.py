@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,3 +93,39 @@ def connected(edges: DataFrame, name: str = "components") -> DataFrame:
         seen = now
     return live.select(b.alias("node"), a.alias("component")).unionAll(
         live.select(a.alias("node"), a.alias("component")).distinct())
+
+
+def by_run(df: DataFrame, keys: list[str], fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+    """fn over each set of rows with equal keys, many sets a task: for sets that are small, many and of bounded size."""
+
+    def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        last = None
+        for batch in batches:
+            if not len(batch):
+                continue
+            new = np.zeros(len(batch), bool)
+            for k in keys:
+                new |= (batch[k] != batch[k].shift()).to_numpy()
+            new[0] = last is None or tuple(batch[k].iloc[0] for k in keys) != last
+            cuts = np.flatnonzero(new)
+            done = []
+            for begin, end in zip(np.append(0, cuts) if not new[0] else cuts, np.append(cuts if not new[0] else cuts[1:], len(batch))):
+                if new[begin] and held:
+                    done.append(fn(pd.concat(held, ignore_index=True) if len(held) > 1 else held[0]))
+                    held = []
+                held.append(batch.iloc[begin:end].reset_index(drop=True))
+            last = tuple(batch[k].iloc[-1] for k in keys)
+            if done:
+                yield pd.concat(done, ignore_index=True)
+        if held:
+            yield fn(pd.concat(held, ignore_index=True) if len(held) > 1 else held[0])
+
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(stream, schema)
+
+
+def spread(labels: np.ndarray, row: int, near: np.ndarray) -> None:
+    """Give row and all that are near it one label, the lowest that they or those joined to them have."""
+    joined = np.unique(np.append(labels[near], labels[row]))
+    if len(joined) > 1:
+        labels[np.isin(labels, joined)] = joined[0]
