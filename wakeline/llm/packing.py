@@ -10,20 +10,21 @@ import numpy as np
 import pandas as pd
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from wakeline.llm.bpe import gather
+from wakeline.llm.bpe import blocks, gather
 from wakeline.llm.common import quoted, store, table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 CAPACITY, END = 4096, 2
 #: Sequences that are balanced together, and the tokens up to which neighbouring short pieces are balanced as one.
 GROUP, CRUMB = 256, 64
-#: Characters tokenised together, and words a worker remembers.
-BLOCK_CHARS, REMEMBERED = 2_000_000, 200_000
+#: Bytes of text tokenised together, and words a worker remembers.
+BLOCK_BYTES, REMEMBERED = 1_000_000, 200_000
 
 
 def differencing(sizes: np.ndarray, ways: int) -> np.ndarray:
@@ -112,13 +113,84 @@ def words_of(text: str) -> list[str]:
     return text.split()
 
 
+class WordIds(dict):
+    """The place of each word, in the order of first sight, and the ids of the words by place."""
+
+    def __init__(self, vocabulary: str):
+        super().__init__()
+        self.tokenizer = Tokenizer.from_str(vocabulary)
+        self.tokenizer.encode_special_tokens = True
+        self.by_unit: dict[str, list[int]] = {}
+        self.forget()
+
+    def __missing__(self, word: str) -> int:
+        self[word] = place = len(self)
+        self.fresh.append(word)
+        return place
+
+    def forget(self) -> None:
+        self.clear()
+        self.by_unit.clear()
+        self.fresh: list[str] = []
+        self.flat, self.begin, self.size = np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def places(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+
+    def learn(self) -> None:
+        """Tokenise the words seen since the last time, by the tokenizer's own three steps.
+
+        A word of ASCII letters with ASCII stops behind it needs no splitting by the tokenizer: the letters are one
+        unit, the stops another. All other words are normalised and split by it, joined by blanks.
+        """
+        if not self.fresh:
+            return
+        units: list[list[str]] = [[] for _ in self.fresh]
+        hard = []
+        for i, word in enumerate(self.fresh):
+            stem = word.rstrip(".,;:!?")
+            if stem.isascii() and stem.isalpha():
+                units[i] = [stem.lower(), word[len(stem):]] if len(stem) < len(word) else [stem.lower()]
+            else:
+                hard.append(i)
+        if hard:
+            joined = self.tokenizer.normalizer.normalize_str(" ".join(self.fresh[i] for i in hard))
+            parts = joined.split(" ")
+            if len(parts) != len(hard):
+                raise ValueError("normalising made or removed a blank inside a word")
+            ends = np.cumsum(np.fromiter((len(w) + 1 for w in parts), np.int64, len(parts)))
+            split = self.tokenizer.pre_tokenizer.pre_tokenize_str(joined)
+            at = np.searchsorted(ends, np.fromiter((o[0] for _, o in split), np.int64, len(split)), side="right")
+            for (unit, _), k in zip(split, at.tolist()):
+                units[hard[k]].append(unit)
+        model, known = self.tokenizer.model, self.by_unit
+        ids: list[int] = []
+        size = []
+        for word in units:
+            before = len(ids)
+            for unit in word:
+                found = known.get(unit)
+                if found is None:
+                    found = known[unit] = [t.id for t in model.tokenize(unit)]
+                ids += found
+            size.append(len(ids) - before)
+        size = np.array(size, np.int64)
+        self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.flat = np.concatenate([self.flat, np.array(ids, "<u4")])
+        self.fresh = []
+
+    def ids(self, places: np.ndarray) -> np.ndarray:
+        return gather(self.flat, self.begin[places], self.size[places])
+
+
 def token_pieces(docs: DataFrame, text: str = "text", key: str = "doc_id", vocabulary: str = VOCABULARY,
                  end: int = END, longest: int = CAPACITY) -> DataFrame:
     """(part, before, key, start, length, doc_tokens, ids): each text's tokens and its end id, cut every ``longest``.
 
     ids are little-endian unsigned 32-bit numbers. part and before (tokens before the piece in its part) give the
-    order. The tokenizer drops white space and never joins what it parts, so words at spaces and line ends are
-    tokenised once for each worker and looked up; the vocabulary file travels as a broadcast of its size.
+    order. The tokenizer drops white space and never joins what it parts, so words at white space are tokenised once
+    for each task, as far as it remembers, and looked up; the vocabulary file travels as a broadcast of its size.
     """
     with open(vocabulary, encoding="utf-8") as file:
         shared = docs.sparkSession.sparkContext.broadcast(file.read())
@@ -126,42 +198,25 @@ def token_pieces(docs: DataFrame, text: str = "text", key: str = "doc_id", vocab
     schema = f"part int, before long, key {kind.dtypes[0][1]}, start long, length long, doc_tokens long, ids binary"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = Tokenizer.from_str(shared.value)
-        tokenizer.encode_special_tokens = True
+        known = WordIds(shared.value)
         part, before = TaskContext.get().partitionId(), 0
-        place: dict[str, int] = {}
-        flat, begin, size = np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
-            keys, texts = batch.column(0), batch.column(1).to_pylist()
+            keys, texts = batch.column(0), batch.column(1)
+            sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
             row = 0
-            while row < len(texts):
-                split, chars, first = [], 0, row
-                while row < len(texts) and chars < BLOCK_CHARS:
-                    chars += len(texts[row] or "")
-                    split.append(words_of(texts[row] or ""))
-                    row += 1
-                if len(place) > REMEMBERED:
-                    place, flat, begin, size = {}, flat[:0], begin[:0], size[:0]
-                known = len(place)
-                for words in split:
-                    for word in words:
-                        if word not in place:
-                            place[word] = len(place)
-                fresh = list(place)[known:]
-                if fresh:
-                    ids = [x.ids for x in tokenizer.encode_batch(fresh, add_special_tokens=False)]
-                    count = np.fromiter(map(len, ids), np.int64, len(ids))
-                    begin = np.concatenate([begin, len(flat) + np.cumsum(count) - count])
-                    size = np.concatenate([size, count])
-                    flat = np.concatenate([flat, np.fromiter((i for x in ids for i in x), "<u4", count.sum())])
+            for held in blocks(texts, sizes, BLOCK_BYTES):
+                if len(known) > REMEMBERED:
+                    known.forget()
+                places = [known.places(words_of(t or "")) for t in held.to_pylist()]
+                known.learn()
                 rows = []
-                for k, words in enumerate(split):
-                    at = np.fromiter((place[w] for w in words), np.int64, len(words))
-                    all_ids = np.append(gather(flat, begin[at], size[at]), np.uint32(end)).astype("<u4")
-                    for start in range(0, len(all_ids), longest):
-                        piece = all_ids[start:start + longest]
-                        rows.append((first + k, before, start, len(piece), len(all_ids), piece.tobytes()))
+                for at in places:
+                    ids = np.append(known.ids(at), np.uint32(end)).astype("<u4")
+                    for start in range(0, len(ids), longest):
+                        piece = ids[start:start + longest]
+                        rows.append((row, before, start, len(piece), len(ids), piece.tobytes()))
                         before += len(piece)
+                    row += 1
                 at, befores, starts, lengths, totals, pieces = zip(*rows)
                 yield pa.RecordBatch.from_arrays([
                     pa.array([part] * len(rows), pa.int32()), pa.array(befores, pa.int64()), keys.take(pa.array(at)),
