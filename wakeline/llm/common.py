@@ -129,3 +129,19 @@ def spread(labels: np.ndarray, row: int, near: np.ndarray) -> None:
     joined = np.unique(np.append(labels[near], labels[row]))
     if len(joined) > 1:
         labels[np.isin(labels, joined)] = joined[0]
+
+
+def settle(told: DataFrame, nodes: DataFrame, links: DataFrame, name: str) -> DataFrame:
+    """told with n_links and class_low: what links between nodes mean for every row.
+
+    told has id and node (null: the row links with nothing); nodes has node, copies and low, the smallest of its rows
+    as a struct; links has node, links (documents linked, in parts) and tied (a forest of the links).
+    """
+    classes = connected(links.select(F.col("tied").alias("a"), F.col("node").alias("b")), name)
+    by_node = nodes.select("node", "low", "copies").join(
+        links.groupBy("node").agg(F.sum("links").alias("links")), "node", "left").join(classes, "node", "left").select(
+        "node", "low", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        F.coalesce("component", "node").alias("class"))
+    lowest = by_node.groupBy("class").agg(F.min("low").alias("class_low"))
+    final = by_node.join(lowest, "class").select("node", "n_links", "class_low")
+    return told.join(final, "node", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0)).cast("long"))

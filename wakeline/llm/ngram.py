@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm.common import by_run, connected, free_names, quoted, spread, store, table
+from wakeline.llm.common import by_run, connected, quoted, settle, spread, store, table
 
 WORDS, THRESHOLD = 5, 0.8
 #: 32 bands of 5 values: a pair at the threshold shares no band with a chance of 3 in a million.
@@ -233,18 +233,11 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wo
         F.ceil(F.count(F.lit(1)) / VERIFIED), F.ceil(F.sum(F.octet_length("text")) / MEMBER_BYTES)).alias("blocks"))
     links = store(verified_links(members.join(sizes, "component"), threshold, tolerance, words), "links")
 
-    classes = connected(links.select(F.col("tied").alias("a"), F.col("node").alias("b")), "classes")
-    by_node = nodes.select("node", "low", "copies").join(
-        links.groupBy("node").agg(F.sum("links").alias("links")), "node", "left").join(classes, "node", "left").select(
-        "node", "low", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        F.coalesce("component", "node").alias("class"))
-    lowest = by_node.groupBy("class").agg(F.min("low").alias("class_low"))
-    final = by_node.join(lowest, "class").select("node", "n_links", "class_low")
-    out = told.select("id", "row_key", "node").join(final, "node", "left")
+    out = settle(told.select("id", "row_key", "node"), nodes, links, "classes")
     alone = F.col("class_low").isNull()
     return out.select(
         F.col("id").alias(key), "row_key", F.when(alone, F.col("id")).otherwise(F.col("class_low.id")).alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        "n_links",
         (alone | (F.col("row_key") == F.col("class_low.row_key"))).alias("kept"))
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wakeline.llm import bpe, chat, exact, packing, secrets, toxicity
+from wakeline.llm import bpe, chat, embeddings, exact, ngram, packing, secrets, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_toxicity": toxicity.op2,
         "op3_secret_scan": secrets.op3,
         "op4_exact_dedup": exact.op4,
+        "op5_ngram_join": ngram.op5,
+        "op8_embedding_pairs": embeddings.op8,
         "op9_chat_windows": chat.op9,
         "op10_packing": packing.op10,
     }
