@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wakeline.llm import bpe, chat, embeddings, exact, ngram, packing, secrets, toxicity
+from wakeline.llm import bpe, chat, embeddings, exact, ngram, packing, quality, secrets, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_secret_scan": secrets.op3,
         "op4_exact_dedup": exact.op4,
         "op5_ngram_join": ngram.op5,
+        "op6_quality": quality.op6,
+        "op7_web_archives": warc.op7,
         "op8_embedding_pairs": embeddings.op8,
         "op9_chat_windows": chat.op9,
         "op10_packing": packing.op10,
