@@ -109,7 +109,7 @@ def balanced(lengths: np.ndarray, capacity: int) -> np.ndarray:
 def words_of(text: str) -> list[str]:
     """text at white space; the four separators that only Python takes for white space stay in the words."""
     if any(c in text for c in "\x1c\x1d\x1e\x1f"):
-        return [w for w in re.split(r"[ \t\n\r]+", text) if w]
+        return [w for w in re.split(r"[^\S\x1c-\x1f]+", text) if w]
     return text.split()
 
 
