@@ -5,6 +5,7 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -24,7 +25,7 @@ CAPACITY, END = 4096, 2
 #: Sequences that are balanced together, and the tokens up to which neighbouring short pieces are balanced as one.
 GROUP, CRUMB = 256, 64
 #: Bytes of text tokenised together, and words a worker remembers.
-BLOCK_BYTES, REMEMBERED = 1_000_000, 200_000
+BLOCK_BYTES, REMEMBERED = 1_000_000, 400_000
 
 
 def differencing(sizes: np.ndarray, ways: int) -> np.ndarray:
@@ -101,7 +102,8 @@ def balanced(lengths: np.ndarray, capacity: int) -> np.ndarray:
         most = int(np.bincount(way, weights=sizes, minlength=ways).max())
         if most <= capacity:
             break
-        ways += 1
+        # More windows, by as much as the fullest stood out, are enough unless the next balance is worse.
+        ways = max(ways + 1, -(-most * ways // capacity))
     window[rest] = len(full) + way[item]
     return window
 
@@ -130,7 +132,8 @@ class WordIds(dict):
 
     def forget(self) -> None:
         self.clear()
-        self.by_unit.clear()
+        if len(self.by_unit) > REMEMBERED:
+            self.by_unit.clear()
         self.fresh: list[str] = []
         self.flat, self.begin, self.size = np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
@@ -145,16 +148,29 @@ class WordIds(dict):
         """
         if not self.fresh:
             return
-        units: list[list[str]] = [[] for _ in self.fresh]
+        model, known = self.tokenizer.model, self.by_unit
+        known_ids = known.get
+        found: list[list[int]] = []
         hard = []
-        for i, word in enumerate(self.fresh):
+        for word in self.fresh:
             stem = word.rstrip(".,;:!?")
-            if stem.isascii() and stem.isalpha():
-                units[i] = [stem.lower(), word[len(stem):]] if len(stem) < len(word) else [stem.lower()]
-            else:
-                hard.append(i)
+            if not (stem.isascii() and stem.isalpha()):
+                hard.append(len(found))
+                found.append([])
+                continue
+            unit = stem.lower()
+            ids = known_ids(unit)
+            if ids is None:
+                ids = known[unit] = [t.id for t in model.tokenize(unit)]
+            if len(stem) < len(word):
+                stops = word[len(stem):]
+                more = known_ids(stops)
+                if more is None:
+                    more = known[stops] = [t.id for t in model.tokenize(stops)]
+                ids = ids + more
+            found.append(ids)
         if hard:
-            joined = self.tokenizer.normalizer.normalize_str(" ".join(self.fresh[i] for i in hard))
+            joined = self.tokenizer.normalizer.normalize_str(" ".join([self.fresh[i] for i in hard]))
             parts = joined.split(" ")
             if len(parts) != len(hard):
                 raise ValueError("normalising made or removed a blank inside a word")
@@ -162,22 +178,15 @@ class WordIds(dict):
             split = self.tokenizer.pre_tokenizer.pre_tokenize_str(joined)
             at = np.searchsorted(ends, np.fromiter((o[0] for _, o in split), np.int64, len(split)), side="right")
             for (unit, _), k in zip(split, at.tolist()):
-                units[hard[k]].append(unit)
-        model, known = self.tokenizer.model, self.by_unit
-        ids: list[int] = []
-        size = []
-        for word in units:
-            before = len(ids)
-            for unit in word:
-                found = known.get(unit)
-                if found is None:
-                    found = known[unit] = [t.id for t in model.tokenize(unit)]
-                ids += found
-            size.append(len(ids) - before)
-        size = np.array(size, np.int64)
+                ids = known_ids(unit)
+                if ids is None:
+                    ids = known[unit] = [t.id for t in model.tokenize(unit)]
+                i = hard[k]
+                found[i] = found[i] + ids
+        size = np.fromiter(map(len, found), np.int64, len(found))
         self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(size) - size])
         self.size = np.concatenate([self.size, size])
-        self.flat = np.concatenate([self.flat, np.array(ids, "<u4")])
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(found), "<u4", int(size.sum()))])
         self.fresh = []
 
     def ids(self, places: np.ndarray) -> np.ndarray:
