@@ -13,9 +13,11 @@ from wakeline.operators.dedup import dedup_latest
 from wakeline.operators.incremental import EPOCH, incremental_cutoff
 from wakeline.operators.joins import left_lookup
 from wakeline.operators.merge import merge_into, merge_upsert
-from wakeline.operators.sequence import WHOLE_KEYS, busy_days, track_layout, with_previous
+from wakeline.operators.sequence import WHOLE_KEYS, busy_days, track_layout, with_chunks, with_previous
 from wakeline.plans import dark, speed
 from wakeline.plans.staging import stg_vessel_positions
+from wakeline.sources import snapshots
+from wakeline.sources.storage import Storage
 
 START = datetime(2024, 1, 1)
 
@@ -52,10 +54,14 @@ def test_previous_equals_plain_lag(spark, per_day, limit):
     assert rows(got) == rows(plain)
 
 
-def test_busy_days_cut_the_hot_day_only(spark):
-    cut = busy_days(skewed(spark), "mmsi", "event_timestamp", 100).collect()
-    assert {r["_busy_key"] for r in cut} == {"hot"}
-    assert cut[0]["_slices"] >= 9
+def test_chunks_of_the_hot_day_stay_within_the_limit(spark):
+    df, limit = skewed(spark), 100
+    cut = busy_days(df, "mmsi", "event_timestamp", limit)
+    assert {r["_busy_key"] for r in cut.collect()} == {"hot"}
+    sizes = with_chunks(df, "mmsi", "event_timestamp", cut).groupBy("mmsi", "_day", "_slice").count().collect()
+    assert sum(r["count"] for r in sizes) == df.count()
+    assert max(r["count"] for r in sizes) <= limit
+    assert len([r for r in sizes if r["mmsi"] == "hot"]) < 4 * df.where("mmsi = 'hot'").count() / limit
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
@@ -115,13 +121,14 @@ def test_merge_into_rewrites_touched_days_only(spark, tmp_path):
     schema = "id int, v string, day date"
     d1, d2, d3 = (datetime(2024, 1, d).date() for d in (1, 2, 3))
     merge_into(spark, path, spark.createDataFrame([(1, "a", d1), (2, "b", d2)], schema), "id", "day")
-    day1 = sorted(p.name for p in (tmp_path / "table" / "day=2024-01-01").iterdir())
+    first = snapshots.newest(Storage(spark, path)).days
     updates = spark.createDataFrame([(2, "B", d2), (3, "C", d3), (4, "D", d2)], schema)
     for _ in range(2):  # a second run changes nothing
         merge_into(spark, path, updates, "id", "day")
-    got = sorted((r["id"], r["v"]) for r in spark.read.parquet(path).collect())
+    got = sorted((r["id"], r["v"]) for r in snapshots.read(spark, path).collect())
     assert got == [(1, "a"), (2, "B"), (3, "C"), (4, "D")]
-    assert sorted(p.name for p in (tmp_path / "table" / "day=2024-01-01").iterdir()) == day1
+    now = snapshots.newest(Storage(spark, path)).days
+    assert now["day=2024-01-01"] == first["day=2024-01-01"] and now["day=2024-01-02"] != first["day=2024-01-02"]
 
 
 def test_cutoff_of_missing_and_empty_targets(spark):

@@ -8,10 +8,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from wakeline import schemas
+from wakeline.operators.merge import merge_into
 from wakeline.plans.refresh import refresh_gold, stored
-from wakeline.sources import compaction as c
-from wakeline.sources.files import HadoopFiles
+from wakeline.sources import snapshots
+from wakeline.sources.compaction import compact
 from wakeline.sources.layers import is_fresh, register_layers
+from wakeline.sources.sinks import materialize, write_idempotent
+from wakeline.sources.storage import Storage
 
 DATASET, DAY = "vessel_positions", "2020-01-01"
 
@@ -20,141 +23,168 @@ class Crash(RuntimeError):
     pass
 
 
-class CrashingFiles(HadoopFiles):
-    """Raises at the n-th call of one operation."""
+class Crashing(Storage):
+    """Stops the writer before its n-th file operation, whatever it is; half a commit file may be left."""
 
-    def __init__(self, spark, operation, nth):
-        super().__init__(spark)
-        self.operation, self.left = operation, nth
+    def __init__(self, spark, root, nth, torn=False):
+        super().__init__(spark, root)
+        self.left, self.torn, self.done = nth, torn, 0
 
-    def _maybe(self, operation):
-        if operation == self.operation:
-            self.left -= 1
-            if self.left == 0:
-                raise Crash(operation)
+    def _step(self):
+        self.left -= 1
+        self.done += 1
+        if self.left == 0:
+            raise Crash
 
-    def move(self, source, target):
-        self._maybe("move")
-        super().move(source, target)
+    def create(self, name, text):
+        try:
+            self._step()
+        except Crash:
+            if self.torn:
+                super().create(name, text[: len(text) // 2])
+            raise
+        super().create(name, text)
 
-    def remove(self, path):
-        self._maybe("remove")
-        super().remove(path)
+    def delete(self, name):
+        self._step()
+        super().delete(name)
 
-    def write_text(self, path, text):
-        self._maybe("write_text")
-        super().write_text(path, text)
 
+@pytest.fixture
+def path(spark, tmp_path):
+    """Two days in plain folders of six and three files, as streams leave them."""
+    root = f"{tmp_path}/silver/{DATASET}"
+    for first in range(0, 900, 100):
+        append(spark, root, first, 100, DAY if first < 600 else "2020-01-02")
+    return root
 
-class Day:
-    def __init__(self, spark, base):
-        self.spark, self.base = spark, str(base / "silver")
-        self.folder = f"{self.base}/{DATASET}/partition_date={DAY}"
 
-    def add(self, first, rows):
-        (
-            self.spark.range(first, first + rows)
-            .selectExpr("cast(id as string) as mmsi", "id * 1.5 as speed", f"date'{DAY}' as partition_date")
-            .coalesce(1).write.mode("append").partitionBy("partition_date").parquet(f"{self.base}/{DATASET}")
-        )
+def append(spark, root, first, rows, day=DAY):
+    frame = spark.range(first, first + rows).selectExpr("id", "id * 1.5 as speed", f"date'{day}' as partition_date")
+    frame.coalesce(1).write.mode("append").partitionBy("partition_date").parquet(root)
 
-    def files(self):
-        return sorted(f for f in os.listdir(self.folder) if f.endswith(".parquet"))
 
-    def ids(self):
-        return sorted(int(r["mmsi"]) for r in self.spark.read.parquet(f"{self.base}/{DATASET}").collect())
+def ids(spark, root):
+    return sorted(r["id"] for r in snapshots.read(spark, root).collect())
 
-    def staged(self):
-        root = f"{self.base}/{c.STAGING}"
-        return [f for _, _, names in os.walk(root) for f in names]
 
-    def compact(self, **options):
-        return c.compact(self.spark, self.base, DATASET, DAY, **options)
+def run_compaction(spark, root, storage=None, **options):
+    base, dataset = root.rsplit("/", 1)
+    return compact(spark, base, dataset, DAY, storage=storage, **options)
 
 
-@pytest.fixture
-def day(spark, tmp_path):
-    table = Day(spark, tmp_path)
-    for i in range(6):
-        table.add(i * 100, 100)
-    return table
+def run_merge(spark, root, storage=None):
+    updates = spark.range(550, 620).selectExpr(
+        "id", "-1.0D as speed", "if(id < 600, date'2020-01-01', date'2020-01-02') as partition_date")
+    merge_into(spark, root, updates, "id", "partition_date", storage=storage)
+
+
+def run_materialize(spark, root, storage=None):
+    materialize(snapshots.read(spark, root).where("id >= 100"), root, "partition_date", ["id"], storage=storage)
+
+
+def contents(spark, root):
+    return sorted((r["id"], float(r["speed"]), str(r["partition_date"])) for r in snapshots.read(spark, root).collect())
 
 
-def test_normal_run(spark, day):
-    report = day.compact()
+@pytest.mark.parametrize("torn", [False, True])
+@pytest.mark.parametrize("run", [run_compaction, run_merge, run_materialize])
+def test_a_stop_at_any_file_operation_loses_and_doubles_nothing(spark, path, tmp_path, run, torn):
+    before = contents(spark, path)
+    whole = f"{tmp_path}/whole/{DATASET}"
+    shutil.copytree(path, whole)
+    run(spark, whole)
+    after = contents(spark, whole)
+    assert len(after) == len({r[0] for r in after})
+    stops = 0
+    for nth in range(1, 40):
+        copy = f"{tmp_path}/stop{nth}/{DATASET}"
+        shutil.copytree(path, copy)
+        try:
+            run(spark, copy, Crashing(spark, copy, nth, torn))
+        except Crash:
+            stops += 1
+            assert contents(spark, copy) in (before, after)
+            run(spark, copy)
+        assert contents(spark, copy) == after
+        if stops < nth:
+            break
+    assert 3 <= stops < 39
+
+
+def test_compaction_and_its_leftovers(spark, path):
+    report = run_compaction(spark, path)
     assert (report["status"], report["files_before"], report["files_after"], report["rows"]) == ("compacted", 6, 1, 600)
-    assert day.ids() == list(range(600)) and len(day.files()) == 1 and day.staged() == []
-    assert spark.read.parquet(f"{day.folder}/{day.files()[0]}").columns == ["mmsi", "speed"]
-    assert day.compact()["status"] == "skipped"
-
-
-def test_late_file_survives(spark, day, monkeypatch):
-    real = c.carry_out
-    monkeypatch.setattr(c, "carry_out", lambda files, run: (day.add(9000, 10), real(files, run)))
-    day.compact()
-    assert day.ids() == list(range(600)) + list(range(9000, 9010)) and len(day.files()) == 2
-
-
-@pytest.mark.parametrize("operation, nth", [("move", 1), ("move", 2), ("remove", 1), ("remove", 3), ("write_text", 1)])
-def test_crash_is_repaired_by_the_next_run(spark, day, operation, nth):
-    size = sum(os.path.getsize(f"{day.folder}/{f}") for f in day.files())
-    options = {"target_bytes": size // 2 + 1}
-    with pytest.raises(Crash):
-        day.compact(files=CrashingFiles(spark, operation, nth), **options)
-    assert set(range(600)) <= set(day.ids())
-    day.compact(**options)
-    assert day.ids() == list(range(600)) and day.staged() == []
-
-
-def test_lost_staged_file_deletes_nothing(spark, day):
-    with pytest.raises(Crash):
-        day.compact(files=CrashingFiles(spark, "move", 1))
-    run = [d for d, _, names in os.walk(f"{day.base}/{c.STAGING}") if "part" in "".join(names) and d.endswith("data")]
-    for folder in run:
-        shutil.move(folder, str(day.base) + "-gone")
-    with pytest.raises(RuntimeError, match="no old file was deleted"):
-        day.compact()
-    assert day.ids() == list(range(600))
-
-
-def test_dry_run_split_and_temporary_files(spark, day):
-    before = day.files()
-    os.makedirs(f"{day.folder}/_temporary/0")
-    shutil.copy(f"{day.folder}/{before[0]}", f"{day.folder}/_temporary/0/busy.parquet")
-    assert day.compact(dry_run=True)["status"] == "dry-run"
-    assert day.files() == before and day.staged() == []
-    size = sum(os.path.getsize(f"{day.folder}/{f}") for f in before)
-    assert day.compact(target_bytes=size // 2 + 1)["files_after"] == 2
-    assert day.ids() == list(range(600)) and os.path.exists(f"{day.folder}/_temporary/0/busy.parquet")
+    assert ids(spark, path) == list(range(900))
+    assert not os.path.exists(f"{path}/partition_date={DAY}") and os.path.exists(f"{path}/partition_date=2020-01-02")
+    assert run_compaction(spark, path)["status"] == "skipped"
+    append(spark, path, 9000, 10)
+    assert ids(spark, path) == list(range(900)) + list(range(9000, 9010))
+    assert run_compaction(spark, path)["rows"] == 610 and ids(spark, path)[-1] == 9009
+
+
+def test_rows_that_arrive_during_compaction_stay(spark, path, monkeypatch):
+    real = snapshots.change
+    monkeypatch.setattr(snapshots, "change", lambda *a, **k: (append(spark, path, 9000, 10), real(*a, **k))[1])
+    run_compaction(spark, path)
+    assert ids(spark, path) == list(range(900)) + list(range(9000, 9010))
+
+
+def test_dry_run_target_size_and_temporary_files(spark, path):
+    folder = f"{path}/partition_date={DAY}"
+    before = sorted(f for f in os.listdir(folder) if f.endswith(".parquet"))
+    os.makedirs(f"{folder}/_temporary/0")
+    shutil.copy(f"{folder}/{before[0]}", f"{folder}/_temporary/0/busy.parquet")
+    assert run_compaction(spark, path, dry_run=True)["status"] == "dry-run"
+    assert sorted(f for f in os.listdir(folder) if f.endswith(".parquet")) == before
+    size = sum(os.path.getsize(f"{folder}/{f}") for f in before)
+    assert run_compaction(spark, path, target_bytes=size // 2 + 1)["files_after"] == 2
+    assert ids(spark, path) == list(range(900))
 
 
 def test_batch_folders_of_a_stream(spark, tmp_path):
     """Idempotent micro-batches, one of them processed twice, then compacted."""
-    from wakeline.sources.sinks import write_idempotent
-
-    base = str(tmp_path / "silver")
+    root = f"{tmp_path}/silver/{DATASET}"
     for epoch in (0, 1, 1, 2):
         rows = spark.range(epoch * 10, epoch * 10 + 10).withColumn("partition_date", F.lit(DAY).cast("date"))
-        write_idempotent(rows, f"{base}/{DATASET}", epoch, ["partition_date"], files=1)
-    table = spark.read.parquet(f"{base}/{DATASET}")
-    assert table.count() == 30 and {r["batch"] for r in table.collect()} == {0, 1, 2}
-    report = c.compact(spark, base, DATASET, DAY)
+        write_idempotent(rows, root, epoch, ["partition_date"])
+    assert spark.read.parquet(root).count() == 30
+    report = run_compaction(spark, root)
     assert (report["files_before"], report["files_after"], report["rows"]) == (3, 1, 30)
-    assert sorted(r["id"] for r in spark.read.parquet(f"{base}/{DATASET}").collect()) == list(range(30))
-    assert len(os.listdir(f"{base}/{DATASET}/partition_date={DAY}")) == 1
+    assert ids(spark, root) == list(range(30))
+    write_idempotent(spark.range(30, 40).withColumn("partition_date", F.lit(DAY).cast("date")), root, 3, ["partition_date"])
+    assert ids(spark, root) == list(range(40))
+
 
+def test_large_batches_are_written_by_several_tasks(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        rows = spark.range(0, 60_000, 1, 1).selectExpr("id", "sha2(cast(id as string), 256) as s", "date'2020-01-01' as partition_date")
+        write_idempotent(rows, str(tmp_path / "t"), 0, ["partition_date"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len([f for f in os.listdir(tmp_path / "t" / "partition_date=2020-01-01" / "batch=0") if f.endswith(".parquet")]) > 3
 
-def test_guards(spark):
+
+def test_guards(spark, path):
+    today = datetime.now(timezone.utc).date().isoformat()
     with pytest.raises(ValueError):
-        c.compact(spark, "/nowhere", DATASET, c.today_utc())
-    assert [c.is_data_file(n) for n in ("a.parquet", "_a.parquet", ".a.parquet", "a.crc")] == [True, False, False, False]
-    mb = 1024 * 1024
-    assert [c.output_files(n * mb, 256 * mb) for n in (0, 100, 257, 1024)] == [1, 1, 2, 4]
-    assert not c.staging_folder("b", DATASET, DAY).startswith(f"b/{DATASET}/")
+        compact(spark, "/nowhere", DATASET, today)
+    storage = Storage(spark, path)
+    storage.create("_commits/000000000001.json", "{}{")
+    with pytest.raises(Exception):
+        storage.create("_commits/000000000001.json", "again")
+    assert snapshots.newest(storage).number == 0 and ids(spark, path) == list(range(900))
+
 
+def test_a_table_that_became_empty_keeps_its_columns(spark, path):
+    materialize(snapshots.read(spark, path).where("id < 0"), path, "partition_date")
+    empty = snapshots.read(spark, path)
+    assert empty.count() == 0 and set(empty.columns) == {"id", "speed", "partition_date"}
+    assert snapshots.exists(spark, path) and not snapshots.exists(spark, path + "-none")
 
-def test_freshness(spark, day):
-    path = f"{day.base}/{DATASET}"
+
+def test_freshness(spark, path):
     now = datetime.now(timezone.utc).replace(tzinfo=None)
     assert is_fresh(spark, path, 2)
     assert not is_fresh(spark, path, 2, as_of=now + timedelta(hours=5))
@@ -198,6 +228,15 @@ def test_refresh_waits_for_fresh_silver(spark, root):
     assert refresh_gold(spark, root[0], now=later) == {"status": "skipped"}
 
 
+def test_refresh_of_a_day_without_ships(spark, root, tmp_path):
+    """Coast stations alone: every model is empty, nothing fails."""
+    path = str(tmp_path)
+    shutil.copytree(f"{root[0]}/silver/metadata", f"{path}/silver/metadata")
+    stations = spark.read.parquet(f"{root[0]}/silver/positions").limit(20).withColumn("mmsi", F.concat(F.lit("00"), F.substring("mmsi", 3, 7)))
+    stations.write.partitionBy("partition_date").parquet(f"{path}/silver/positions")
+    assert refresh_gold(spark, path, as_of="2024-01-04")["status"] == "refreshed"
+
+
 def test_layer_views(spark, root, tmp_path):
     path = str(tmp_path)
     shutil.copytree(f"{root[0]}/silver", f"{path}/silver")

@@ -57,10 +57,6 @@ def bucket_label(ts: Column, seconds: int = 300) -> Column:
     return F.date_format(F.timestamp_seconds(start), "HH:mm")
 
 
-def hours_before(ts: datetime, hours: int) -> Column:
-    return F.lit(ts) - F.expr(f"interval {int(hours)} hours")
-
-
 def as_timestamp(as_of: datetime | str | Column | None) -> Column:
     if as_of is None:
         return F.current_timestamp()

@@ -56,7 +56,7 @@ def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
             "silver-positions": (schemas.BRONZE_POSITIONS, ingest.silver_batch),
             "silver-metadata": (schemas.BRONZE_METADATA_INPUT, ingest.silver_metadata_batch),
         }[args.job]
-        more = {"audit_path": args.audit, "files": args.files}
+        more = {"audit_path": args.audit}
         if args.job.startswith("bronze"):
             more["publish"] = _publisher(args)
         name = args.job.replace("-", "_")
@@ -141,7 +141,6 @@ def parser() -> argparse.ArgumentParser:
         else:
             job.add_argument("--output", required=True)
             job.add_argument("--audit")
-            job.add_argument("--files", type=int, default=2 if name == "silver-positions" else 1)
             job.add_argument("--sink", help="also publish keyed JSON, e.g. kafka")
     job = jobs.add_parser("compact")
     job.set_defaults(run=run_compaction)

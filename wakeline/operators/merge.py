@@ -6,10 +6,9 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from wakeline.session import shared_dir
-from wakeline.sources.files import HadoopFiles
+from wakeline.sources import snapshots
+from wakeline.sources.storage import Storage
 
 
 def merge_upsert(target: DataFrame, updates: DataFrame, key: str, sync_schema: bool = False) -> DataFrame:
@@ -26,31 +25,33 @@ def merge_upsert(target: DataFrame, updates: DataFrame, key: str, sync_schema: b
 
 def merge_into(
     spark: SparkSession, path: str, updates: DataFrame, key: str, partition_by: str, sync_schema: bool = False,
-    sort_by: Sequence[str] = (),
+    sort_by: Sequence[str] = (), storage: Storage | None = None,
 ) -> None:
-    """Upsert into a Parquet table partitioned by day, rewriting only the days the updates touch.
+    """Upsert into a table partitioned by day, rewriting only the days the updates touch.
 
-    A key must determine its day (event ids hash the event time), so no other day can hold a matching row. The merged
-    days are first written to the shared folder and then moved in with dynamic partition overwrite: the table is never
-    overwritten while it is being read, and a job that died half-way can simply run again.
+    A key must determine its day (event ids hash the event time), so no other day can hold a matching row. The updates
+    are computed once, into a folder beside the table's data. The merged days become visible by one commit (see
+    ``snapshots``): a job that dies at any point leaves the table as it was or as it should be, and can run again.
     """
-    files = HadoopFiles(spark)
-    staging = f"{shared_dir(spark)}/merge-{uuid.uuid4().hex}"
-    updates.write.parquet(f"{staging}/updates")
-    updates = spark.read.parquet(f"{staging}/updates")
-    stored_days = [p for p, _ in files.children(path, folders=True) if p.rsplit("/", 1)[-1].startswith(f"{partition_by}=")]
+    storage = storage or Storage(spark, path)
+    staged = f"{snapshots.DATA}/updates-{uuid.uuid4().hex}"
+    snapshots.clean(storage)
+    updates.write.partitionBy(partition_by).parquet(storage.at(staged))
+    days = [d for d in storage.folders(staged) if "=" in d]
+    if not days:
+        updates, days = updates.limit(0), []
+    else:
+        updates = spark.read.schema(updates.schema).parquet(storage.at(staged)).select(*updates.columns)
+    commit = snapshots.newest(storage)
+    taken = [f.name for f in snapshots.outside(storage, commit) if f.name.split("/")[0] in days]
     merged = updates
-    if stored_days:
-        # one value per calendar day touched
-        days = [r[0] for r in updates.select(partition_by).distinct().collect()]
-        stored = spark.read.option("mergeSchema", "true").parquet(path)
-        merged = merge_upsert(stored.filter(F.col(partition_by).isin(days)), updates, key, sync_schema)
-    merged.write.parquet(f"{staging}/merged")
-    (
-        spark.read.parquet(f"{staging}/merged")
-        .hint("rebalance", partition_by)
-        .sortWithinPartitions(partition_by, *sort_by)
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_by).parquet(path)
-    )
-    files.remove(staging)
+    if taken or any(d in commit.days for d in days):
+        merged = merge_upsert(snapshots.read(spark, path, days=days), updates, key, sync_schema)
+
+    def write(folder: str) -> None:
+        (
+            merged.hint("rebalance", partition_by).sortWithinPartitions(partition_by, *sort_by)
+            .write.partitionBy(partition_by).parquet(folder)
+        )
+
+    snapshots.change(storage, write, merged.schema, lambda _: True, taken, keep_folders=[staged])

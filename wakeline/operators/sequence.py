@@ -3,9 +3,9 @@
 A plain ``lag`` over ``partitionBy(vessel)`` sorts everything a vessel ever sent in a single task, which breaks as
 soon as one MMSI (a shared default number, say) holds a large share of the rows. So the rows per key are counted
 first, from two columns. While every key is small enough the plain window is used: one shuffle, one sort. Otherwise
-each track is cut into chunks of one day, and days that are still too large into equal time slices: ``lag`` runs
-inside the chunks, and the first row of a chunk takes its predecessor from the edge rows (first and last row of every
-chunk), a set of two rows per chunk.
+each track is cut into chunks of one day, and days that are still too large where the running count of their rows
+passes the limit: ``lag`` runs inside the chunks, and the first row of a chunk takes its predecessor from the edge rows
+(first and last row of every chunk), a set of two rows per chunk.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 DAY_SECONDS = 86_400
 ROWS_PER_WINDOW = 2_000_000
-MAX_BUSY_DAYS = 200_000  # rows of the broadcast table of busy days: about 10 MB
 
 
 @dataclass(frozen=True)
@@ -35,40 +34,46 @@ def track_layout(df: DataFrame, key: str, time: str, rows_per_window: int = ROWS
     """Count the rows per key (combined before the shuffle) and choose. An upper bound will do: count the stored
     rows before filters and joins, and pass the layout on to every model built on them."""
     per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    largest, total = per_key.agg(F.max("_rows"), F.sum("_rows")).first()
+    largest = per_key.agg(F.max("_rows")).first()[0]
     if largest is None or largest <= rows_per_window:
         return WHOLE_KEYS
-    # a day is busy only above total/MAX_BUSY_DAYS rows, so fewer than MAX_BUSY_DAYS days can be
-    limit = max(rows_per_window, -(-total // MAX_BUSY_DAYS))
-    return TrackLayout(False, busy_days(df, key, time, limit))
+    return TrackLayout(False, busy_days(df, key, time, rows_per_window))
 
 
 def busy_days(df: DataFrame, key: str, time: str, rows_per_window: int = ROWS_PER_WINDOW) -> DataFrame:
-    """(key, day, number of slices) for every key-day with more than ``rows_per_window`` rows.
+    """(key, day, cuts) for every key-day with more than ``rows_per_window`` rows.
 
-    At most rows/rows_per_window key-days can qualify, so the result is small by construction. Slices are of equal
-    width: event times are unique per vessel once de-duplicated, which bounds what any stretch of time can hold.
+    Rows are counted by second; a cut is the second with which the running count of the day passes a multiple of
+    half the limit, so a chunk has at most the limit unless one second has more than half of it. Event times are unique per
+    vessel once de-duplicated: a second then holds no more than a million rows. A key-day has 86,400 counts at most,
+    and all cuts together are no more than rows / limit x 2.
     """
+    day, second = F.to_date(time).alias("_busy_day"), F.floor(F.unix_micros(time) / F.lit(1e6) % DAY_SECONDS).alias("_second")
+    counts = df.groupBy(F.col(key).alias("_busy_key"), day, second).agg(F.count(F.lit(1)).alias("_rows"))
+    track = Window.partitionBy("_busy_key", "_busy_day")
+    before = F.sum("_rows").over(track.orderBy("_second").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_rows")
+    part = F.floor(before / F.lit(max(1, rows_per_window // 2)))
     return (
-        df.groupBy(F.col(key).alias("_busy_key"), F.to_date(time).alias("_busy_day"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > rows_per_window)
-        .select("_busy_key", "_busy_day", F.ceil(F.col("_rows") / rows_per_window).alias("_slices"))
+        counts.withColumns({"_total": F.sum("_rows").over(track), "_part": part})
+        .filter(F.col("_total") > rows_per_window)
+        .groupBy("_busy_key", "_busy_day", "_part").agg(F.min("_second").alias("_cut"))
+        .groupBy("_busy_key", "_busy_day").agg(F.sort_array(F.collect_list("_cut")).alias("_cuts"))
     )
 
 
 def with_chunks(df: DataFrame, key: str, time: str, busy: DataFrame) -> DataFrame:
-    """Add ``_day`` and ``_slice``; together with the key they name one chunk of a track."""
+    """Add ``_day`` and ``_slice``; together with the key they name one chunk of a track.
+
+    The busy days come by a plain join: Spark sends them to every task if they are small, and shuffles otherwise,
+    splitting the partition of a key-day with very many rows.
+    """
     df = df.withColumn("_day", F.to_date(time))
-    second_of_day = F.unix_micros(time) / F.lit(1e6) % DAY_SECONDS
+    second = F.floor(F.unix_micros(time) / F.lit(1e6) % DAY_SECONDS)
+    passed = F.size(F.filter("_cuts", lambda cut: cut <= second))
     return (
-        df.join(
-            F.broadcast(busy),  # at most MAX_BUSY_DAYS rows, see track_layout
-            F.col(key).eqNullSafe(F.col("_busy_key")) & F.col("_day").eqNullSafe(F.col("_busy_day")),
-            "left",
-        )
-        .withColumn("_slice", F.coalesce(F.floor(second_of_day * F.col("_slices") / DAY_SECONDS), F.lit(0)))
-        .drop("_busy_key", "_busy_day", "_slices")
+        df.join(busy, F.col(key).eqNullSafe(F.col("_busy_key")) & F.col("_day").eqNullSafe(F.col("_busy_day")), "left")
+        .withColumn("_slice", F.when(F.col("_cuts").isNotNull(), passed).otherwise(F.lit(0)))
+        .drop("_busy_key", "_busy_day", "_cuts")
     )
 
 

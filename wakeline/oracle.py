@@ -660,5 +660,14 @@ def sql(name: str) -> str:
     return f"WITH {blocks}\nSELECT * FROM ({select})"
 
 
+TABLES_READ_BACK = {
+    "merge_into_table": """
+        SELECT event_id, event_type, CASE WHEN event_type = 'purchase' THEN value * 2 ELSE value END AS value,
+               CAST(CAST(ts AS DATE) AS VARCHAR) AS day
+        FROM events WHERE event_type = 'purchase' OR ts < TIMESTAMP '2024-01-16'""",
+    "compact_table": "SELECT event_id, event_type, value, CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM events",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {name: sql(name) for name in FINAL}
+    return {name: sql(name) for name in FINAL} | TABLES_READ_BACK

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from wakeline.functions import clean, lookup
 from wakeline.functions.timeparts import normalize_time, stamp
 from wakeline.operators.dedup import dedup_latest
-from wakeline.operators.merge import merge_upsert
+from wakeline.operators.merge import merge_into, merge_upsert
 from wakeline.operators.sequence import TrackLayout, track_layout
 from wakeline.plans import activity, alerts, bronze, dark, erratic, loiter, ports, reports, risk, silver, speed, staging
 from wakeline.quality.expectations import expect
@@ -23,7 +23,9 @@ from wakeline.quality.suites import SUITES
 from wakeline.schemas import RAW_POSITION, RAW_STATIC
 from wakeline.session import shared_dir, use_utc
 from wakeline.sources import events_adapter as adapter
-from wakeline.sources import layers, routing
+from wakeline.sources import layers, routing, snapshots
+from wakeline.sources.compaction import compact
+from wakeline.sources.sinks import materialize, write_idempotent
 from wakeline.sources.streams import parse_json
 from wakeline.streaming import alerts as live
 from wakeline.streaming import ingest
@@ -454,6 +456,37 @@ QUERIES |= {
 }
 
 
+# Tables written, changed and read back.
+
+
+def by_day(f: Frames) -> DataFrame:
+    return f.table("events").select("event_id", "event_type", "value", F.to_date("ts").alias("day"))
+
+
+def merge_into_table(f: Frames) -> DataFrame:
+    """The first half of the month, then a merge of all purchases with twice their value, over new and old days."""
+    path = f.scratch("merge")
+    rows = by_day(f)
+    materialize(rows.where("day < date'2024-01-16'"), path, "day", ["event_id"])
+    merge_into(f.spark, path, rows.where("event_type = 'purchase'").withColumn("value", F.col("value") * 2), "event_id", "day")
+    return comparable(snapshots.read(f.spark, path))
+
+
+def compact_table(f: Frames) -> DataFrame:
+    """Micro-batches of every event type, one of them replayed, then one day compacted; rows and files left by day."""
+    path = f.scratch("compact")
+    rows = by_day(f).withColumnRenamed("day", "partition_date")
+    for epoch, kind in enumerate(("view", "click", "purchase", "click")):
+        batch = rows.where(F.col("event_type") == kind) if kind != "view" else rows.where("event_type NOT IN ('click', 'purchase')")
+        write_idempotent(batch, f"{path}/events", 1 if epoch == 3 else epoch, ["partition_date"])
+    compact(f.spark, path, "events", "2024-01-02")
+    table = snapshots.read(f.spark, f"{path}/events")
+    return comparable(table.select("event_id", "event_type", "value", F.col("partition_date").alias("day")))
+
+
+QUERIES |= {"merge_into_table": merge_into_table, "compact_table": compact_table}
+
+
 def layer_gap(f: Frames) -> DataFrame:
     gap = reports.layer_gap(layer_audit(f), minutes=15, as_of="2024-01-02 12:00:00")
     return gap.withColumn("gap", F.round("gap", 6))

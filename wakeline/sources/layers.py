@@ -9,15 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeline import schemas
+from wakeline.sources import snapshots
 
 
 def read_layer(spark: SparkSession, path: str, fields: schemas.Fields | None = None) -> DataFrame:
-    """A Hive-partitioned Parquet folder. Files and folders starting with ``_`` or ``.`` are never read. With
-    ``fields`` the declared schema is used and no file is opened to infer one."""
-    reader = spark.read
-    if fields:
-        reader = reader.schema(schemas.ddl(fields))
-    return reader.parquet(path)
+    """A table of day folders, whether or not some of its days were compacted. With ``fields`` the declared schema is
+    used and no file is opened to infer one."""
+    return snapshots.read(spark, path, schemas.ddl(fields) if fields else None)
 
 
 def read_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:

@@ -3,60 +3,65 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wakeline.sources import snapshots
+from wakeline.sources.storage import Storage
 from wakeline.sources.streams import to_keyed_json
 
+ROWS_PER_FILE = 5_000_000
 
-def _append(df: DataFrame, path: str, partition_by: Sequence[str], files: int) -> None:
-    df.coalesce(files).write.mode("append").partitionBy(*partition_by).parquet(path)
 
-
-def write_bronze_positions(df: DataFrame, path: str, files: int = 1) -> None:
-    """Append one micro-batch by event date and hour. For a backfill pass more ``files``: one task writes each."""
-    _append(df, path, ["partition_date", "partition_hour"], files)
-
-
-def write_bronze_metadata(df: DataFrame, path: str, files: int = 1) -> None:
-    _append(df, path, ["partition_date"], files)
-
-
-def write_silver_positions(df: DataFrame, path: str, files: int = 2) -> None:
-    """Append by event date, skipping an empty batch."""
-    if not df.isEmpty():
-        _append(df, path, ["partition_date"], files)
-
-
-def write_silver_metadata(df: DataFrame, path: str, files: int = 1) -> None:
-    if not df.isEmpty():
-        _append(df, path, ["partition_date"], files)
-
-
-def write_idempotent(df: DataFrame, path: str, epoch_id: int, partition_by: Sequence[str] = (), files: int = 2) -> None:
+def write_idempotent(
+    df: DataFrame, path: str, epoch_id: int, partition_by: Sequence[str] = (), rows_per_file: int = ROWS_PER_FILE
+) -> None:
     """Write one micro-batch into its own ``<day>/batch=<epoch>`` folders, replacing what an earlier try left there.
 
-    A batch that is processed again holds the same rows, so it replaces exactly its own folders. The day comes first
-    in the path: readers prune by day, and a closed day can be compacted.
+    A batch that is processed again holds the same rows in the same days, so it replaces exactly its own folders. The
+    day comes first in the path: readers prune by day, and a closed day can be compacted. Tasks get even shares of
+    the rows: a small batch makes few files, a large one as many tasks and files as it needs.
     """
     (
-        df.repartition(files).withColumn("batch", F.lit(str(epoch_id)))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        df.withColumn("batch", F.lit(str(epoch_id))).hint("rebalance")
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", rows_per_file)
         .partitionBy(*partition_by, "batch").parquet(path)
     )
 
 
+def first_clock(spark: SparkSession, path: str, epoch_id: int) -> datetime:
+    """The time (UTC) at which this batch was first tried: later tries get the same, whatever day they run on.
+
+    It is kept in ``<path>/_clocks``, for the latest hundred batches; Spark repeats only the last one.
+    """
+    storage = Storage(spark, f"{path}/_clocks")
+    name = f"{epoch_id:012d}"
+    if not storage.exists(name):
+        storage.create(name, datetime.now(timezone.utc).replace(tzinfo=None).isoformat())
+        for old in storage.files()[:-100]:
+            storage.delete(old.name)
+    return datetime.fromisoformat(storage.text(name))
+
+
 def publish(df: DataFrame, sink: str, key: str = "MMSI", **options: str) -> None:
     """Write rows as keyed JSON, e.g. ``publish(df, "kafka", topic=..., **{"kafka.bootstrap.servers": ...})``."""
     to_keyed_json(df, key).write.format(sink).mode("append").options(**options).save()
 
 
-def materialize(df: DataFrame, path: str, partition_by: str, sort_by: Sequence[str] = ()) -> None:
+def materialize(df: DataFrame, path: str, partition_by: str, sort_by: Sequence[str] = (), storage: Storage | None = None) -> None:
     """Full refresh of a table partitioned by day and sorted for row-group skipping.
 
-    The rebalance hint lets adaptive execution split a day that is far larger than the others and merge tiny ones.
-    The frame must not read ``path`` itself.
+    The new rows replace all old ones by one commit (see ``snapshots``), so readers always find a whole table and the
+    frame may read the table itself. The rebalance hint lets adaptive execution split a day that is far larger than
+    the others and merge tiny ones.
     """
-    spread = df.hint("rebalance", partition_by)
-    spread.sortWithinPartitions(partition_by, *sort_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
+    storage = storage or Storage(df.sparkSession, path)
+    old = [f.name for f in snapshots.outside(storage, snapshots.newest(storage))]
+
+    def write(folder: str) -> None:
+        spread = df.hint("rebalance", partition_by)
+        spread.sortWithinPartitions(partition_by, *sort_by).write.partitionBy(partition_by).parquet(folder)
+
+    snapshots.change(storage, write, df.schema, lambda _: False, old)

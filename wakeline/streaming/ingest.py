@@ -37,17 +37,23 @@ def audit(batch: DataFrame, path: str, layer: str, epoch_id: int, read: int, wri
 
 def _fan_out(
     transform: Callable[[DataFrame, str], DataFrame], layer: str, archive: str, partition_by: list[str],
-    publish: Publish | None, audit_path: str | None, files: int,
+    publish: Publish | None, audit_path: str | None, by_clock: str | None = None,
 ) -> BatchFn:
+    """With ``by_clock``, a column that holds the time of the first try, the rows' day comes from it too."""
+
     def run(batch: DataFrame, epoch_id: int) -> None:
         started = time.monotonic()
         # one micro-batch: read and parsed once, and both sinks get the very same rows and clock stamps
         batch = batch.persist()
-        rows = transform(batch, batch_name(epoch_id)).persist()
+        rows = transform(batch, batch_name(epoch_id))
+        if by_clock is not None:
+            clock = F.lit(sinks.first_clock(batch.sparkSession, archive, epoch_id).isoformat(sep=" ")).cast("timestamp")
+            rows = rows.withColumns({by_clock: clock, "partition_date": F.to_date(clock)})
+        rows = rows.persist()
         try:
             if batch.isEmpty():
                 return
-            sinks.write_idempotent(rows, archive, epoch_id, partition_by, files)
+            sinks.write_idempotent(rows, archive, epoch_id, partition_by)
             if publish is not None:
                 publish(rows)
             if audit_path is not None:
@@ -59,27 +65,24 @@ def _fan_out(
     return run
 
 
-def bronze_batch(
-    archive: str, publish: Publish | None = None, audit_path: str | None = None, files: int = 1, **lineage
-) -> BatchFn:
+def bronze_batch(archive: str, publish: Publish | None = None, audit_path: str | None = None, **lineage) -> BatchFn:
     """Position messages: validate once, write the archive and publish the very same (persisted) rows."""
     lineage.setdefault("source_file", archive)
     return _fan_out(
         lambda batch, name: bronze_positions(batch, name, **lineage), "bronze_positions", archive,
-        ["partition_date", "partition_hour"], publish, audit_path, files,
+        ["partition_date", "partition_hour"], publish, audit_path,
     )
 
 
-def bronze_metadata_batch(
-    archive: str, publish: Publish | None = None, audit_path: str | None = None, files: int = 1, **lineage
-) -> BatchFn:
+def bronze_metadata_batch(archive: str, publish: Publish | None = None, audit_path: str | None = None, **lineage) -> BatchFn:
+    """Static messages carry no event time: their day is that of the batch's first try, also when it is replayed."""
     return _fan_out(
         lambda batch, name: bronze_metadata(batch, name, **lineage), "bronze_metadata", archive,
-        ["partition_date"], publish, audit_path, files,
+        ["partition_date"], publish, audit_path, by_clock="ingestion_timestamp",
     )
 
 
-def silver_batch(table: str, audit_path: str | None = None, files: int = 2) -> BatchFn:
+def silver_batch(table: str, audit_path: str | None = None) -> BatchFn:
     """Bronze rows of one micro-batch -> silver: de-duplicated and compared within the batch."""
 
     def transform(batch: DataFrame, name: str) -> DataFrame:
@@ -88,16 +91,14 @@ def silver_batch(table: str, audit_path: str | None = None, files: int = 2) -> B
             "_silver_batch_id": F.lit(name), "partition_date": F.to_date("event_timestamp"),
         })
 
-    return _fan_out(transform, "silver_positions", table, ["partition_date"], None, audit_path, files)
+    return _fan_out(transform, "silver_positions", table, ["partition_date"], None, audit_path)
 
 
-def silver_metadata_batch(table: str, audit_path: str | None = None, files: int = 1) -> BatchFn:
+def silver_metadata_batch(table: str, audit_path: str | None = None) -> BatchFn:
     def transform(batch: DataFrame, name: str) -> DataFrame:
-        return silver_metadata(batch).withColumns({
-            "_silver_batch_id": F.lit(name), "partition_date": F.to_date("processing_timestamp"),
-        })
+        return silver_metadata(batch).withColumn("_silver_batch_id", F.lit(name))
 
-    return _fan_out(transform, "silver_metadata", table, ["partition_date"], None, audit_path, files)
+    return _fan_out(transform, "silver_metadata", table, ["partition_date"], None, audit_path, by_clock="processing_timestamp")
 
 
 def start(
