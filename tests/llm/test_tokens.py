@@ -91,7 +91,8 @@ def tokenizer():
 
 def test_word_ids_match_library(tokenizer):
     known = packing.WordIds(open(packing.VOCABULARY, encoding="utf-8").read())
-    extra = st.sampled_from(["don't", "A.B", "x..,", "ÉCOLE", "ﬁn", "İi", "1st", "a\x1cb", "é", "!?", "ΟΔΟΣ", "<|endoftext|>"])
+    extra = st.sampled_from(["don't", "A.B", "x..,", "ÉCOLE", "ﬁn", "İi", "1st", "a\x1cb", "é", "!?", "ΟΔΟΣ", "<|endoftext|>", "Straße,", "ŉŁĿ", "Àé.",
+                             "ſs", "A\u0301b", "ª", "µ"])
 
     @settings(max_examples=200, deadline=None)
     @given(st.lists(st.one_of(st.text(max_size=12), extra), max_size=8))
@@ -102,6 +103,10 @@ def test_word_ids_match_library(tokenizer):
         assert known.ids(places).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
     check()
+    letters = " ".join(chr(c) + chr(d) for c in range(0x21, 0x300) for d in (c, 0x61, 0x2E))
+    places = known.places(packing.words_of(letters))
+    known.learn()
+    assert known.ids(places).tolist() == tokenizer.encode(letters, add_special_tokens=False).ids
 
 
 def check_packed(rows, texts, tokenizer, capacity=packing.CAPACITY):

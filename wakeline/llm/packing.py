@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import heapq
 import re
+import sys
+import types
 from collections.abc import Iterator
 from itertools import chain
 
@@ -25,7 +27,13 @@ CAPACITY, END = 4096, 2
 #: Sequences that are balanced together, and the tokens up to which neighbouring short pieces are balanced as one.
 GROUP, CRUMB = 256, 64
 #: Bytes of text tokenised together, and words a worker remembers.
-BLOCK_BYTES, REMEMBERED = 1_000_000, 400_000
+BLOCK_BYTES, REMEMBERED = 2_000_000, 400_000
+
+#: The last letter of the Latin blocks whose letters are composed, and never combine.
+LAST_LATIN = "\u017f"
+#: How byte-level tokenizers show a byte: as itself where it prints, else as the next letter from 256 on.
+_PRINTS = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+SHOWN = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PRINTS)}
 
 
 def differencing(sizes: np.ndarray, ways: int) -> np.ndarray:
@@ -115,14 +123,25 @@ def words_of(text: str) -> list[str]:
     return text.split()
 
 
+def worker_memory(vocabulary: str) -> tuple[Tokenizer, dict[str, tuple[int, ...]]]:
+    """The tokenizer and the units it has met, kept by a Python worker from task to task.
+
+    A unit's ids depend on the vocabulary alone, so what is remembered never changes a result.
+    """
+    memory = sys.modules.setdefault("packing_worker_memory", types.ModuleType("packing_worker_memory")).__dict__
+    if memory.get("vocabulary") != vocabulary:
+        tokenizer = Tokenizer.from_str(vocabulary)
+        tokenizer.encode_special_tokens = True
+        memory.update(vocabulary=vocabulary, tokenizer=tokenizer, units={})
+    return memory["tokenizer"], memory["units"]
+
+
 class WordIds(dict):
     """The place of each word, in the order of first sight, and the ids of the words by place."""
 
     def __init__(self, vocabulary: str):
         super().__init__()
-        self.tokenizer = Tokenizer.from_str(vocabulary)
-        self.tokenizer.encode_special_tokens = True
-        self.by_unit: dict[str, list[int]] = {}
+        self.tokenizer, self.by_unit = worker_memory(vocabulary)
         self.forget()
 
     def __missing__(self, word: str) -> int:
@@ -143,30 +162,33 @@ class WordIds(dict):
     def learn(self) -> None:
         """Tokenise the words seen since the last time, by the tokenizer's own three steps.
 
-        A word of ASCII letters with ASCII stops behind it needs no splitting by the tokenizer: the letters are one
-        unit, the stops another. All other words are normalised and split by it, joined by blanks.
+        A word of Latin letters with stops behind it needs no splitting by the tokenizer: the letters, in lower case,
+        are one unit, the stops another; composed letters are in normal form already. All other words are normalised
+        and split by it, joined by blanks.
         """
         if not self.fresh:
             return
         model, known = self.tokenizer.model, self.by_unit
         known_ids = known.get
-        found: list[list[int]] = []
+        found: list[tuple[int, ...]] = []
         hard = []
         for word in self.fresh:
             stem = word.rstrip(".,;:!?")
-            if not (stem.isascii() and stem.isalpha()):
+            unit = stem.lower()
+            if not (stem.isalpha() and (stem.isascii() or max(stem) <= LAST_LATIN and unit.isalpha())):
                 hard.append(len(found))
-                found.append([])
+                found.append(())
                 continue
-            unit = stem.lower()
+            if not unit.isascii():
+                unit = unit.encode().decode("latin-1").translate(SHOWN)
             ids = known_ids(unit)
             if ids is None:
-                ids = known[unit] = [t.id for t in model.tokenize(unit)]
+                ids = known[unit] = tuple([t.id for t in model.tokenize(unit)])
             if len(stem) < len(word):
                 stops = word[len(stem):]
                 more = known_ids(stops)
                 if more is None:
-                    more = known[stops] = [t.id for t in model.tokenize(stops)]
+                    more = known[stops] = tuple([t.id for t in model.tokenize(stops)])
                 ids = ids + more
             found.append(ids)
         if hard:
@@ -180,7 +202,7 @@ class WordIds(dict):
             for (unit, _), k in zip(split, at.tolist()):
                 ids = known_ids(unit)
                 if ids is None:
-                    ids = known[unit] = [t.id for t in model.tokenize(unit)]
+                    ids = known[unit] = tuple([t.id for t in model.tokenize(unit)])
                 i = hard[k]
                 found[i] = found[i] + ids
         size = np.fromiter(map(len, found), np.int64, len(found))
@@ -193,16 +215,27 @@ class WordIds(dict):
         return gather(self.flat, self.begin[places], self.size[places])
 
 
+def read_vocabulary(path: str) -> str:
+    with open(path, encoding="utf-8") as file:
+        return file.read()
+
+
+def id_type(vocabulary: str, end: int = END) -> str:
+    """Two bytes hold the ids of vocabularies up to 65,536 tokens: between tasks they travel in as few as they can."""
+    size = Tokenizer.from_str(vocabulary).get_vocab_size(with_added_tokens=True)
+    return "<u2" if max(size, end + 1) <= 1 << 16 else "<u4"
+
+
 def token_pieces(docs: DataFrame, text: str = "text", key: str = "doc_id", vocabulary: str = VOCABULARY,
                  end: int = END, longest: int = CAPACITY) -> DataFrame:
     """(part, before, key, start, length, doc_tokens, ids): each text's tokens and its end id, cut every ``longest``.
 
-    ids are little-endian unsigned 32-bit numbers. part and before (tokens before the piece in its part) give the
+    ids are little-endian unsigned numbers, of as many bytes as ``id_type`` says for the vocabulary. part and before (tokens before the piece in its part) give the
     order. The tokenizer drops white space and never joins what it parts, so words at white space are tokenised once
     for each task, as far as it remembers, and looked up; the vocabulary file travels as a broadcast of its size.
     """
-    with open(vocabulary, encoding="utf-8") as file:
-        shared = docs.sparkSession.sparkContext.broadcast(file.read())
+    shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
+    narrow = id_type(shared.value, end)
     kind = docs.select(F.col(quoted(key)).alias("key"))
     schema = f"part int, before long, key {kind.dtypes[0][1]}, start long, length long, doc_tokens long, ids binary"
 
@@ -220,7 +253,7 @@ def token_pieces(docs: DataFrame, text: str = "text", key: str = "doc_id", vocab
                 known.learn()
                 rows = []
                 for at in places:
-                    ids = np.append(known.ids(at), np.uint32(end)).astype("<u4")
+                    ids = np.append(known.ids(at), np.uint32(end)).astype(narrow)
                     for start in range(0, len(ids), longest):
                         piece = ids[start:start + longest]
                         rows.append((row, before, start, len(piece), len(ids), piece.tobytes()))
@@ -241,12 +274,14 @@ def pack(docs: DataFrame, text: str = "text", key: str = "doc_id", capacity: int
     Pieces are numbered by a running sum of tokens (within tasks, then over one row for each task), which deals them
     into groups of GROUP x capacity tokens. Each group is packed on its own: ``differencing`` makes the fewest windows
     that the tokens could fill near equal, and one more while any passes the capacity. A group's memory is bounded,
-    whatever documents it holds; sequences come from one group, the last group being shorter.
+    whatever documents it holds; sequences come from one group, the last group being shorter. ids are little-endian
+    unsigned 32-bit numbers.
 
     Null and empty texts have the end id alone. Null keys and repeated rows are documents of their own. Other columns
     are not read. An empty table gives no rows.
     """
     pieces = store(token_pieces(docs, text, key, longest=capacity, **tokens), "pieces")
+    narrow = id_type(read_vocabulary(tokens.get("vocabulary", VOCABULARY)), tokens.get("end", END))
     ends = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = pieces.groupBy("part").agg(F.sum("length").alias("sum")).select(
         "part", F.coalesce(F.sum("sum").over(ends), F.lit(0)).alias("base"))
@@ -266,7 +301,8 @@ def pack(docs: DataFrame, text: str = "text", key: str = "doc_id", capacity: int
         offset = np.empty(len(length), np.int64)
         offset[order] = ends - length[order] - np.repeat((ends - length[order])[opens], np.diff(
             np.append(np.flatnonzero(opens), len(order))))
-        return group.assign(sequence_id=group["group"] * (1 << 21) + window, offset=offset)[
+        ids = [np.frombuffer(x, narrow).astype("<u4").tobytes() for x in group["ids"]]
+        return group.assign(sequence_id=group["group"] * (1 << 21) + window, offset=offset, ids=ids)[
             ["key", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]]
 
     return dealt.groupBy("group").applyInPandas(place, schema).withColumnRenamed("key", key)
