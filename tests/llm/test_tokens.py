@@ -139,6 +139,7 @@ def test_packing_crosses_groups_and_blocks(spark, monkeypatch, tokenizer):
     monkeypatch.setattr(packing, "GROUP", 4)
     monkeypatch.setattr(packing, "BLOCK_BYTES", 900)
     monkeypatch.setattr(packing, "REMEMBERED", 100)
+    monkeypatch.setattr(packing, "KEPT", 30)
     docs = table(spark, SMALL, "documents").repartition(3, "doc_id").cache()
     rows = packing.digest(packing.pack(docs, capacity=512)).collect()
     check_packed(rows, [r.text for r in docs.select("text").collect()], tokenizer, 512)

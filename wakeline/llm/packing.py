@@ -7,7 +7,7 @@ import re
 import sys
 import types
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -26,8 +26,8 @@ VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 CAPACITY, END = 4096, 2
 #: Sequences that are balanced together, and the tokens up to which neighbouring short pieces are balanced as one.
 GROUP, CRUMB = 256, 64
-#: Bytes of text tokenised together, and words a worker remembers.
-BLOCK_BYTES, REMEMBERED = 2_000_000, 400_000
+#: Bytes of text tokenised together, words that a task remembers, and words and units it keeps when they are too many.
+BLOCK_BYTES, REMEMBERED, KEPT = 2_000_000, 300_000, 120_000
 
 #: The last letter of the Latin blocks whose letters are composed, and never combine.
 LAST_LATIN = "\u017f"
@@ -142,7 +142,8 @@ class WordIds(dict):
     def __init__(self, vocabulary: str):
         super().__init__()
         self.tokenizer, self.by_unit = worker_memory(vocabulary)
-        self.forget()
+        self.fresh: list[str] = []
+        self.flat, self.begin, self.size = np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def __missing__(self, word: str) -> int:
         self[word] = place = len(self)
@@ -150,11 +151,20 @@ class WordIds(dict):
         return place
 
     def forget(self) -> None:
+        """Keep the words and units that were met first, which are the frequent ones."""
+        kept = list(islice(self.items(), KEPT))
         self.clear()
-        if len(self.by_unit) > REMEMBERED:
+        self.update(kept)
+        self.begin, self.size = self.begin[:len(kept)], self.size[:len(kept)]
+        self.flat = self.flat[:int(self.size.sum())]
+        self.trim()
+
+    def trim(self) -> None:
+        """Leave to the worker's next task no more than a bounded number of units."""
+        if len(self.by_unit) > KEPT:
+            kept = list(islice(self.by_unit.items(), KEPT))
             self.by_unit.clear()
-        self.fresh: list[str] = []
-        self.flat, self.begin, self.size = np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
+            self.by_unit.update(kept)
 
     def places(self, words: list[str]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
@@ -264,6 +274,7 @@ def token_pieces(docs: DataFrame, text: str = "text", key: str = "doc_id", vocab
                     pa.array([part] * len(rows), pa.int32()), pa.array(befores, pa.int64()), keys.take(pa.array(at)),
                     pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()), pa.array(totals, pa.int64()),
                     pa.array(pieces, pa.binary())], names=["part", "before", "key", "start", "length", "doc_tokens", "ids"])
+        known.trim()
 
     return docs.select(F.col(quoted(key)).alias("key"), F.col(quoted(text)).alias("text")).mapInArrow(cut, schema)
 
