@@ -6,6 +6,7 @@ from datetime import datetime, timedelta, timezone
 import pytest
 
 from wakeline import jobs
+from wakeline.sources import snapshots
 
 
 def test_chain(spark, tmp_path, capsys):
@@ -44,7 +45,7 @@ def test_chain(spark, tmp_path, capsys):
     assert spark.read.parquet(f"{lake}/silver/positions").count() == 80
     jobs.main(["refresh", "--root", lake, "--as-of", "2024-05-03"])
     jobs.main(["compact", "--base", f"{lake}/silver", "--dataset", "positions", "--date", "2024-05-01", "--min-files", "1"])
-    assert spark.read.parquet(f"{lake}/silver/positions").count() == 80
+    assert snapshots.read(spark, f"{lake}/silver/positions").count() == 80
     jobs.main(["report", "--root", lake])
     jobs.main(["profile", "--path", f"{lake}/bronze/positions"])
     jobs.main(["duplicates", "--root", lake])

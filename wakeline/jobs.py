@@ -45,7 +45,7 @@ def _publisher(args: argparse.Namespace):
 
 def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "alerts":
-        stream = alerts.vessel_alerts(_stream(spark, args, schemas.ALERT_INPUT, capped=False), args.silence)
+        stream = alerts.vessel_alerts(_stream(spark, args, schemas.ALERT_INPUT), args.silence)
         query = alerts.start_alert_stream(
             stream, args.sink, args.checkpoint, trigger=_trigger(args), **_pairs(args.sink_option)
         )

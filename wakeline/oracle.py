@@ -595,6 +595,8 @@ FINAL |= {
     "movement_deltas_sliced": FINAL["movement_deltas"],
     "stg_salted": FINAL["stg_vessel_positions"],
     "dark_events_sliced": FINAL["vessel_dark_events"],
+    "dark_events_seeded": FINAL["vessel_dark_events"],
+    "erratic_by_day_ends": FINAL["vessel_erratic_course"],
     "activity_sliced": FINAL["vessel_activity_summary"],
     "dead_letters": (["judged"], f"""
         SELECT reject_reason AS error, '{ref.SOURCE_SYSTEM}' AS source, count(*) AS n FROM judged

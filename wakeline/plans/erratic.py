@@ -6,14 +6,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wakeline.functions.timeparts import surrogate_key
+from wakeline.plans.day_ends import last_positions
 
 
-def with_last_position(days: DataFrame, stg: DataFrame, ties: tuple[str, ...] = ()) -> DataFrame:
-    """Add the last position of each (mmsi, day). Positions are reduced to one row per day before the join."""
-    moment = F.struct("event_timestamp", *ties)
-    last = stg.groupBy("mmsi", "date_day").agg(
-        F.max_by(F.struct("latitude", "longitude", "event_timestamp"), moment).alias("_last")
-    )
+def with_last_position(
+    days: DataFrame, stg: DataFrame, ties: tuple[str, ...] = (), ends: DataFrame | None = None
+) -> DataFrame:
+    """Add the last position of each (mmsi, day), from the maintained ends of days or from the positions themselves.
+
+    Positions are reduced to one row per day before the join.
+    """
+    if ends is not None:
+        last = last_positions(ends)
+    else:
+        moment = F.struct("event_timestamp", *ties)
+        last = stg.groupBy("mmsi", "date_day").agg(
+            F.max_by(F.struct("latitude", "longitude", "event_timestamp"), moment).alias("_last")
+        )
     return (
         days.join(last, ["mmsi", "date_day"], "left")
         .withColumns({
@@ -25,7 +34,9 @@ def with_last_position(days: DataFrame, stg: DataFrame, ties: tuple[str, ...] =
     )
 
 
-def vessel_erratic_course(activity: DataFrame, stg: DataFrame, ties: tuple[str, ...] = ()) -> DataFrame:
+def vessel_erratic_course(
+    activity: DataFrame, stg: DataFrame, ties: tuple[str, ...] = (), ends: DataFrame | None = None
+) -> DataFrame:
     """More than 10 sharp turns in a day while moving (average above 1 knot)."""
     turns = F.col("sharp_turns")
     text = F.concat(
@@ -40,7 +51,7 @@ def vessel_erratic_course(activity: DataFrame, stg: DataFrame, ties: tuple[str,
         F.when(turns > 20, "high").otherwise("medium").alias("severity"),
         "sharp_turns", "avg_heading_change", text.alias("description"), "avg_speed_knots",
     )
-    placed = with_last_position(days, stg, ties)
+    placed = with_last_position(days, stg, ties, ends)
     return placed.select(
         surrogate_key(F.col("mmsi"), F.col("date_day")).alias("alert_id"),
         *days.columns,

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wakeline import schemas
+from wakeline.operators.incremental import incremental_cutoff, since
 from wakeline.operators.merge import merge_into
 from wakeline.operators.sequence import track_layout
-from wakeline.plans import activity, dark, erratic, loiter, ports, risk, speed
+from wakeline.plans import activity, dark, day_ends, erratic, loiter, ports, risk, speed
 from wakeline.plans.staging import stg_vessel_positions
 from wakeline.quality.expectations import expect, failed
 from wakeline.quality.suites import SUITES
@@ -44,7 +46,10 @@ def refresh_gold(
     spark: SparkSession, root: str, as_of=None, full_refresh: bool = False, dedup: bool = False,
     fresh_hours: float | None = 2, now: datetime | None = None, test: bool = True,
 ) -> dict:
-    """staging -> activity, ports, dark, speed, loiter -> erratic, risk -> expectations.
+    """staging -> ends of days, activity, ports, dark, speed, loiter -> erratic, risk -> expectations.
+
+    An incremental run computes ends of days, dark and speed from recent partitions of silver only; erratic and risk
+    take last positions and the roster from the ends of days.
 
     Returns {"status": "skipped"} when no silver file is recent. Raises when an expectation of severity error fails.
     """
@@ -69,14 +74,23 @@ def refresh_gold(
         else:
             merge_into(spark, f"{root}/gold/{name}", df, key, day, sync_schema, sort_by)
 
+    def seeds(name: str, moment: str, hours: int) -> DataFrame | None:
+        target = previous(name)
+        return None if target is None else day_ends.seeds_before(ends, stg, incremental_cutoff(target, moment, hours), TIES)
+
+    ends = refresh_day_ends(spark, root, stg, full_refresh)
     replace("vessel_activity_summary", activity.vessel_activity_summary(stg, layout), "date_day", ["mmsi", "flag_country"])
     replace("port_traffic", ports.port_traffic(stg, ties=TIES), "date_day", ["port_name", "port_country"])
     merge(
-        "vessel_dark_events", dark.vessel_dark_events(stg, previous("vessel_dark_events"), ties=TIES, layout=layout),
+        "vessel_dark_events", dark.vessel_dark_events(
+            stg, previous("vessel_dark_events"), ties=TIES, layout=layout,
+            seeds=seeds("vessel_dark_events", "signal_recovered_at", dark.LOOKBACK_HOURS)),
         "dark_event_id", "event_date", ["mmsi", "flag_country"],
     )
     merge(
-        "vessel_speed_anomalies", speed.vessel_speed_anomalies(stg, previous("vessel_speed_anomalies"), ties=TIES, layout=layout),
+        "vessel_speed_anomalies", speed.vessel_speed_anomalies(
+            stg, previous("vessel_speed_anomalies"), ties=TIES, layout=layout,
+            seeds=_for_speed(seeds("vessel_speed_anomalies", "event_timestamp", speed.LOOKBACK_HOURS))),
         "anomaly_id", "event_date", ["mmsi", "vessel_type_normalized"],
     )
     merge(
@@ -85,14 +99,14 @@ def refresh_gold(
     )
     replace(
         "vessel_erratic_course", erratic.vessel_erratic_course(
-            _or_empty(table("vessel_activity_summary"), stg, "vessel_activity_summary"), stg, TIES),
+            _or_empty(table("vessel_activity_summary"), stg, "vessel_activity_summary"), stg, TIES, ends),
         "date_day", ["mmsi"],
     )
     merge(
         "vessel_risk_score",
         risk.vessel_risk_score(
             stg, *[_or_empty(table(n), stg, n) for n in ("vessel_dark_events", "vessel_speed_anomalies", "vessel_loitering")],
-            as_of=as_of, ties=TIES,
+            as_of=as_of, ties=TIES, vessels=day_ends.roster(ends, TIES),
         ),
         "score_id", "score_date", ["flag_country"], sync_schema=True,
     )
@@ -108,6 +122,27 @@ def refresh_gold(
     return report
 
 
+def refresh_day_ends(spark: SparkSession, root: str, stg: DataFrame, full_refresh: bool = False) -> DataFrame:
+    """The maintained ends of days: the newest stored day and the one before it are made anew, with all after them."""
+    path = f"{root}/gold/vessel_day_ends"
+    newest = None
+    if not full_refresh and snapshots.exists(spark, path):
+        newest = snapshots.read(spark, path).agg(F.max("date_day")).first()[0]
+    if newest is None:
+        materialize(day_ends.day_ends(stg, TIES), path, "date_day", ["mmsi"])
+    else:
+        start = datetime(newest.year, newest.month, newest.day) - timedelta(days=1)
+        materialize(day_ends.day_ends(since(stg, start), TIES), path, "date_day", ["mmsi"], other_days=True)
+    return snapshots.read(spark, path)
+
+
+def _for_speed(seeds: DataFrame | None) -> DataFrame | None:
+    """Staging rows by the names that the speed model gives their columns."""
+    if seeds is None:
+        return None
+    return seeds.withColumns({"event_date": F.col("date_day"), "reported_sog": F.col("speed_over_ground")})
+
+
 def _or_empty(df: DataFrame | None, stg: DataFrame, name: str) -> DataFrame:
     """The stored table, or the model's own schema without rows when nothing was ever found."""
     if df is not None:

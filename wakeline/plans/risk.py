@@ -62,10 +62,12 @@ def combine_risk_signals(vessels: DataFrame, dark: DataFrame, speed: DataFrame,
 
 
 def vessel_risk_score(
-    stg: DataFrame, dark: DataFrame, speed: DataFrame, loiter: DataFrame, as_of=None, ties: tuple[str, ...] = ()
+    stg: DataFrame, dark: DataFrame, speed: DataFrame, loiter: DataFrame, as_of=None, ties: tuple[str, ...] = (),
+    vessels: DataFrame | None = None,
 ) -> DataFrame:
+    """``vessels`` is the roster if a maintained table has it; else it is made from all positions."""
     signals = combine_risk_signals(
-        vessel_roster(stg, ties), dark_30d(dark, as_of), speed_30d(speed, as_of), loiter_30d(loiter, as_of)
+        vessel_roster(stg, ties) if vessels is None else vessels, dark_30d(dark, as_of), speed_30d(speed, as_of), loiter_30d(loiter, as_of)
     ).filter(F.col("dark_score") + F.col("speed_anomalies") + F.col("loiter_events") > 0)
     score = sum((F.col(name) * weight for name, weight in ref.RISK_WEIGHTS.items()), F.lit(0))
     day = as_day(as_of)

@@ -9,7 +9,7 @@ from wakeline import refdata as ref
 from wakeline import schemas
 from wakeline.functions import clean, geo, lookup
 from wakeline.operators.dedup import dedup_latest
-from wakeline.operators.sequence import WHOLE_KEYS, TrackLayout, track_layout, with_previous
+from wakeline.operators.sequence import TrackLayout, track_layout, with_previous
 
 _LINEAGE = {
     "_source_system": "_source_system", "_source_file": "_source_file",
@@ -77,14 +77,14 @@ def silver_positions(
 ) -> DataFrame:
     """The silver position table.
 
-    ``scope="table"`` is for frames of any size. ``scope="batch"`` is for one micro-batch, whose size the source
-    limits: it skips the count of rows per vessel. De-duplication and deltas cover exactly the frame passed in.
+    De-duplication and deltas cover exactly the frame passed in, a table or one micro-batch (``scope``). Rows per
+    vessel are counted for either, so that no vessel's rows all go into one window if they are too many.
     """
     if scope not in ("table", "batch"):
         raise ValueError("scope must be 'table' or 'batch'")
     if layout is None:
         # counted before de-duplication: an upper bound that needs no shuffle of whole rows
-        layout = WHOLE_KEYS if scope == "batch" else track_layout(bronze, "MMSI", "time_utc")
+        layout = track_layout(bronze, "MMSI", "time_utc")
     renamed = rename_positions(bronze)
     unique = dedup_latest(renamed, latest_by=("ingestion_timestamp", *tie_break))
     moved = movement_deltas(unique, layout)

@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from wakeline.functions import clean, lookup
 from wakeline.functions.timeparts import normalize_time, stamp
 from wakeline.operators.dedup import dedup_latest
+from wakeline.operators.incremental import incremental_cutoff
 from wakeline.operators.merge import merge_into, merge_upsert
 from wakeline.operators.sequence import TrackLayout, track_layout
-from wakeline.plans import activity, alerts, bronze, dark, erratic, loiter, ports, reports, risk, silver, speed, staging
+from wakeline.plans import activity, alerts, bronze, dark, day_ends, erratic, loiter, ports, reports, risk, silver, speed, staging
 from wakeline.quality.expectations import expect
 from wakeline.quality.suites import SUITES
 from wakeline.schemas import RAW_POSITION, RAW_STATIC
@@ -105,6 +106,10 @@ class Frames:
     def stg(self) -> DataFrame:
         return staging.stg_vessel_positions(self.silver, self.metadata, meta_tie_break=("_row_id",))
 
+    @cached_property
+    def ends(self) -> DataFrame:
+        return day_ends.day_ends(self.stg)
+
     @cached_property
     def activity(self) -> DataFrame:
         return activity.vessel_activity_summary(self.stg, layout=self.layout)
@@ -249,6 +254,14 @@ def dark_incremental(f: Frames, compat: bool) -> DataFrame:
     return comparable(events, thousandths=("displacement_km",))
 
 
+def dark_seeded(f: Frames) -> DataFrame:
+    """The stored half plus an incremental run whose seeds come from the ends of days: the same as a full run."""
+    target = first_half(f, f.dark, "signal_recovered_at")
+    cutoff = incremental_cutoff(target, "signal_recovered_at", dark.LOOKBACK_HOURS)
+    new = dark.vessel_dark_events(f.stg, target, layout=f.layout, seeds=day_ends.seeds_before(f.ends, f.stg, cutoff))
+    return comparable(merge_upsert(target, new, "dark_event_id"), thousandths=("displacement_km",))
+
+
 def speed_incremental(f: Frames) -> DataFrame:
     target = first_half(f, f.speed, "event_timestamp")
     events = speed.vessel_speed_anomalies(f.stg, target=target, layout=f.layout)
@@ -484,7 +497,12 @@ def compact_table(f: Frames) -> DataFrame:
     return comparable(table.select("event_id", "event_type", "value", F.col("partition_date").alias("day")))
 
 
-QUERIES |= {"merge_into_table": merge_into_table, "compact_table": compact_table}
+QUERIES |= {
+    "merge_into_table": merge_into_table,
+    "compact_table": compact_table,
+    "dark_events_seeded": dark_seeded,
+    "erratic_by_day_ends": lambda f: comparable(erratic.vessel_erratic_course(f.activity, f.stg, ends=f.ends)),
+}
 
 
 def layer_gap(f: Frames) -> DataFrame:

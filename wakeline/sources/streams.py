@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from wakeline import schemas
 
+#: A micro-batch from files takes about so much, as one from a topic takes so many offsets.
+FILE_DEFAULTS = {"maxBytesPerTrigger": str(256 * 1024 * 1024)}
 # FIXED VALUES: defaults of the topic reader.
 KAFKA_DEFAULTS = {"startingOffsets": "earliest", "maxOffsetsPerTrigger": "4000", "failOnDataLoss": "false"}
 
@@ -32,7 +34,8 @@ def read_json_stream(
     """Stream of parsed messages.
 
     ``source="kafka"`` takes ``subscribe`` and ``kafka.bootstrap.servers`` options (the connector must be on the
-    class path); ``source="text"`` reads a folder of JSON lines. ``capped=False`` removes the rate limit.
+    class path); ``source="text"`` reads a folder of JSON lines. Both are limited for each micro-batch, files by their
+    size; ``capped=False`` removes the limit.
     ``truncate_ms`` cuts timestamps to the milliseconds that JSON between stages carries.
     """
     reader = spark.readStream.format(source)
@@ -41,6 +44,8 @@ def read_json_stream(
         settings = {**KAFKA_DEFAULTS, **settings}
         if not capped:
             settings.pop("maxOffsetsPerTrigger", None)
+    elif capped and "maxFilesPerTrigger" not in settings:
+        settings = {**FILE_DEFAULTS, **settings}
     reader = reader.options(**settings)
     messages = parse_json(reader.load(path) if path else reader.load(), fields)
     if not truncate_ms:
