@@ -165,13 +165,17 @@ def latest_alerts(alerts: DataFrame, last_n: int = 50, n: int = 8) -> DataFrame:
 
 
 def layer_gap(audit: DataFrame, minutes: int = 15, as_of=None, layer: str = "bronze_positions") -> DataFrame:
-    """Share of read rows not written over the last ``minutes``: max(0, 1 - out/in), null without traffic."""
+    """Share of read rows not written over the last ``minutes``: max(0, 1 - out/in), null without traffic.
+
+    Messages of other kinds, where the audit tells them, are not counted as read.
+    """
     until = as_timestamp(as_of)
     recent = audit.filter(
         (F.col("layer") == layer)
         & (F.col("finished_at") > until - F.expr(f"interval {int(minutes)} minutes"))
         & (F.col("finished_at") <= until)
     )
-    sums = recent.agg(F.sum("rows_read").alias("rows_read"), F.sum("rows_written").alias("rows_written"))
+    own = F.col("rows_read") - F.col("rows_other") if "rows_other" in audit.columns else F.col("rows_read")
+    sums = recent.agg(F.sum(own).alias("rows_read"), F.sum("rows_written").alias("rows_written"))
     share = F.lit(1.0) - F.try_divide("rows_written", "rows_read")
     return sums.withColumn("gap", F.when(share < 0, F.lit(0.0)).otherwise(share))

@@ -110,7 +110,8 @@ ALERT_STATE: Fields = [
 
 AUDIT: Fields = [
     ("layer", "string"), ("epoch_id", "bigint"), ("batch_id", "string"), ("rows_read", "bigint"),
-    ("rows_written", "bigint"), ("rows_rejected", "bigint"), ("duration_ms", "bigint"), ("finished_at", "timestamp"),
+    ("rows_written", "bigint"), ("rows_rejected", "bigint"), ("rows_other", "bigint"), ("rows_copies", "bigint"),
+    ("duration_ms", "bigint"), ("finished_at", "timestamp"),
 ]
 
 # Layer tables registered over the stored folders: columns, then partition columns.

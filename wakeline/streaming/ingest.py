@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -24,12 +24,23 @@ def batch_name(epoch_id: int) -> str:
     return f"epoch-{epoch_id:010d}"
 
 
-def audit(batch: DataFrame, path: str, layer: str, epoch_id: int, read: int, written: int, started: float) -> None:
-    """One row about a finished micro-batch; a repeated batch replaces its row."""
-    row = (layer, epoch_id, batch_name(epoch_id), read, written, read - written, int((time.monotonic() - started) * 1000))
-    spark = batch.sparkSession
+def audit(path: str, layer: str, epoch_id: int, batch: DataFrame, rows: DataFrame, other: Column | None,
+          copies: bool, started: float) -> None:
+    """One row about a finished micro-batch; a repeated batch replaces its row.
+
+    What was read is written, of another kind of message (``other``), a copy (if all that the step drops are copies),
+    or rejected: not readable or not valid. Both frames are cached, so each count is one pass over memory.
+    """
+    of_others = F.lit(0).cast("bigint") if other is None else F.count_if(other)
+    read, others = batch.agg(F.count(F.lit(1)), of_others).first()
+    written = rows.count()
+    dropped = read - written - others
+    row = (
+        layer, epoch_id, batch_name(epoch_id), read, written, 0 if copies else dropped, others, dropped if copies else 0,
+        int((time.monotonic() - started) * 1000),
+    )
     (
-        spark.createDataFrame([row], schemas.ddl(schemas.AUDIT[:-1]))
+        batch.sparkSession.createDataFrame([row], schemas.ddl(schemas.AUDIT[:-1]))
         .withColumn("finished_at", F.current_timestamp())
         .coalesce(1).write.mode("overwrite").parquet(f"{path}/layer_epoch={layer}-{epoch_id}")
     )
@@ -37,9 +48,10 @@ def audit(batch: DataFrame, path: str, layer: str, epoch_id: int, read: int, wri
 
 def _fan_out(
     transform: Callable[[DataFrame, str], DataFrame], layer: str, archive: str, partition_by: list[str],
-    publish: Publish | None, audit_path: str | None, by_clock: str | None = None,
+    publish: Publish | None, audit_path: str | None, by_clock: str | None = None, kind: str | None = None,
 ) -> BatchFn:
-    """With ``by_clock``, a column that holds the time of the first try, the rows' day comes from it too."""
+    """With ``by_clock``, a column that holds the time of the first try, the rows' day comes from it too. ``kind`` is
+    the message type that the step takes from a mixed feed."""
 
     def run(batch: DataFrame, epoch_id: int) -> None:
         started = time.monotonic()
@@ -57,7 +69,9 @@ def _fan_out(
             if publish is not None:
                 publish(rows)
             if audit_path is not None:
-                audit(batch, audit_path, layer, epoch_id, batch.count(), rows.count(), started)
+                other = None if kind is None else F.col("MessageType") != kind
+                copies = kind is None and by_clock is None
+                audit(audit_path, layer, epoch_id, batch, rows, other, copies, started)
         finally:
             rows.unpersist()
             batch.unpersist()
@@ -70,7 +84,7 @@ def bronze_batch(archive: str, publish: Publish | None = None, audit_path: str |
     lineage.setdefault("source_file", archive)
     return _fan_out(
         lambda batch, name: bronze_positions(batch, name, **lineage), "bronze_positions", archive,
-        ["partition_date", "partition_hour"], publish, audit_path,
+        ["partition_date", "partition_hour"], publish, audit_path, kind="PositionReport",
     )
 
 
@@ -78,7 +92,7 @@ def bronze_metadata_batch(archive: str, publish: Publish | None = None, audit_pa
     """Static messages carry no event time: their day is that of the batch's first try, also when it is replayed."""
     return _fan_out(
         lambda batch, name: bronze_metadata(batch, name, **lineage), "bronze_metadata", archive,
-        ["partition_date"], publish, audit_path, by_clock="ingestion_timestamp",
+        ["partition_date"], publish, audit_path, by_clock="ingestion_timestamp", kind="ShipStaticData",
     )
 
 
