@@ -9,6 +9,7 @@ from glob import glob
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from compare import compare, connect
 from conftest import SMALL
 from wakeline.llm import warc
 from wakeline.llm.common import table
@@ -49,8 +50,10 @@ def check(rows, pages, smallest=0):
 
 
 def test_table(spark):
-    pages = [tuple(r) for r in table(spark, SMALL, "pages").select("page_id", "url", "html").collect()]
-    check(warc.op7(spark, SMALL).collect(), pages)
+    frame = table(spark, SMALL, "pages")
+    pages = [tuple(r) for r in frame.select("page_id", "url", "html").collect()]
+    check(warc.capture_histories(frame).collect(), pages)
+    assert compare(spark, connect(SMALL), "op7_web_archives", SMALL).startswith("ok")
 
 
 ODD_PAGES = [

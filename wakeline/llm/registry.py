@@ -28,5 +28,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op3_secret_scan": secrets.OP3_SQL,
         "op4_exact_dedup": exact.OP4_SQL,
+        "op7_web_archives": warc.OP7_SQL,
         "op9_chat_windows": chat.OP9_SQL,
     }

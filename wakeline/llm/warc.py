@@ -222,5 +222,17 @@ def capture_histories(pages: DataFrame, key: str = "page_id", url: str = "url",
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     merged = capture_histories(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
-    return merged.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
-                         "url_key", "captured", "archive", "offset", "length")
+    return merged.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+# Five hexadecimal digits are four letters of base32.
+_LETTERS = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(sha1(p), {5 * i + 1}, 5))::BIGINT >> {shift}) & 31)::INT, 1)"
+    for i in range(8) for shift in (15, 10, 5, 0))
+OP7_SQL = f"""
+WITH d AS (SELECT page_id, coalesce(html, '') AS p FROM pages)
+SELECT page_id, strlen(p)::BIGINT AS payload_bytes, {_LETTERS} AS payload_digest,
+       CASE WHEN page_id = max(page_id) OVER w THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> max(page_id) OVER w THEN max(page_id) OVER w END AS refers_to
+FROM d WINDOW w AS (PARTITION BY p)
+"""
