@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -21,7 +20,6 @@ PROJECTIONS, RECALL, MEMBERS = 32, 0.999, 2048
 WIDE = 4.0
 
 
-@cache
 def directions(dims: int) -> np.ndarray:
     """Gaussian directions: the same for every task, as they follow from the number of dimensions."""
     return np.random.default_rng(8000 + dims).standard_normal((dims, PROJECTIONS))
@@ -52,6 +50,7 @@ def prepared(vectors: DataFrame, key: str, vector: str, label: str, threshold: f
 
     @F.arrow_udf("struct<unit:array<double>,first:double>")
     def unit(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        first: dict[int, np.ndarray] = {}
         for batch in batches:
             out = []
             for x in batch.to_pylist():
@@ -63,7 +62,9 @@ def prepared(vectors: DataFrame, key: str, vector: str, label: str, threshold: f
                     continue
                 v = v / most
                 v = v / np.linalg.norm(v)
-                out.append({"unit": v, "first": float(v @ directions(len(v))[:, 0])})
+                if len(v) not in first:
+                    first[len(v)] = directions(len(v))[:, 0]
+                out.append({"unit": v, "first": float(v @ first[len(v)])})
             yield pa.array(out, pa.struct([("unit", pa.list_(pa.float64())), ("first", pa.float64())]))
 
     x = F.col(quoted(vector))
