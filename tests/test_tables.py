@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from wakeline import schemas
 from wakeline.operators.merge import merge_into
-from wakeline.plans.refresh import refresh_gold, stored
+from wakeline.plans.day_ends import roster
+from wakeline.plans.refresh import TIES, refresh_day_ends, refresh_gold, stored
 from wakeline.sources import snapshots
 from wakeline.sources.compaction import compact
 from wakeline.sources.layers import is_fresh, register_layers
@@ -223,6 +224,53 @@ def test_refresh_full_then_incremental(spark, frames, root):
     assert stored(spark, path, "vessel_loitering").count() == frames.loiter.count()
 
 
+def test_late_rows_and_static_data_reach_the_ends_of_days(spark, frames, tmp_path):
+    """After late rows, late metadata and a future date an incremental run knows what a full one knows."""
+    path = str(tmp_path)
+    day = F.to_date("event_timestamp")
+    positions = frames.silver.withColumns({"_silver_batch_id": F.lit("s"), "partition_date": day})
+    metadata = frames.metadata.drop("_row_id").withColumns({
+        "_silver_batch_id": F.lit("s"), "partition_date": F.to_date("processing_timestamp"),
+    }).dropDuplicates(["mmsi", "processing_timestamp"]).cache()
+
+    def add(rows, table):
+        rows.coalesce(1).write.mode("append").partitionBy("partition_date").parquet(f"{path}/silver/{table}")
+
+    def settled():
+        ends = refresh_day_ends(spark, path)
+        names = ["mmsi", "vessel_name", "vessel_type_normalized", "flag_country", "last_known_port"]
+        return (
+            sorted(map(repr, roster(ends, TIES).select(names).collect())),
+            sorted(map(repr, stored(spark, path, "vessel_erratic_course").drop("gold_processed_at").collect())),
+            {r.mmsi: tuple(r) for r in stored(spark, path, "vessel_risk_score").select(names).collect()},
+        )
+
+    first = metadata.orderBy("mmsi").first().mmsi
+    only_late = positions.where("mmsi is not null and not startswith(mmsi, '0')").agg(F.max("mmsi")).first()[0]
+    late = (F.col("mmsi") == only_late) | (F.col("event_timestamp") < "2024-01-02") & (F.hour("event_timestamp") >= 10)
+    future = positions.limit(1).withColumns({
+        "mmsi": F.lit("999999999"), "event_timestamp": F.lit("2031-05-05 00:00:00").cast("timestamp")})
+    add(positions.where(~late), "positions")
+    add(future.withColumn("partition_date", day), "positions")
+    add(metadata.where(F.col("mmsi") == first), "metadata")
+    refresh_gold(spark, path, as_of="2024-01-04", test=False)
+    add(positions.where(late), "positions")
+    add(metadata.where(F.col("mmsi") != first), "metadata")
+    refresh_gold(spark, path, as_of="2024-01-04", test=False)
+    known, erratic, risk = settled()
+    assert only_late in str(known) and erratic
+    refresh_gold(spark, path, as_of="2024-01-04", full_refresh=True, test=False)
+    all_known, all_erratic, all_risk = settled()
+    assert known == all_known and erratic == all_erratic
+    assert risk and all(all_risk[mmsi] == row for mmsi, row in risk.items())
+    gone = Storage(spark, f"{path}/silver/positions")
+    gone.delete("partition_date=2031-05-05")
+    assert refresh_day_ends(spark, path).where("mmsi = '999999999'").count() == 0
+    number = snapshots.newest(Storage(spark, f"{path}/gold/vessel_day_ends")).number
+    refresh_day_ends(spark, path)
+    assert snapshots.newest(Storage(spark, f"{path}/gold/vessel_day_ends")).number == number
+
+
 def test_refresh_waits_for_fresh_silver(spark, root):
     later = datetime.now(timezone.utc).replace(tzinfo=None) + timedelta(hours=9)
     assert refresh_gold(spark, root[0], now=later) == {"status": "skipped"}

@@ -2,25 +2,30 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+import json
+from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeline import schemas
-from wakeline.operators.incremental import incremental_cutoff, since
+from wakeline.operators.incremental import incremental_cutoff
 from wakeline.operators.merge import merge_into
 from wakeline.operators.sequence import track_layout
 from wakeline.plans import activity, dark, day_ends, erratic, loiter, ports, risk, speed
-from wakeline.plans.staging import stg_vessel_positions
+from wakeline.plans.staging import FROM_METADATA, stg_vessel_positions, with_latest_metadata
 from wakeline.quality.expectations import expect, failed
 from wakeline.quality.suites import SUITES
 from wakeline.session import use_utc
 from wakeline.sources import snapshots
 from wakeline.sources.layers import is_fresh, read_layer
 from wakeline.sources.sinks import materialize
+from wakeline.sources.storage import Storage
 
 TIES = ("processing_timestamp", "_bronze_batch_id")
+#: Beside the ends of days: which silver files each commit was made from.
+MARKS = "_marks"
 
 
 def stored(spark: SparkSession, root: str, name: str) -> DataFrame | None:
@@ -34,12 +39,18 @@ def silver_table(spark: SparkSession, root: str) -> DataFrame:
     return read_layer(spark, f"{root}/silver/positions", columns + partitions)
 
 
-def staging(spark: SparkSession, root: str, dedup: bool = False) -> DataFrame:
-    positions = silver_table(spark, root)
-    metadata = read_layer(
+def metadata_table(spark: SparkSession, root: str) -> DataFrame:
+    return read_layer(
         spark, f"{root}/silver/metadata", schemas.SILVER_METADATA + schemas.SILVER_BATCH + schemas.DAY_PARTITION
     )
-    return stg_vessel_positions(positions, metadata, dedup=dedup)
+
+
+def staging(spark: SparkSession, root: str, dedup: bool = False, days: Sequence[str] | None = None) -> DataFrame:
+    """With ``days`` (texts such as ``2024-01-01``) only the rows of these days are read."""
+    positions = silver_table(spark, root)
+    if days is not None:
+        positions = positions.where(F.col("partition_date").cast("string").isin(list(days)))
+    return stg_vessel_positions(positions, metadata_table(spark, root), dedup=dedup)
 
 
 def refresh_gold(
@@ -48,8 +59,8 @@ def refresh_gold(
 ) -> dict:
     """staging -> ends of days, activity, ports, dark, speed, loiter -> erratic, risk -> expectations.
 
-    An incremental run computes ends of days, dark and speed from recent partitions of silver only; erratic and risk
-    take last positions and the roster from the ends of days.
+    An incremental run computes dark and speed from recent partitions of silver only, and the ends of those days whose
+    silver files changed, however old; erratic and risk take last positions and the roster from the ends of days.
 
     Returns {"status": "skipped"} when no silver file is recent. Raises when an expectation of severity error fails.
     """
@@ -78,7 +89,7 @@ def refresh_gold(
         target = previous(name)
         return None if target is None else day_ends.seeds_before(ends, stg, incremental_cutoff(target, moment, hours), TIES)
 
-    ends = refresh_day_ends(spark, root, stg, full_refresh)
+    ends = refresh_day_ends(spark, root, full_refresh, dedup)
     replace("vessel_activity_summary", activity.vessel_activity_summary(stg, layout), "date_day", ["mmsi", "flag_country"])
     replace("port_traffic", ports.port_traffic(stg, ties=TIES), "date_day", ["port_name", "port_country"])
     merge(
@@ -122,18 +133,46 @@ def refresh_gold(
     return report
 
 
-def refresh_day_ends(spark: SparkSession, root: str, stg: DataFrame, full_refresh: bool = False) -> DataFrame:
-    """The maintained ends of days: the newest stored day and the one before it are made anew, with all after them."""
+def refresh_day_ends(spark: SparkSession, root: str, full_refresh: bool = False, dedup: bool = False) -> DataFrame:
+    """The maintained ends of days, with the newest static data of each vessel.
+
+    Days whose silver files are not those of the last commit are made anew, whatever their date; a day without rows
+    goes. Static data is not stored but joined on reading, as it may come after a vessel's last position. The files
+    are listed before rows are read: what arrives in between is read now and once more by the next run.
+    """
     path = f"{root}/gold/vessel_day_ends"
-    newest = None
-    if not full_refresh and snapshots.exists(spark, path):
-        newest = snapshots.read(spark, path).agg(F.max("date_day")).first()[0]
-    if newest is None:
-        materialize(day_ends.day_ends(stg, TIES), path, "date_day", ["mmsi"])
+    storage = Storage(spark, path)
+    silver_days = snapshots.marks(Storage(spark, f"{root}/silver/positions"))
+    seen = {"dedup": dedup, "days": {d.split("=")[1]: m for d, m in silver_days.items() if not d.endswith("__")}}
+    known = None if full_refresh else _known_marks(storage)
+    if known is None or known["dedup"] != dedup:
+        changed = None
     else:
-        start = datetime(newest.year, newest.month, newest.day) - timedelta(days=1)
-        materialize(day_ends.day_ends(since(stg, start), TIES), path, "date_day", ["mmsi"], other_days=True)
-    return snapshots.read(spark, path)
+        days, old = seen["days"], known["days"]
+        changed = sorted(d for d in days.keys() | old.keys() if days.get(d) != old.get(d))
+    if changed is None or changed:
+        stg = staging(spark, root, dedup, changed)
+        ends = day_ends.day_ends(stg.drop(*FROM_METADATA), TIES)
+        keep = None if changed is None else lambda day: day.split("=")[1] not in changed
+        materialize(ends, path, "date_day", ["mmsi"], keep=keep)
+        number = snapshots.newest(storage).number
+        storage.create(f"{MARKS}/{number}.json", json.dumps(seen))
+        for found in storage.files(MARKS):
+            if found.name != f"{MARKS}/{number}.json":
+                storage.delete(found.name)
+    flat = snapshots.read(spark, path).select("port", "last.*")
+    rows = with_latest_metadata(flat, metadata_table(spark, root))
+    last = F.struct(*[c for c in rows.columns if c != "port"])
+    return rows.select("mmsi", "date_day", last.alias("last"), "port")
+
+
+def _known_marks(storage: Storage) -> dict | None:
+    """What the newest commit was made from; null if the writer stopped before it could say so."""
+    name = f"{MARKS}/{snapshots.newest(storage).number}.json"
+    try:
+        return json.loads(storage.text(name)) if storage.exists(name) else None
+    except ValueError:
+        return None
 
 
 def _for_speed(seeds: DataFrame | None) -> DataFrame | None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,19 +52,19 @@ def publish(df: DataFrame, sink: str, key: str = "MMSI", **options: str) -> None
 
 def materialize(
     df: DataFrame, path: str, partition_by: str, sort_by: Sequence[str] = (), storage: Storage | None = None,
-    other_days: bool = False,
+    keep: Callable[[str], bool] | None = None,
 ) -> None:
     """Full refresh of a table partitioned by day and sorted for row-group skipping.
 
-    The new rows replace all old ones, or with ``other_days`` those of their days, by one commit (see ``snapshots``), so readers always find a whole table and the
-    frame may read the table itself. The rebalance hint lets adaptive execution split a day that is far larger than
+    The new rows replace all old ones, or with ``keep`` those of their own days and of the day folders it refuses, by
+    one commit (see ``snapshots``), so readers always find a whole table and the frame may read the table itself. The rebalance hint lets adaptive execution split a day that is far larger than
     the others and merge tiny ones.
     """
     storage = storage or Storage(df.sparkSession, path)
-    old = [] if other_days else [f.name for f in snapshots.outside(storage, snapshots.newest(storage))]
+    old = [] if keep else [f.name for f in snapshots.outside(storage, snapshots.newest(storage))]
 
     def write(folder: str) -> None:
         spread = df.hint("rebalance", partition_by)
         spread.sortWithinPartitions(partition_by, *sort_by).write.partitionBy(partition_by).parquet(folder)
 
-    snapshots.change(storage, write, df.schema, lambda _: other_days, old)
+    snapshots.change(storage, write, df.schema, keep or (lambda _: False), old)
