@@ -42,7 +42,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of every document and their places in the sequences, as op10 gives them."""
-    return packing.digest(packing.pack(docs.select("doc_id", "text")))
+    return packing.digest(packing.pack(docs.select("doc_id", "text"), added_tokens=True))
 
 
 STAGES = [

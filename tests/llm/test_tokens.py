@@ -11,6 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from conftest import SMALL
 from llm_cases import none, odd  # noqa: F401
 from wakeline.llm import bpe, packing
@@ -158,3 +159,28 @@ def test_differencing_known_case():
     # 8 7 6 5 4 in two ways: largest differencing ends with 16 and 14.
     way = packing.differencing(np.array([8, 7, 6, 5, 4]), 2)
     assert sorted(np.bincount(way, weights=[8, 7, 6, 5, 4])) == [14, 16]
+
+
+def test_added_tokens_are_one_id_as_by_default_settings(spark, tmp_path):
+    """op10 and the pipeline's stage against a tokenizer as the library loads it."""
+    default = Tokenizer.from_file(packing.VOCABULARY)
+    known = packing.WordIds(open(packing.VOCABULARY, encoding="utf-8").read())
+    added = packing.AddedTokens(default)
+    part = st.one_of(st.text(max_size=6), st.sampled_from(
+        ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext|", "<|", "|>", "\u0301", "don", "'t", " ", "\x1c"]))
+
+    @settings(max_examples=300, deadline=None)
+    @given(st.lists(part, max_size=8))
+    def check(parts):
+        text = "".join(parts)
+        places = known.places(added.words_of(text))
+        known.learn()
+        assert known.ids(places).tolist() == default.encode(text, add_special_tokens=False).ids
+
+    check()
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|startoftext|><|endoftext|>y" * 3000, "plain", "", None]
+    rows = [(i, t, "en", "a", len(t or "")) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    check_packed(packing.op10(spark, str(tmp_path)).collect(), texts, default)
+    check_packed(corpus_pipeline.pack(spark, docs, SMALL).collect(), texts, default)

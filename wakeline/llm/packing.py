@@ -130,22 +130,45 @@ def worker_memory(vocabulary: str) -> tuple[Tokenizer, dict[str, tuple[int, ...]
     """
     memory = sys.modules.setdefault("packing_worker_memory", types.ModuleType("packing_worker_memory")).__dict__
     if memory.get("vocabulary") != vocabulary:
-        tokenizer = Tokenizer.from_str(vocabulary)
-        tokenizer.encode_special_tokens = True
-        memory.update(vocabulary=vocabulary, tokenizer=tokenizer, units={})
+        memory.update(vocabulary=vocabulary, tokenizer=Tokenizer.from_str(vocabulary), units={})
     return memory["tokenizer"], memory["units"]
 
 
+class AddedTokens:
+    """Cuts texts where they hold the content of an added token, as the tokenizer does before its other steps."""
+
+    def __init__(self, tokenizer: Tokenizer):
+        tokens = tokenizer.get_added_tokens_decoder()
+        for token in tokens.values():
+            if token.normalized or token.lstrip or token.rstrip or token.single_word:
+                raise ValueError(f"only added tokens that match as they are can be cut out, not {token.content!r}")
+        self.ids = {token.content: i for i, token in tokens.items()}
+        longest_first = sorted(self.ids, key=len, reverse=True)
+        self.cut = re.compile(f"({'|'.join(map(re.escape, longest_first))})")
+
+    def words_of(self, text: str) -> list[str | tuple[int]]:
+        """The words between added tokens; each of these is a tuple of its id."""
+        if not any(content in text for content in self.ids):
+            return words_of(text)
+        words: list[str | tuple[int]] = []
+        for n, part in enumerate(self.cut.split(text)):
+            words += [(self.ids[part],)] if n % 2 else words_of(part)
+        return words
+
+
 class WordIds(dict):
-    """The place of each word, in the order of first sight, and the ids of the words by place."""
+    """The place of each word, in the order of first sight, and the ids of the words by place.
+
+    A tuple of ids in place of a word stands for these ids.
+    """
 
     def __init__(self, vocabulary: str):
         super().__init__()
         self.tokenizer, self.by_unit = worker_memory(vocabulary)
-        self.fresh: list[str] = []
+        self.fresh: list[str | tuple[int]] = []
         self.flat, self.begin, self.size = np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: str | tuple[int]) -> int:
         self[word] = place = len(self)
         self.fresh.append(word)
         return place
@@ -166,7 +189,7 @@ class WordIds(dict):
             self.by_unit.clear()
             self.by_unit.update(kept)
 
-    def places(self, words: list[str]) -> np.ndarray:
+    def places(self, words: list[str | tuple[int]]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
     def learn(self) -> None:
@@ -183,6 +206,9 @@ class WordIds(dict):
         found: list[tuple[int, ...]] = []
         hard = []
         for word in self.fresh:
+            if isinstance(word, tuple):
+                found.append(word)
+                continue
             stem = word.rstrip(".,;:!?")
             unit = stem.lower()
             if not (stem.isalpha() and (stem.isascii() or max(stem) <= LAST_LATIN and unit.isalpha())):
@@ -237,12 +263,15 @@ def id_type(vocabulary: str, end: int = END) -> str:
 
 
 def token_pieces(docs: DataFrame, text: str = "text", key: str = "doc_id", vocabulary: str = VOCABULARY,
-                 end: int = END, longest: int = CAPACITY) -> DataFrame:
+                 end: int = END, longest: int = CAPACITY, added_tokens: bool = False) -> DataFrame:
     """(part, before, key, start, length, doc_tokens, ids): each text's tokens and its end id, cut every ``longest``.
 
     ids are little-endian unsigned numbers, of as many bytes as ``id_type`` says for the vocabulary. part and before (tokens before the piece in its part) give the
     order. The tokenizer drops white space and never joins what it parts, so words at white space are tokenised once
     for each task, as far as it remembers, and looked up; the vocabulary file travels as a broadcast of its size.
+
+    With ``added_tokens`` the content of an added token, such as <|endoftext|>, becomes its one id, as the library's
+    ``encode`` has it by default; without, it is text like any other (``encode_special_tokens = True``).
     """
     shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
     narrow = id_type(shared.value, end)
@@ -251,6 +280,7 @@ def token_pieces(docs: DataFrame, text: str = "text", key: str = "doc_id", vocab
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordIds(shared.value)
+        words = AddedTokens(known.tokenizer).words_of if added_tokens else words_of
         part, before = TaskContext.get().partitionId(), 0
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1)
@@ -259,7 +289,7 @@ def token_pieces(docs: DataFrame, text: str = "text", key: str = "doc_id", vocab
             for held in blocks(texts, sizes, BLOCK_BYTES):
                 if len(known) > REMEMBERED:
                     known.forget()
-                places = [known.places(words_of(t or "")) for t in held.to_pylist()]
+                places = [known.places(words(t or "")) for t in held.to_pylist()]
                 known.learn()
                 rows = []
                 for at in places:
@@ -320,7 +350,7 @@ def pack(docs: DataFrame, text: str = "text", key: str = "doc_id", capacity: int
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digest(pack(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return digest(pack(table(spark, sf_dir, "documents").select("doc_id", "text"), added_tokens=True))
 
 
 def digest(packed: DataFrame) -> DataFrame:
