@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wakeline.llm import bpe, chat, embeddings, exact, ngram, packing, quality, search, secrets, toxicity, warc
+from wakeline.llm import (
+    bpe, chat, embeddings, exact, ngram, packing, quality, search, secrets, substring, toxicity, warc, whiten,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +23,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_embedding_pairs": embeddings.op8,
         "op9_chat_windows": chat.op9,
         "op10_packing": packing.op10,
+        "op11_substring_dedup": substring.op11,
+        "op12_whitening": whiten.op12,
         "op13_lexical_search": search.op13,
     }
 
@@ -31,5 +35,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_exact_dedup": exact.OP4_SQL,
         "op7_web_archives": warc.OP7_SQL,
         "op9_chat_windows": chat.OP9_SQL,
+        "op11_substring_dedup": substring.OP11_SQL,
         "op13_lexical_search": search.OP13_SQL,
     }
