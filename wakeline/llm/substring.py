@@ -299,12 +299,12 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP11_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
-p AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS at FROM d WHERE len(w) >= 50),
-h AS (SELECT doc_id, at, array_to_string(w[at:at + 49], ' ') AS passage FROM p),
-g AS (SELECT doc_id, at, min(doc_id) OVER (PARTITION BY passage) < doc_id AS gone FROM h),
-r AS (SELECT DISTINCT doc_id, unnest(range(at, at + 50)) AS at FROM g WHERE gone),
-k AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS at FROM d),
-o AS (SELECT doc_id, string_agg(word, ' ' ORDER BY at) AS kept, count(*) AS n FROM k ANTI JOIN r USING (doc_id, at) GROUP BY doc_id)
+p AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS pos FROM d WHERE len(w) >= 50),
+h AS (SELECT doc_id, pos, array_to_string(w[pos:pos + 49], ' ') AS passage FROM p),
+g AS (SELECT doc_id, pos, min(doc_id) OVER (PARTITION BY passage) < doc_id AS gone FROM h),
+r AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 50)) AS pos FROM g WHERE gone),
+k AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM d),
+o AS (SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS kept, count(*) AS n FROM k ANTI JOIN r USING (doc_id, pos) GROUP BY doc_id)
 SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN o USING (doc_id)
 """
