@@ -13,7 +13,7 @@ from wakeline.operators.dedup import dedup_latest
 from wakeline.operators.incremental import EPOCH, incremental_cutoff
 from wakeline.operators.joins import left_lookup
 from wakeline.operators.merge import merge_into, merge_upsert
-from wakeline.operators.sequence import WHOLE_KEYS, busy_days, track_layout, with_chunks, with_previous
+from wakeline.operators.sequence import EDGE, PART, WHOLE_KEYS, in_ranges, track_layout, with_latest, with_previous
 from wakeline.plans import dark, speed
 from wakeline.plans.staging import stg_vessel_positions
 from wakeline.sources import snapshots
@@ -39,7 +39,7 @@ def skewed(spark, rows=3000, seed=7):
 
 
 def rows(df):
-    return sorted(map(tuple, df.select("mmsi", "event_timestamp", "x", "before").collect()))
+    return sorted((tuple(r) for r in df.select("mmsi", "event_timestamp", "x", "before").collect()), key=repr)
 
 
 @pytest.mark.parametrize("per_day", [None, "day"])
@@ -54,14 +54,54 @@ def test_previous_equals_plain_lag(spark, per_day, limit):
     assert rows(got) == rows(plain)
 
 
-def test_chunks_of_the_hot_day_stay_within_the_limit(spark):
-    df, limit = skewed(spark), 100
-    cut = busy_days(df, "mmsi", "event_timestamp", limit)
-    assert {r["_busy_key"] for r in cut.collect()} == {"hot"}
-    sizes = with_chunks(df, "mmsi", "event_timestamp", cut).groupBy("mmsi", "_day", "_slice").count().collect()
-    assert sum(r["count"] for r in sizes) == df.count()
-    assert max(r["count"] for r in sizes) <= limit
-    assert len([r for r in sizes if r["mmsi"] == "hot"]) < 4 * df.where("mmsi = 'hot'").count() / limit
+def one_second(spark, rows=3000):
+    """A third of the rows is one vessel's in one second, half of these copies of one position; one vessel has no name."""
+    data = [("hot", START + timedelta(microseconds=0 if i % 2 else i), float(i % 7)) for i in range(rows // 3)]
+    data += [(None if i % 50 == 0 else f"v{i % 40}", START + timedelta(seconds=i), float(i)) for i in range(rows - len(data))]
+    return spark.createDataFrame(data, "mmsi string, event_timestamp timestamp, x double").repartition(5)
+
+
+@pytest.mark.parametrize("make, limit", [(skewed, 100), (one_second, 100), (one_second, 600)])
+def test_ranges_stay_within_the_limit(spark, make, limit):
+    df = make(spark)
+    layout = track_layout(df, "mmsi", "event_timestamp", rows_per_window=limit)
+    hot = df.join(layout.hot, F.col("mmsi").eqNullSafe(F.col("_hot_key")), "left_semi")
+    ranged = in_ranges(hot, ["mmsi"], ["event_timestamp"], layout.ranges, before={"before": "x"})
+    sizes = [r["count"] for r in ranged.groupBy(PART).count().collect()]
+    assert sum(sizes) == hot.count() and max(sizes) <= limit and len(sizes) > 1
+    assert ranged.filter(F.col(EDGE) > 0).count() <= 2 * len(sizes)
+
+
+@pytest.mark.parametrize("per_day", [None, "day"])
+@pytest.mark.parametrize("limit", [30, 200])
+def test_previous_with_copies_in_one_second(spark, per_day, limit):
+    """Copies tie, so which of them comes first is open; how often every pair of neighbours occurs is not."""
+    df = one_second(spark).withColumn("day", F.to_date("event_timestamp")).withColumn("at", F.col("event_timestamp"))
+    window = Window.partitionBy("mmsi", *([per_day] if per_day else [])).orderBy("event_timestamp", "x")
+    plain = df.withColumns({"before": F.lag("x").over(window), "earlier": F.lag("at").over(window)})
+    layout = track_layout(df, "mmsi", "event_timestamp", rows_per_window=limit)
+    got = with_previous(df, {"before": "x", "earlier": "at"}, ties=("x",), per_day=per_day, layout=layout)
+    columns = ["mmsi", "event_timestamp", "x", "before", "earlier"]
+    assert sorted(map(str, got.select(columns).collect())) == sorted(map(str, plain.select(columns).collect()))
+
+
+@pytest.mark.parametrize("limit", [30, 200, 10_000])
+def test_latest_value_along_the_track(spark, limit):
+    """Values are rare, so that many ranges have none and look several ranges back."""
+    df = one_second(spark).withColumns({"at": F.col("event_timestamp"), "rare": F.when(F.col("x") % 97 == 3, F.col("x"))})
+    df = df.withColumn("rare", F.when((F.col("mmsi") == "hot") & (F.unix_micros("at") % 1000 == 7), 1.0).otherwise(F.col("rare")))
+    window = Window.partitionBy("mmsi").orderBy("event_timestamp", "x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    plain = df.withColumn("before", F.last("rare", ignorenulls=True).over(window))
+    layout = track_layout(df, "mmsi", "event_timestamp", rows_per_window=limit)
+    got = with_latest(df, {"before": "rare"}, ties=("x",), layout=layout)
+    assert rows(got) == rows(plain)
+
+
+def test_tracks_that_fit_keep_the_plain_window(spark):
+    df = one_second(spark)
+    out = with_previous(df, {"before": "x"}, layout=track_layout(df, "mmsi", "event_timestamp", rows_per_window=500))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and "Window [lag(" in plan and "tracks-" not in plan.split("Union")[0]
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
@@ -75,14 +115,6 @@ def test_previous_on_any_track(spark, points):
     assert rows(with_previous(df, {"before": "x"}, layout=layout)) == rows(plain)
 
 
-def test_exchange_is_shared_by_both_sides_of_the_stitch(spark):
-    df = skewed(spark)
-    layout = track_layout(df, "mmsi", "event_timestamp", rows_per_window=100)
-    out = with_previous(df, {"before": "x"}, layout=layout)
-    out.collect()
-    assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
-
-
 def test_dedup_keeps_the_latest_and_shrinks_before_the_shuffle(spark):
     df = spark.createDataFrame(
         [("a", 1, 1, "old"), ("a", 1, 2, "new"), ("a", 2, 1, "only"), ("b", 1, 1, "other")],

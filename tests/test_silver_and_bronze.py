@@ -169,3 +169,33 @@ def test_expectations_report_failures(spark):
 
 def test_suites_hold_104_rules():
     assert sum(map(len, SUITES.values())) == 104
+
+
+def test_expectations_read_the_model_once(frames):
+    plan = expect(frames.activity, SUITES["vessel_activity_summary"])._jdf.queryExecution().executedPlan().toString()
+    once = frames.activity._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Expand") == 1 and plan.count("FileScan") == once.count("FileScan")
+
+
+def test_expectations_on_an_empty_table(spark):
+    from wakeline.quality.expectations import not_constant, not_null, unique
+
+    df = spark.createDataFrame([], "k int, s string")
+    got = {r["name"]: r["failures"] for r in expect(df, [*not_null("k"), unique("k"), not_constant("s")]).collect()}
+    assert got == {"not_null_k": 0, "unique_k": 0, "not_constant_s": 1}
+    assert [r["failures"] for r in expect(df, not_null("k")).collect()] == [0]
+
+
+def test_visits_to_a_cell_are_stays_of_their_own(spark):
+    """Two visits of four hours to one cell with a trip to another in between, and a silence that ends a third."""
+    base = datetime(2024, 5, 1)
+    hours = [(h, 10.0) for h in range(0, 5)] + [(5, 11.0)] + [(h, 10.0) for h in range(6, 11)] + [(h, 10.0) for h in range(40, 45)]
+    rows = [("1", "N", "cargo", "DE", "r", base + timedelta(hours=h), base.date(), 2.0, 30.0, lat, 20.0, None, False) for h, lat in hours]
+    schema = ("mmsi string, vessel_name string, vessel_type_normalized string, flag_country string, ocean_region string, "
+              "event_timestamp timestamp, date_day date, speed_over_ground double, heading_change_degrees double, "
+              "latitude double, longitude double, navigational_status string, is_in_port_zone boolean")
+    df = spark.createDataFrame(rows, schema)
+    got = sorted((r["window_start"].hour, r["position_count"], r["duration_minutes"]) for r in loiter.vessel_loitering(df, sessionize=600).collect())
+    assert got == [(0, 5, 240), (6, 5, 240), (16, 5, 240)]
+    (one,) = loiter.vessel_loitering(df).collect()
+    assert one["position_count"] == 15

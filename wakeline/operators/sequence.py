@@ -2,79 +2,187 @@
 
 A plain ``lag`` over ``partitionBy(vessel)`` sorts everything a vessel ever sent in a single task, which breaks as
 soon as one MMSI (a shared default number, say) holds a large share of the rows. So the rows per key are counted
-first, from two columns. While every key is small enough the plain window is used: one shuffle, one sort. Otherwise
-each track is cut into chunks of one day, and days that are still too large where the running count of their rows
-passes the limit: ``lag`` runs inside the chunks, and the first row of a chunk takes its predecessor from the edge rows
-(first and last row of every chunk), a set of two rows per chunk.
+first, from one column. Keys that fit one window take it: one shuffle, one sort. The rows of the other keys are
+range-partitioned by key, time, ties and a running number, so any of them can be cut anywhere, also inside one
+instant; each range passes its rows on with the row before, and what a range begins with takes its predecessor from
+the last row of the range before it, a table of two rows for each range.
 """
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-DAY_SECONDS = 86_400
+from wakeline.session import written
+
+# The function that walks a range runs in Python workers that may not have this package: it travels by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 ROWS_PER_WINDOW = 2_000_000
+#: Beside the rows: the running number, the range, and whether a row is the first (1) or the last (2) of its range.
+PLACE, PART, EDGE = "_place", "_part", "_edge"
 
 
 @dataclass(frozen=True)
 class TrackLayout:
-    """How tracks are windowed: whole keys, or day chunks with ``busy`` days cut further."""
+    """How tracks are windowed: all keys whole, or those in ``hot`` (one column, ``_hot_key``) in so many ranges."""
 
     whole_keys: bool
-    busy: DataFrame | None = None
+    hot: DataFrame | None = None
+    ranges: int = 0
 
 
 WHOLE_KEYS = TrackLayout(True)
 
 
-def track_layout(df: DataFrame, key: str, time: str, rows_per_window: int = ROWS_PER_WINDOW) -> TrackLayout:
+def track_layout(
+    df: DataFrame, key: str, time: str, rows_per_window: int = ROWS_PER_WINDOW, ranges: int | None = None
+) -> TrackLayout:
     """Count the rows per key (combined before the shuffle) and choose. An upper bound will do: count the stored
-    rows before filters and joins, and pass the layout on to every model built on them."""
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    largest = per_key.agg(F.max("_rows")).first()[0]
-    if largest is None or largest <= rows_per_window:
+    rows before filters and joins, and pass the layout on to every model built on them.
+
+    A range takes half of ``rows_per_window`` on average, as its bounds come from a sample, unless ``ranges`` says how
+    many there are."""
+    per_key = df.groupBy(F.col(key).alias("_hot_key")).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = F.col("_rows") > rows_per_window
+    rows = per_key.agg(F.sum(F.when(hot, F.col("_rows")))).first()[0]
+    if not rows:
         return WHOLE_KEYS
-    return TrackLayout(False, busy_days(df, key, time, rows_per_window))
+    return TrackLayout(False, per_key.filter(hot).select("_hot_key"), ranges or -(-2 * rows // rows_per_window))
+
+
+Names = dict[str, str]
+
+
+def _walk(track: list[str], before: Names, latest: Names) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Add the values of the row before and the latest values that are not null, both null where the track begins, and
+    mark the first and last row of the range."""
+    needed = list(dict.fromkeys([*track, *before.values()]))
+
+    def shifted(batch: pa.RecordBatch, last: pa.RecordBatch | None) -> dict[str, pa.Array]:
+        out = {}
+        for name in needed:
+            here = batch.column(name)
+            first = pa.nulls(1, here.type) if last is None else last.column(name)
+            out[name] = pa.concat_arrays([first, here.slice(0, len(here) - 1)])
+        return out
+
+    def filled(values: pa.Array, same: np.ndarray, open_value: pa.Array) -> pa.Array:
+        """``open_value`` (one element) is what the track that the batch begins in has had so far."""
+        at = np.arange(len(values))
+        begin = np.maximum.accumulate(np.where(same, -1, at))
+        newest = np.maximum.accumulate(np.where(values.is_valid().to_numpy(zero_copy_only=False), at, -1))
+        source = np.where(newest >= np.maximum(begin, 0), newest, np.where(begin < 0, len(values), -1))
+        return pa.concat_arrays([values, open_value]).take(pa.array(source, mask=source < 0))
+
+    def marked(batch: pa.RecordBatch, last: pa.RecordBatch | None, part: int, ends: bool) -> pa.RecordBatch:
+        earlier = shifted(batch, last)
+        same = np.ones(len(batch), bool)
+        for name in track:
+            here, there = batch.column(name), earlier[name]
+            both_null = pc.and_(pc.is_null(here), pc.is_null(there))
+            same &= pc.or_(pc.fill_null(pc.equal(here, there), False), both_null).to_numpy(zero_copy_only=False)
+        edge = np.zeros(len(batch), np.int32)
+        if last is None:
+            same[0], edge[0] = False, 1
+        edge[-1] += 2 * ends
+        shift = [pc.if_else(pa.array(same), earlier[c], pa.scalar(None, earlier[c].type)) for c in before.values()]
+        fill = [filled(batch.column(old), same, pa.nulls(1, batch.column(old).type) if last is None else last.column(new))
+                for new, old in latest.items()]
+        return pa.RecordBatch.from_arrays(
+            [*batch.columns, *shift, *fill, pa.array(np.full(len(batch), part, np.int32)), pa.array(edge)],
+            names=[*batch.schema.names, *before, *latest, PART, EDGE])
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held, last = TaskContext.get().partitionId(), None, None
+        for batch in batches:
+            if not len(batch):
+                continue
+            if held is not None:
+                done = marked(held, last, part, False)
+                last = done.slice(len(done) - 1)
+                yield done
+            held = batch
+        if held is not None:
+            yield marked(held, last, part, True)
+
+    return walk
+
+
+def in_ranges(
+    rows: DataFrame, track: list[str], order: list[str], ranges: int, before: Names | None = None, latest: Names | None = None
+) -> DataFrame:
+    """``rows`` with the columns of the row before, and the latest values, of the same track in the same range.
 
+    Written to the shared folder: both readers of the ranges must see the same bounds, whatever is computed again.
+    """
+    before, latest = before or {}, latest or {}
+    sort = [*track, *order, PLACE]
+    fields = [T.StructField(new, rows.schema[old].dataType) for new, old in (before | latest).items()]
+    marks = [T.StructField(PART, T.IntegerType()), T.StructField(EDGE, T.IntegerType())]
+    numbered = rows.withColumn(PLACE, F.monotonically_increasing_id())
+    schema = T.StructType([*numbered.schema.fields, *fields, *marks])
+    sorted_rows = numbered.repartitionByRange(ranges, *sort).sortWithinPartitions(*sort)
+    return written(sorted_rows.mapInArrow(_walk(track, before, latest), schema), "tracks")
+
+
+def stitched(ranged: DataFrame, columns: Names, track: list[str]) -> DataFrame:
+    """Give the first row of each range its predecessor, the last row of the range before it."""
+    firsts = F.col(EDGE).bitwiseAND(1) == 1
+    edges = ranged.filter(F.col(EDGE) > 0)
+    # At most two rows for each range come together here.
+    along = Window.orderBy(PART, EDGE)
+    earlier = F.lag(F.struct(*dict.fromkeys([*track, *columns.values()]))).over(along)
+    same = F.col("_earlier").isNotNull()
+    for name in track:
+        same = same & F.col(f"_earlier.{name}").eqNullSafe(F.col(name))
+    opened = edges.withColumn("_earlier", earlier).filter(firsts).withColumns({
+        new: F.when(same, F.col(f"_earlier.{old}")) for new, old in columns.items()
+    }).drop("_earlier")
+    return ranged.filter(~firsts).unionByName(opened).drop(PLACE, PART, EDGE)
+
+
+def carried(ranged: DataFrame, columns: Names, track: list[str]) -> DataFrame:
+    """Give the rows at the beginning of each range the latest values of the ranges before it."""
+    of_track = F.struct(*track).alias("_track")
+    is_head, is_tail = F.col(EDGE).bitwiseAND(1) == 1, F.col(EDGE).bitwiseAND(2) == 2
+    values = F.struct(*columns)
+    heads = ranged.filter(is_head).select(PART, of_track, F.lit(0).alias("_tail"), F.when(F.lit(False), values).alias("_had"))
+    tails = ranged.filter(is_tail).select(PART, of_track, F.lit(1).alias("_tail"), values.alias("_had"))
+    along = Window.partitionBy("_track").orderBy(PART, "_tail").rowsBetween(Window.unboundedPreceding, -1)
+    carry = heads.unionByName(tails).withColumns({
+        f"_open_{c}": F.last(F.col(f"_had.{c}"), ignorenulls=True).over(along) for c in columns
+    }).filter("_tail = 0").select(F.col(PART).alias("_of"), "_track", *[f"_open_{c}" for c in columns])
+    # One row for each range: as many as there are tasks.
+    met = ranged.join(F.broadcast(carry), (F.col(PART) == F.col("_of")) & F.struct(*track).eqNullSafe(F.col("_track")), "left")
+    return met.withColumns({c: F.coalesce(c, f"_open_{c}") for c in columns}).drop(
+        "_of", "_track", *[f"_open_{c}" for c in columns], PLACE, PART, EDGE)
+
+
+def with_latest(
+    df: DataFrame, columns: Names, key: str = "mmsi", time: str = "event_timestamp", ties: tuple[str, ...] = (),
+    layout: TrackLayout | None = None,
+) -> DataFrame:
+    """Add ``new_name -> latest value of column that is not null``, on the key's track up to and with the row itself."""
+    layout = layout or track_layout(df, key, time)
 
-def busy_days(df: DataFrame, key: str, time: str, rows_per_window: int = ROWS_PER_WINDOW) -> DataFrame:
-    """(key, day, cuts) for every key-day with more than ``rows_per_window`` rows.
+    def whole(rows: DataFrame) -> DataFrame:
+        window = Window.partitionBy(key).orderBy(time, *ties).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return rows.withColumns({new: F.last(old, ignorenulls=True).over(window) for new, old in columns.items()})
 
-    Rows are counted by second; a cut is the second with which the running count of the day passes a multiple of
-    half the limit, so a chunk has at most the limit unless one second has more than half of it. Event times are unique per
-    vessel once de-duplicated: a second then holds no more than a million rows. A key-day has 86,400 counts at most,
-    and all cuts together are no more than rows / limit x 2.
-    """
-    day, second = F.to_date(time).alias("_busy_day"), F.floor(F.unix_micros(time) / F.lit(1e6) % DAY_SECONDS).alias("_second")
-    counts = df.groupBy(F.col(key).alias("_busy_key"), day, second).agg(F.count(F.lit(1)).alias("_rows"))
-    track = Window.partitionBy("_busy_key", "_busy_day")
-    before = F.sum("_rows").over(track.orderBy("_second").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_rows")
-    part = F.floor(before / F.lit(max(1, rows_per_window // 2)))
-    return (
-        counts.withColumns({"_total": F.sum("_rows").over(track), "_part": part})
-        .filter(F.col("_total") > rows_per_window)
-        .groupBy("_busy_key", "_busy_day", "_part").agg(F.min("_second").alias("_cut"))
-        .groupBy("_busy_key", "_busy_day").agg(F.sort_array(F.collect_list("_cut")).alias("_cuts"))
-    )
-
-
-def with_chunks(df: DataFrame, key: str, time: str, busy: DataFrame) -> DataFrame:
-    """Add ``_day`` and ``_slice``; together with the key they name one chunk of a track.
-
-    The busy days come by a plain join: Spark sends them to every task if they are small, and shuffles otherwise,
-    splitting the partition of a key-day with very many rows.
-    """
-    df = df.withColumn("_day", F.to_date(time))
-    second = F.floor(F.unix_micros(time) / F.lit(1e6) % DAY_SECONDS)
-    passed = F.size(F.filter("_cuts", lambda cut: cut <= second))
-    return (
-        df.join(busy, F.col(key).eqNullSafe(F.col("_busy_key")) & F.col("_day").eqNullSafe(F.col("_busy_day")), "left")
-        .withColumn("_slice", F.when(F.col("_cuts").isNotNull(), passed).otherwise(F.lit(0)))
-        .drop("_busy_key", "_busy_day", "_cuts")
-    )
+    if layout.whole_keys:
+        return whole(df)
+    is_hot = F.col(key).eqNullSafe(F.col("_hot_key"))
+    ranged = in_ranges(df.join(layout.hot, is_hot, "left_semi"), [key], [time, *ties], layout.ranges, latest=columns)
+    return whole(df.join(layout.hot, is_hot, "left_anti")).unionByName(carried(ranged, columns, [key]))
 
 
 def with_previous(
@@ -88,35 +196,20 @@ def with_previous(
 ) -> DataFrame:
     """Add ``new_name -> value of column in the key's previous row`` for every entry of ``columns``.
 
-    ``per_day`` names the day column at whose change the track starts anew. Without a ``layout`` the frame is counted first.
+    ``per_day`` names the day column at whose change the track starts anew. Without a ``layout`` the frame is counted
+    first. Rows that agree in key, time and ties come in any order; equal rows are rows each.
     """
     layout = layout or track_layout(df, key, time)
-    order = [F.col(time), *[F.col(c) for c in ties]]
+    track = [key, per_day] if per_day else [key]
     earlier_row = F.struct(*[F.col(source).alias(name) for name, source in columns.items()])
 
-    def unpack(frame: DataFrame) -> DataFrame:
-        return frame.withColumns({name: F.col(f"_prev.{name}") for name in columns}).drop("_prev")
+    def whole(rows: DataFrame) -> DataFrame:
+        window = Window.partitionBy(*track).orderBy(time, *ties)
+        previous = rows.withColumn("_prev", F.lag(earlier_row).over(window))
+        return previous.withColumns({name: F.col(f"_prev.{name}") for name in columns}).drop("_prev")
 
     if layout.whole_keys:
-        days = [per_day] if per_day else []
-        window = Window.partitionBy(key, *days).orderBy(*order)
-        return unpack(df.withColumn("_prev", F.lag(earlier_row).over(window)))
-
-    chunked = with_chunks(df, key, time, layout.busy)
-    window = Window.partitionBy(key, "_day", "_slice").orderBy(*order)
-    inside = chunked.withColumns({
-        "_prev": F.lag(earlier_row).over(window),
-        "_next": F.lead(F.lit(True)).over(window),
-    })
-
-    track = [key, per_day] if per_day else [key]
-    starts = F.col("_prev").isNull()
-    edges = (
-        inside.filter(starts | F.col("_next").isNull())
-        .withColumn("_starts", starts)
-        .withColumn("_prev", F.lag(earlier_row).over(Window.partitionBy(*track).orderBy(*order)))
-        .filter("_starts")
-        .drop("_starts")
-    )
-    stitched = inside.filter(~starts).unionByName(edges)
-    return unpack(stitched.drop("_day", "_slice", "_next"))
+        return whole(df)
+    is_hot = F.col(key).eqNullSafe(F.col("_hot_key"))
+    ranged = in_ranges(df.join(layout.hot, is_hot, "left_semi"), track, [time, *ties], layout.ranges, before=columns)
+    return whole(df.join(layout.hot, is_hot, "left_anti")).unionByName(stitched(ranged, columns, track))

@@ -429,7 +429,11 @@ FINAL |= {
     "bronze_flatten": (["reports"], f"""
         SELECT cog AS Cog, own_lat AS Latitude, lon AS Longitude, nav::DOUBLE AS NavigationalStatus, sog AS Sog,
                hd::DOUBLE AS TrueHeading, user_id::DOUBLE AS UserID, true AS Valid, id AS MMSI, id AS MMSI_String,
-               ship AS ShipName, {_ts('t')} || '123 +0000 UTC' AS time_utc, '{ref.SOURCE_SYSTEM}' AS _source_system
+               ship AS ShipName, {_ts('t')} || '123 +0000 UTC' AS time_utc, '{ref.SOURCE_SYSTEM}' AS _source_system,
+               (rid * 31 % 262143)::INT AS CommunicationState, (1 + rid % 3)::INT AS MessageID,
+               rid % 2 = 0 AS PositionAccuracy, rid % 5 = 0 AS Raim, (rid % 255 - 127)::INT AS RateOfTurn,
+               (rid % 4)::INT AS RepeatIndicator, 0 AS Spare, (rid % 3)::INT AS SpecialManoeuvreIndicator,
+               (rid % 60)::INT AS Timestamp
         FROM reports"""),
     "bronze_validate": (["judged"], f"""
         SELECT id AS MMSI, own_lat AS Latitude, lon AS Longitude, sog AS Sog, {_ts('t')} AS time_utc,
@@ -531,13 +535,6 @@ FINAL |= {
         SELECT batch AS _bronze_batch_id, count(*) AS rows_in_duplicated_groups, {_ts('min(ingested)')} AS processed_at
         FROM twice SEMI JOIN (SELECT mmsi, event_timestamp FROM twice GROUP BY 1, 2 HAVING count(*) > 1)
             USING (mmsi, event_timestamp) GROUP BY 1"""),
-    "layer_gap": (["reports"], f"""
-        SELECT sum(n)::BIGINT AS rows_read, sum(good)::BIGINT AS rows_written,
-               round(greatest(0, 1 - sum(good) / sum(n)::DOUBLE), 6) AS gap
-        FROM (SELECT date_trunc('minute', t) AS done, count(*) AS n,
-                     count(*) FILTER (id IS NOT NULL AND own_lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180) AS good
-              FROM reports GROUP BY 1)
-        WHERE done > {HALF} - INTERVAL 15 MINUTE AND done <= {HALF}"""),
     "report_overview": (["silver"], f"""
         SELECT count(*) AS positions, count(DISTINCT mmsi) AS vessels, count(DISTINCT flag_country) AS flags,
                count(*) FILTER (is_in_port_zone) AS in_port, {_ts('min(event_timestamp)')} AS first_ts,
@@ -604,6 +601,85 @@ FINAL |= {
 }
 
 
+# Chained streams, boxes, visits and holes.
+
+GOOD = "id IS NOT NULL AND own_lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180"
+ISO = ("CASE WHEN epoch_us({t}) % 1000000 = 0 THEN strftime({t}, '%Y-%m-%dT%H:%M:%S+00:00')"
+       " ELSE strftime({t}, '%Y-%m-%dT%H:%M:%S.%f+00:00') END")
+SILENT = "epoch_us(t) - epoch_us(t0) > 120 * 60000000::BIGINT"
+BLOCKS |= {
+    "counted": (["feed"], f"""
+        SELECT count(*) AS rows_read, count(*) FILTER (broken) AS invalid_json,
+               count(*) FILTER (NOT broken AND kind <> 'PositionReport') AS rows_other,
+               count(*) FILTER (NOT broken AND kind = 'PositionReport' AND id IS NULL) AS missing_mmsi,
+               count(*) FILTER (NOT broken AND kind = 'PositionReport' AND id IS NOT NULL
+                                AND NOT coalesce({GOOD}, false)) AS invalid_position,
+               count(*) FILTER (NOT broken AND kind = 'PositionReport' AND {GOOD}) AS rows_written
+        FROM feed"""),
+    "visited": (["slow"], f"""
+        SELECT *, CASE WHEN lag(event_timestamp) {TRACK} IS NULL OR lat_cell IS DISTINCT FROM lag(lat_cell) {TRACK}
+                            OR lon_cell IS DISTINCT FROM lag(lon_cell) {TRACK}
+                            OR date_sub('minute', lag(event_timestamp) {TRACK}, event_timestamp) > 720
+                       THEN event_timestamp END AS begins
+        FROM slow"""),
+    "visits": (["visited"], f"""
+        SELECT mmsi, vessel_name, vessel_type_normalized, flag_country, ocean_region, lat_cell, lon_cell, visit,
+               lat_cell || '_' || lon_cell AS loiter_zone, min(event_timestamp) AS window_start,
+               max(event_timestamp) AS window_end, count(*) AS position_count,
+               date_sub('minute', min(event_timestamp), max(event_timestamp)) AS duration_minutes,
+               avg(speed_over_ground) AS avg_speed_knots, avg(heading_change_degrees) AS avg_heading_change,
+               min(date_day) AS event_date
+        FROM (SELECT *, max(begins) {TRACK} AS visit FROM visited) GROUP BY ALL
+        HAVING date_sub('minute', min(event_timestamp), max(event_timestamp)) > 180"""),
+    "sessions": (["visits"], BLOCKS["loiter"][1].replace("FROM stays", "FROM visits").replace(", *,", ", * EXCLUDE (visit),")),
+    "hole_label": (["silver"], """
+        SELECT strftime(time_bucket(INTERVAL 5 MINUTE, event_timestamp), '%H:%M') AS t, count(*) AS n
+        FROM silver WHERE hour(event_timestamp) NOT IN (9, 10) GROUP BY 1"""),
+}
+FINAL |= {
+    "keyed_json": (["reports", "renamed"], f"""
+        SELECT id AS mmsi, vessel_name, {_mid_case('id')} AS flag_country, latitude, longitude, ocean_region,
+               {_port(3)}[port_no] AS port_name, speed_over_ground, navigational_status, {_ts("date_trunc('milliseconds', event_timestamp)")} AS event_timestamp,
+               '{ref.SOURCE_SYSTEM}' AS _source_system
+        FROM renamed JOIN reports USING (rid) WHERE {GOOD}
+        QUALIFY row_number() OVER (PARTITION BY id, date_trunc('milliseconds', event_timestamp) ORDER BY rid) = 1"""),
+    "batch_audit": (["counted"], """
+        SELECT 'bronze_positions' AS layer, rows_read, rows_written, rows_read - rows_written - rows_other AS rows_rejected,
+               rows_other, 0::BIGINT AS rows_copies, invalid_json, missing_mmsi, invalid_position, 0::BIGINT AS invalid_time
+        FROM counted"""),
+    "layer_gap": (["counted"], """
+        SELECT rows_read - rows_other AS rows_read, rows_written,
+               round(1 - rows_written / (rows_read - rows_other)::DOUBLE, 6) AS gap FROM counted"""),
+    "silence_stream": (["pings", "rated"], f"""
+        SELECT mmsi, CASE WHEN knots > 35 AND change > 5 THEN 'GPS_SPOOFING' WHEN knots > 35 THEN 'IMPOSSIBLE_SPEED'
+                          ELSE 'SUDDEN_ACCELERATION' END AS alert_type,
+               CASE WHEN knots > 35 THEN 'high' ELSE 'medium' END AS severity,
+               'calculated_speed=' || printf('%.1f', knots) || 'kn reported_sog=' || coalesce(sog::VARCHAR, 'None')
+                   || 'kn speed_change=' || printf('%.1f', change) || 'kn' AS description,
+               lat AS latitude, lon AS longitude
+        FROM rated WHERE (knots > 35 OR change > 10) AND NOT ({SILENT})
+        UNION ALL
+        SELECT mmsi, 'AIS_GAP', 'medium', 'No messages for >120 min — last seen at ' || ({ISO.format(t='t0')}), lat0, lon0
+        FROM rated WHERE {SILENT}
+        UNION ALL
+        SELECT mmsi, 'AIS_GAP', 'medium', 'No messages for >120 min — last seen at ' || ({ISO.format(t='max(t)')}),
+               arg_max(lat, t), arg_max(lon, t)
+        FROM pings GROUP BY mmsi
+        HAVING epoch_ms(max(t)) + 7200000 <= (SELECT epoch_ms(max(t)) - 600000 FROM pings)"""),
+    "stream_once_each": (["bronze"], f"SELECT DISTINCT mmsi AS MMSI, {_ts('t')} AS time_utc, 1::BIGINT AS copies FROM bronze"),
+    "box_index_lookup": (["bronze"], """
+        SELECT rid AS event_id, min(b.zone_id) AS zone_id, 'zone ' || min(b.zone_id) AS zone
+        FROM bronze LEFT JOIN (
+            SELECT c_custkey AS zone_id, (c_custkey * 37 % 1600) / 1e1 - 8e1 AS y, (c_custkey * 91 % 3500) / 1e1 - 175e0 AS x,
+                   0.05::DOUBLE + (c_custkey % 50) / 2e1 AS half FROM customer) b
+        ON lat BETWEEN y - half AND y + half AND lon BETWEEN x - half AND x + half
+        GROUP BY rid"""),
+    "loitering_sessions": (["sessions"], FINAL["vessel_loitering"][1].replace("FROM loiter", "FROM sessions")),
+    "report_timeline_hole": (["hole_label"], _hole("hole_label", 5)),
+}
+FINAL["loitering_sessions_sliced"] = FINAL["loitering_sessions"]
+
+
 # Expectations: every rule as one SELECT over the model's block.
 
 MODEL_BLOCK = {

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wakeline import refdata as ref
@@ -50,6 +50,25 @@ def rejected_positions(flat: DataFrame) -> DataFrame:
     return flat.filter(~F.coalesce(is_possible_position(), F.lit(False)))
 
 
+def position_faults() -> dict[str, Column]:
+    """Why a parsed message of the feed does not become a bronze position, by reason; at most one is true. Messages of
+    other kinds have none."""
+    report, meta = F.col("Message.PositionReport"), F.col("MetaData")
+    own = F.coalesce(F.col("MessageType") == "PositionReport", F.lit(False))
+    on_globe = F.coalesce(report["Latitude"].between(-90.0, 90.0) & report["Longitude"].between(-180.0, 180.0), F.lit(False))
+    named = own & meta["MMSI"].isNotNull()
+    return {
+        "invalid_json": F.col("MessageType").isNull(), "missing_mmsi": own & meta["MMSI"].isNull(),
+        "invalid_position": named & ~on_globe,
+        "invalid_time": named & on_globe & F.try_to_timestamp(meta["time_utc"]).isNull(),
+    }
+
+
+def metadata_faults() -> dict[str, Column]:
+    own = F.coalesce(F.col("MessageType") == "ShipStaticData", F.lit(False))
+    return {"invalid_json": F.col("MessageType").isNull(), "missing_mmsi": own & F.col("MetaData.MMSI").isNull()}
+
+
 def add_position_lineage(
     flat: DataFrame, batch_id: str, version: str = ref.PIPELINE_VERSION, source_file: str | None = None
 ) -> DataFrame:

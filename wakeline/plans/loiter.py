@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wakeline.functions.geo import tenth_degree
 from wakeline.functions.timeparts import elapsed, event_id
 from wakeline.operators.incremental import incremental_cutoff, since
+from wakeline.operators.sequence import TrackLayout, with_latest, with_previous
 
 LOOKBACK_HOURS = 4
 IDENTITY = ["mmsi", "vessel_name", "vessel_type_normalized", "flag_country", "ocean_region"]
@@ -27,15 +28,35 @@ def loiter_candidates(stg: DataFrame) -> DataFrame:
     )
 
 
-def vessel_loitering(stg: DataFrame, target: DataFrame | None = None) -> DataFrame:
+def with_visits(rows: DataFrame, minutes: int, layout: TrackLayout | None = None) -> DataFrame:
+    """Add ``visit``, the time at which the vessel's visit to its cell began.
+
+    Gaps and islands: a visit goes on as long as the vessel's candidate rows stay in the cell and follow each other
+    within ``minutes``. A row that begins one carries its own time, and the others take the latest of these.
+    """
+    cell = {"_lat": "lat_cell", "_lon": "lon_cell", "_before": "event_timestamp"}
+    ties = ("lat_cell", "lon_cell")
+    moved = ~(F.col("lat_cell").eqNullSafe(F.col("_lat")) & F.col("lon_cell").eqNullSafe(F.col("_lon")))
+    gap = elapsed("MINUTE", F.col("event_timestamp"), F.col("_before")) > minutes
+    begins = F.coalesce(F.col("_before").isNull() | moved | gap, F.lit(True))
+    flagged = with_previous(rows, cell, ties=ties, layout=layout).withColumn("_begins", F.when(begins, F.col("event_timestamp")))
+    return with_latest(flagged.drop(*cell), {"visit": "_begins"}, ties=ties, layout=layout).drop("_begins")
+
+
+def vessel_loitering(
+    stg: DataFrame, target: DataFrame | None = None, sessionize: int | None = None, layout: TrackLayout | None = None
+) -> DataFrame:
     """Stays of more than 180 minutes per vessel and cell.
 
-    All candidate rows of a vessel in a cell form one stay, however far apart.
+    All candidate rows of a vessel in a cell form one stay, however far apart. With ``sessionize`` every visit is a
+    stay of its own: it ends when the vessel is seen in another cell or not seen for so many minutes.
     """
     if target is not None:
         stg = since(stg, incremental_cutoff(target, "window_start", LOOKBACK_HOURS))
     rows = loiter_candidates(stg)
     group = [*IDENTITY, "lat_cell", "lon_cell"]
+    if sessionize is not None:
+        rows, group = with_visits(rows, sessionize, layout), [*group, "visit"]
     begin, end = F.min("event_timestamp"), F.max("event_timestamp")
     stays = rows.groupBy(*group).agg(
         F.concat(F.col("lat_cell").cast("string"), F.lit("_"), F.col("lon_cell").cast("string")).alias("loiter_zone"),
@@ -46,7 +67,7 @@ def vessel_loitering(stg: DataFrame, target: DataFrame | None = None) -> DataFra
         F.avg("speed_over_ground").alias("avg_speed_knots"),
         F.avg(F.abs("heading_change_degrees")).alias("avg_heading_change"),
         F.min("event_date").alias("event_date"),
-    ).filter(F.col("duration_minutes") > 180)
+    ).filter(F.col("duration_minutes") > 180).drop("visit")
     minutes = F.col("duration_minutes")
     level = (
         F.when((minutes > 720) & (F.col("avg_heading_change") > 20), "HIGH").when(minutes > 360, "MEDIUM").otherwise("LOW")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,45 +45,60 @@ def is_true(name: str, expression: str, severity: str = "error") -> Rule:
     return Rule("is_true", name, expression=expression, severity=severity)
 
 
-def _failures(rule: Rule) -> Column:
-    """Aggregate counting the failures of a rule that looks at single rows. A null test passes."""
-    if rule.kind == "not_null":
-        return F.count_if(F.col(rule.columns[0]).isNull())
-    if rule.kind == "accepted_values":
-        return F.count_if(~F.col(rule.columns[0]).isin(*rule.values))
-    if rule.kind == "is_true":
-        return F.count_if(~F.expr(rule.expression))
-    column = F.col(rule.columns[0])  # not_constant: at least two different values
-    return F.when(F.coalesce(F.min(column) < F.max(column), F.lit(False)), 0).otherwise(1).cast("bigint")
+KEY_RULES = ("unique", "unique_combination", "not_constant")
 
 
-def _repeated_keys(df: DataFrame, rule: Rule) -> DataFrame:
-    rows = df.filter(F.col(rule.columns[0]).isNotNull()) if rule.kind == "unique" else df
-    return rows.groupBy(*rule.columns).agg(F.count(F.lit(1)).alias("_n")).agg(F.count_if(F.col("_n") > 1).alias("failures"))
+def _fails(rule: Rule) -> Column:
+    """Whether a row breaks a rule that looks at single rows. A null test passes."""
+    if rule.kind == "not_null":
+        return F.col(rule.columns[0]).isNull()
+    if rule.kind == "accepted_values":
+        return ~F.col(rule.columns[0]).isin(*rule.values)
+    return ~F.expr(rule.expression)
 
 
 def expect(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """(name, kind, severity, failures, passed): all single-row rules in one scan, each key rule in one grouping."""
-    by_key = [r for r in rules if r.kind in ("unique", "unique_combination")]
-    by_row = [r for r in rules if r not in by_key]
-    parts = []
-    if by_row:
-        counts = df.agg(*[_failures(r).alias(f"r{i}") for i, r in enumerate(by_row)])
-        rows = [
-            F.struct(
-                F.lit(r.name).alias("name"), F.lit(r.kind).alias("kind"), F.lit(r.severity).alias("severity"),
-                F.col(f"r{i}").alias("failures"),
-            )
-            for i, r in enumerate(by_row)
-        ]
-        parts.append(counts.select(F.inline(F.array(*rows))))
-    parts += [
-        _repeated_keys(df, r).select(
-            F.lit(r.name).alias("name"), F.lit(r.kind).alias("kind"), F.lit(r.severity).alias("severity"), "failures"
+    """(name, kind, severity, failures, passed), from one pass over the rows.
+
+    Grouping sets put the rows into one group for the rules about single rows, and into groups by the columns of each
+    rule about keys; combined before the shuffle, and counted by set after it. A column is not constant if its set has
+    two groups or more.
+    """
+    by_key = [r for r in rules if r.kind in KEY_RULES]
+    by_row = [r for r in rules if r.kind not in KEY_RULES]
+    columns = list(dict.fromkeys(c for r in by_key for c in r.columns))
+    sets = list(dict.fromkeys([(), *[r.columns for r in by_key]]))
+
+    def number(of: tuple[str, ...]) -> int:
+        """What grouping_id() gives: a bit for each column that is not in the set, the last column's the lowest."""
+        return sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in of)
+
+    counts = [F.count(F.lit(1)).alias("_n"), *[F.count_if(_fails(r)).alias(f"_r{i}") for i, r in enumerate(by_row)]]
+    if columns:
+        groups = df.groupingSets([[F.col(c) for c in s] for s in sets], *columns).agg(F.grouping_id().alias("_set"), *counts)
+    else:
+        groups = df.agg(*counts).withColumn("_set", F.lit(0))
+
+    def failures(rule: Rule) -> Column:
+        if rule in by_row:
+            return F.coalesce(F.sum(F.when(F.col("_set") == number(()), F.col(f"_r{by_row.index(rule)}"))), F.lit(0))
+        here = F.col("_set") == number(rule.columns)
+        if rule.kind == "unique_combination":
+            return F.count_if(here & (F.col("_n") > 1))
+        own = here & F.col(rule.columns[0]).isNotNull()
+        if rule.kind == "unique":
+            return F.count_if(own & (F.col("_n") > 1))
+        return F.when(F.count_if(own) > 1, 0).otherwise(1).cast("bigint")
+
+    found = groups.agg(*[failures(r).alias(f"_f{i}") for i, r in enumerate(rules)])
+    rows = [
+        F.struct(
+            F.lit(r.name).alias("name"), F.lit(r.kind).alias("kind"), F.lit(r.severity).alias("severity"),
+            F.col(f"_f{i}").alias("failures"),
         )
-        for r in by_key
+        for i, r in enumerate(rules)
     ]
-    return reduce(DataFrame.unionByName, parts).withColumn("passed", F.col("failures") == 0)
+    return found.select(F.inline(F.array(*rows))).withColumn("passed", F.col("failures") == 0)
 
 
 def failed(results: DataFrame) -> DataFrame:

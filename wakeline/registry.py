@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from wakeline.functions import clean, lookup
 from wakeline.functions.timeparts import normalize_time, stamp
+from wakeline.operators.boxes import in_first_box
 from wakeline.operators.dedup import dedup_latest
 from wakeline.operators.incremental import incremental_cutoff
 from wakeline.operators.merge import merge_into, merge_upsert
@@ -21,13 +22,13 @@ from wakeline.operators.sequence import TrackLayout, track_layout
 from wakeline.plans import activity, alerts, bronze, dark, day_ends, erratic, loiter, ports, reports, risk, silver, speed, staging
 from wakeline.quality.expectations import expect
 from wakeline.quality.suites import SUITES
-from wakeline.schemas import RAW_POSITION, RAW_STATIC
+from wakeline.schemas import AUDIT, BRONZE_POSITIONS, RAW_POSITION, RAW_STATIC, ddl
 from wakeline.session import shared_dir, use_utc
 from wakeline.sources import events_adapter as adapter
 from wakeline.sources import layers, routing, snapshots
 from wakeline.sources.compaction import compact
-from wakeline.sources.sinks import materialize, write_idempotent
-from wakeline.sources.streams import parse_json
+from wakeline.sources.sinks import materialize, publish, write_idempotent
+from wakeline.sources.streams import parse_json, read_json_stream
 from wakeline.streaming import alerts as live
 from wakeline.streaming import ingest
 
@@ -186,10 +187,7 @@ QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
 def bronze_flatten(f: Frames) -> DataFrame:
     """Raw JSON text -> flat columns; unreadable texts and other message types drop out."""
     return comparable(
-        bronze.flatten_positions(parse_json(f.raw, RAW_POSITION)).drop(
-            "CommunicationState", "MessageID", "PositionAccuracy", "Raim", "RateOfTurn", "RepeatIndicator", "Spare",
-            "SpecialManoeuvreIndicator", "Timestamp",
-        ),
+        bronze.flatten_positions(parse_json(f.raw, RAW_POSITION)),
         doubles=("UserID", "TrueHeading", "NavigationalStatus"),
     )
 
@@ -305,18 +303,6 @@ def risk_signals(f: Frames) -> DataFrame:
     return comparable(both.na.fill(0, counts).na.fill(0.0, ["total_excess_knots"]), thousandths=("total_excess_knots",))
 
 
-def layer_audit(f: Frames) -> DataFrame:
-    """Audit rows of the bronze layer, one per source batch: messages read, rows accepted, last arrival."""
-    flat = bronze.flatten_positions(parse_json(f.raw, RAW_POSITION))
-    timed = flat.withColumn("at", normalize_time(F.col("time_utc")))
-    good = F.coalesce(bronze.is_possible_position(), F.lit(False))
-    return timed.groupBy(F.date_trunc("MINUTE", "at").alias("finished_at")).agg(
-        F.lit("bronze_positions").alias("layer"),
-        F.count(F.lit(1)).alias("rows_read"),
-        F.count_if(good).alias("rows_written"),
-    )
-
-
 def expectations(name: str) -> Callable[[Frames], DataFrame]:
     attribute = {
         "silver_positions": "silver", "silver_metadata": "metadata", "vessel_activity_summary": "activity",
@@ -408,7 +394,6 @@ QUERIES |= {
     "duplicate_batches": lambda f: comparable(
         layers.duplicate_batches(f.replayed_silver, processed="ingestion_timestamp")
     ),
-    "layer_gap": lambda f: layer_gap(f),
     "report_overview": lambda f: comparable(reports.report_overview(f.silver)),
     "report_gold_totals": lambda f: reports.report_gold_totals(f.activity),
     "report_table_counts": lambda f: reports.report_table_counts({
@@ -440,7 +425,7 @@ QUERIES |= {
 
 
 def sliced(f: Frames) -> TrackLayout:
-    return track_layout(f.bronze, "MMSI", "time_utc", rows_per_window=10)
+    return track_layout(f.bronze, "MMSI", "time_utc", rows_per_window=10, ranges=64)
 
 
 def movement_deltas_sliced(f: Frames) -> DataFrame:
@@ -505,9 +490,110 @@ QUERIES |= {
 }
 
 
+# Chained streams ----------------------------------------------------------------------------------------------------
+
+
+def bronze_stream(f: Frames) -> str:
+    """The raw feed as a folder of JSON lines, streamed into the bronze archive and the keyed topic, with its audit."""
+    out = f.scratch("bronze")
+    # The feed's times carry nanoseconds and a zone name; what reads the feed passes them on in the ISO form.
+    f.raw.select(F.regexp_replace("value", r"123 \+0000 UTC", "+00:00").alias("value")).write.text(f"{out}/raw")
+    ingest.start(
+        read_json_stream(f.spark, "text", RAW_POSITION, path=f"{out}/raw"),
+        ingest.bronze_batch(f"{out}/rows", lambda rows: publish(rows, "json", path=f"{out}/topic"), f"{out}/audit"),
+        f"{out}/checkpoint", name=None, trigger={"availableNow": True},
+    ).awaitTermination()
+    return out
+
+
+def keyed_json(f: Frames) -> DataFrame:
+    """Raw JSON -> bronze stream -> keyed JSON -> silver stream, read back: two streams in a row."""
+    out = bronze_stream(f)
+    ingest.start(
+        read_json_stream(f.spark, "json", BRONZE_POSITIONS, path=f"{out}/topic", truncate_ms=True),
+        ingest.silver_batch(f"{out}/silver"), f"{out}/checkpoint-silver", name=None, trigger={"availableNow": True},
+    ).awaitTermination()
+    rows = f.spark.read.parquet(f"{out}/silver")
+    return comparable(rows.select(
+        "mmsi", "vessel_name", "flag_country", "latitude", "longitude", "ocean_region", "port_name", "speed_over_ground",
+        "navigational_status", "event_timestamp", "_source_system",
+    ))
+
+
+def bronze_audit(f: Frames) -> DataFrame:
+    return f.spark.read.schema(ddl(AUDIT)).parquet(f"{bronze_stream(f)}/audit")
+
+
+def batch_audit(f: Frames) -> DataFrame:
+    """What the batches of the bronze stream read, wrote and rejected, by reason, summed over its batches."""
+    counts = [name for name, _ in AUDIT if name.startswith(("rows_", "invalid_", "missing_"))]
+    return bronze_audit(f).groupBy("layer").agg(*[F.sum(c).alias(c) for c in counts])
+
+
 def layer_gap(f: Frames) -> DataFrame:
-    gap = reports.layer_gap(layer_audit(f), minutes=15, as_of="2024-01-02 12:00:00")
-    return gap.withColumn("gap", F.round("gap", 6))
+    """The share of read positions that the batches of the last quarter of an hour did not write."""
+    return reports.layer_gap(bronze_audit(f), minutes=15).withColumn("gap", F.round("gap", 6))
+
+
+def silence_stream(f: Frames) -> DataFrame:
+    """The alert stream with silence told in event time: the same in one batch or many, also when drained."""
+    positions = adapter.bronze_from_events(f.event_stream()).select(
+        "MMSI", "Latitude", "Longitude", "Sog", stamp(F.col("time_utc")).alias("time_utc")
+    )
+    out = f.scratch("silence")
+    live.start_alert_stream(
+        live.vessel_alerts(positions, delay="10 minutes"), "parquet", f"{out}/checkpoint", trigger={"availableNow": True},
+        name=None, keyed_json=False, event_time=True, path=f"{out}/rows",
+    ).awaitTermination()
+    return f.spark.read.parquet(f"{out}/rows").drop("detected_at")
+
+
+def stream_once_each(f: Frames) -> DataFrame:
+    """All positions twice, in different micro-batches: one copy of each comes through."""
+    out = f.scratch("once")
+    rows = f.bronze.select("MMSI", "time_utc", "Latitude", "Longitude")
+    for _ in range(2):
+        rows.write.mode("append").parquet(f"{out}/in")
+    stream = f.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/in")
+    # The copies come when the watermark has passed the month: only a longer delay leaves them to the state.
+    ingest.once_each(stream, delay="60 days").writeStream.trigger(availableNow=True).option(
+        "checkpointLocation", f"{out}/checkpoint").start(path=f"{out}/rows", format="parquet").awaitTermination()
+    found = f.spark.read.schema(rows.schema).parquet(f"{out}/rows")
+    return comparable(found.groupBy("MMSI", "time_utc").agg(F.count(F.lit(1)).alias("copies")))
+
+
+# Boxes, visits and holes --------------------------------------------------------------------------------------------
+
+
+def box_index_lookup(f: Frames) -> DataFrame:
+    """Every position in the first of as many boxes as there are customers."""
+    points = f.bronze.select(F.col("_row_id").alias("event_id"), F.col("Latitude").alias("latitude"), F.col("Longitude").alias("longitude"))
+    boxes = adapter.boxes_from_customers(f.table("customer"))
+    return in_first_box(points, boxes, ["zone_id", "zone"]).select("event_id", "zone_id", "zone")
+
+
+def loitering_sessions(f: Frames, layout: TrackLayout) -> DataFrame:
+    """Every visit to a cell is a stay of its own, and half an hour is long enough."""
+    rows = loiter.vessel_loitering(f.stg, sessionize=12 * 60, layout=layout)
+    return comparable(rows, thousandths=("avg_speed_knots", "avg_heading_change"))
+
+
+def timeline_hole(f: Frames) -> DataFrame:
+    """The day's five-minute labels without those from 09:00 to 10:59."""
+    return reports.report_timeline_gaps(f.silver.filter(~F.hour("event_timestamp").isin(9, 10)))
+
+
+QUERIES |= {
+    "keyed_json": keyed_json,
+    "batch_audit": batch_audit,
+    "layer_gap": layer_gap,
+    "silence_stream": silence_stream,
+    "stream_once_each": stream_once_each,
+    "box_index_lookup": box_index_lookup,
+    "loitering_sessions": lambda f: loitering_sessions(f, f.layout),
+    "loitering_sessions_sliced": lambda f: loitering_sessions(f, sliced(f)),
+    "report_timeline_hole": timeline_hole,
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -111,6 +111,7 @@ ALERT_STATE: Fields = [
 AUDIT: Fields = [
     ("layer", "string"), ("epoch_id", "bigint"), ("batch_id", "string"), ("rows_read", "bigint"),
     ("rows_written", "bigint"), ("rows_rejected", "bigint"), ("rows_other", "bigint"), ("rows_copies", "bigint"),
+    ("invalid_json", "bigint"), ("missing_mmsi", "bigint"), ("invalid_position", "bigint"), ("invalid_time", "bigint"),
     ("duration_ms", "bigint"), ("finished_at", "timestamp"),
 ]
 

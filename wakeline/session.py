@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(app: str = "wakeline", master: str | None = None, **conf: str) -> SparkSession:
@@ -48,3 +49,11 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return _local_scratch(spark.sparkContext.applicationId)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a new folder in the shared directory and read back: what is read twice is computed once, and a
+    lost executor costs no earlier step."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

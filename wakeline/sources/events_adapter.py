@@ -88,6 +88,16 @@ def metadata_from_orders(orders: DataFrame) -> DataFrame:
     )
 
 
+def boxes_from_customers(customers: DataFrame) -> DataFrame:
+    """A box for each customer, of 0.1 to 5 degrees, many of them overlapping; the lower key ranks first."""
+    key = F.col("c_custkey")
+    lat, lon, half = (key * 37 % 1600) / 10.0 - 80.0, (key * 91 % 3500) / 10.0 - 175.0, 0.05 + (key % 50) / 20.0
+    return customers.select(
+        (lat - half).alias("south"), (lat + half).alias("north"), (lon - half).alias("west"), (lon + half).alias("east"),
+        key.alias("rank"), key.alias("zone_id"), F.concat(F.lit("zone "), key).alias("zone"),
+    )
+
+
 def raw_messages(events: DataFrame) -> DataFrame:
     """JSON text of a mixed raw feed, one message per event (``event_id`` kept beside it).
 
@@ -100,6 +110,10 @@ def raw_messages(events: DataFrame) -> DataFrame:
         {
             "Latitude": F.when(e % 17 == 3, F.lit(91.0)).when(e % 17 != 5, F.col("Latitude")),
             "UserID": user,
+            "CommunicationState": (e * 31 % 262_143).cast("int"), "MessageID": (1 + e % 3).cast("int"),
+            "PositionAccuracy": e % 2 == 0, "Raim": e % 5 == 0, "RateOfTurn": (e % 255 - 127).cast("int"),
+            "RepeatIndicator": (e % 4).cast("int"), "Spare": F.lit(0), "Timestamp": (e % 60).cast("int"),
+            "SpecialManoeuvreIndicator": (e % 3).cast("int"),
         }.get(name, F.col(name)).alias(name)
         for name in schemas.names(schemas.POSITION_REPORT)
     ])

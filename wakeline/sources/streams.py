@@ -34,8 +34,9 @@ def read_json_stream(
     """Stream of parsed messages.
 
     ``source="kafka"`` takes ``subscribe`` and ``kafka.bootstrap.servers`` options (the connector must be on the
-    class path); ``source="text"`` reads a folder of JSON lines. Both are limited for each micro-batch, files by their
-    size; ``capped=False`` removes the limit.
+    class path); ``source="text"`` reads a folder of JSON lines, ``source="json"`` one of keyed messages as
+    ``to_keyed_json`` makes them. All are limited for each micro-batch, files by their size; ``capped=False`` removes
+    the limit.
     ``truncate_ms`` cuts timestamps to the milliseconds that JSON between stages carries.
     """
     reader = spark.readStream.format(source)
@@ -47,6 +48,8 @@ def read_json_stream(
     elif capped and "maxFilesPerTrigger" not in settings:
         settings = {**FILE_DEFAULTS, **settings}
     reader = reader.options(**settings)
+    if source == "json":
+        reader = reader.schema("key string, value string")
     messages = parse_json(reader.load(path) if path else reader.load(), fields)
     if not truncate_ms:
         return messages

@@ -10,8 +10,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from wakeline import refdata as ref
 from wakeline import schemas
@@ -22,6 +21,12 @@ from wakeline.sources.streams import to_keyed_json
 
 TRIGGER = "30 seconds"
 NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+#: What a query with state of this kind is started with. Its rows are sorted within partitions, so that a vessel's rows
+#: come in time order; the check that refuses any sort on a stream takes that for a sort of the whole stream.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.unsupportedOperationCheck": "false",
+}
 
 
 # The state function runs in Python workers that may not have this package: it travels by value, and needs only plain
@@ -37,32 +42,44 @@ def _nautical_miles(lat1, lon1, lat2, lon2):
     return 2 * RADIUS_NM * np.arcsin(np.sqrt(np.minimum(chord, 1.0)))
 
 
-def score_track(track: pd.DataFrame) -> pd.DataFrame:
-    """Alerts of one vessel's rows in order, every row against the one before it."""
+def score_track(track: pd.DataFrame, silence_min: float | None = None) -> pd.DataFrame:
+    """Alerts of one vessel's rows in order, every row against the one before it.
+
+    With ``silence_min`` a longer way in time is a silence, told with the position before it, and nothing else.
+    """
     prev, here = track.iloc[:-1].reset_index(drop=True), track.iloc[1:].reset_index(drop=True)
-    hours = (here["micros"] - prev["micros"]).to_numpy() / 3.6e9
+    passed = (here["micros"] - prev["micros"]).to_numpy()
+    hours = passed / 3.6e9
     with np.errstate(divide="ignore", invalid="ignore"):
         knots = _nautical_miles(prev["lat"], prev["lon"], here["lat"], here["lon"]).to_numpy() / hours
     change = (here["sog"] - prev["sog"]).abs().fillna(0.0).to_numpy()
     over = knots > SPEED_LIMIT
+    silent = np.zeros(len(here), bool) if silence_min is None else passed > silence_min * 6e7
     kind = np.select(
-        [over & (change > SPOOFING), over, change > SUDDEN],
-        ["GPS_SPOOFING", "IMPOSSIBLE_SPEED", "SUDDEN_ACCELERATION"], default="",
+        [silent, over & (change > SPOOFING), over, change > SUDDEN],
+        ["AIS_GAP", "GPS_SPOOFING", "IMPOSSIBLE_SPEED", "SUDDEN_ACCELERATION"], default="",
     )
     hit = (hours > 0) & (kind != "")
+    at = np.flatnonzero(hit)
+    sog, seen = here["sog"].to_numpy(), prev["micros"].to_numpy()
     text = [
-        f"calculated_speed={k:.1f}kn reported_sog={None if np.isnan(s) else float(s)}kn speed_change={c:.1f}kn"
-        for k, s, c in zip(knots[hit], here["sog"].to_numpy()[hit], change[hit])
+        silence_text(silence_min, _as_text(seen[i])) if silent[i] else
+        f"calculated_speed={knots[i]:.1f}kn reported_sog={None if np.isnan(sog[i]) else float(sog[i])}kn speed_change={change[i]:.1f}kn"
+        for i in at
     ]
     return pd.DataFrame({
         "alert_type": kind[hit],
-        "severity": np.where(kind[hit] == "SUDDEN_ACCELERATION", "medium", "high"),
+        "severity": np.where(np.isin(kind[hit], ["SUDDEN_ACCELERATION", "AIS_GAP"]), "medium", "high"),
         "description": text,
-        "latitude": here["lat"].to_numpy()[hit],
-        "longitude": here["lon"].to_numpy()[hit],
+        "latitude": np.where(silent, prev["lat"], here["lat"])[hit],
+        "longitude": np.where(silent, prev["lon"], here["lon"])[hit],
     })
 
 
+def silence_text(minutes: float, seen: str) -> str:
+    return f"No messages for >{minutes} min — last seen at {seen}"
+
+
 def _now() -> str:
     return pd.Timestamp.now("UTC").isoformat()
 
@@ -75,40 +92,45 @@ def _as_text(micros: int) -> str:
     return pd.Timestamp(int(micros), unit="us", tz="UTC").isoformat()
 
 
-def vessel_rule(timeout_min: int, arrival_order: bool) -> Callable:
-    """The state function: one call per vessel and micro-batch, and one when its timer runs out."""
+def vessel_rule(timeout_min: float, arrival_order: bool, event_time: bool = False) -> Callable:
+    """The state function: one call per vessel and micro-batch, and one when its timer runs out.
+
+    Frames come in time order (or as they arrived, with ``arrival_order``) and are looked at one by one: what is held
+    of a vessel is one frame and its last position.
+    """
     columns = schemas.names(schemas.ALERTS)
     timeout_ms = timeout_min * 60 * 1000
 
     def finish(mmsi: str, alerts: pd.DataFrame) -> pd.DataFrame:
         return alerts.assign(mmsi=mmsi, detected_at=_now())[columns]
 
-    def gap(mmsi: str, state: GroupState) -> Iterator[pd.DataFrame]:
+    def gap(mmsi: str, state) -> Iterator[pd.DataFrame]:
         if state.exists:
             lat, lon, _, seen = state.get
             yield finish(mmsi, pd.DataFrame({
-                "alert_type": ["AIS_GAP"], "severity": ["medium"],
-                "description": [f"No messages for >{timeout_min} min — last seen at {seen}"],
+                "alert_type": ["AIS_GAP"], "severity": ["medium"], "description": [silence_text(timeout_min, seen)],
                 "latitude": [lat], "longitude": [lon],
             }))
             state.remove()
 
-    def on_vessel(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    def on_vessel(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         (mmsi,) = key
         if state.hasTimedOut:
             yield from gap(mmsi, state)
             return
-        if not arrival_order:
-            # one vessel's rows of one micro-batch: bounded by the source's rate limit
-            rows = [f for f in frames if len(f)]
-            frames = iter([pd.concat(rows).sort_values("micros", kind="stable")] if rows else [])
-        touched = False
+        touched, reached = False, None
         for frame in frames:
+            if not arrival_order and len(frame):
+                if not frame["micros"].is_monotonic_increasing or (reached is not None and frame["micros"].iloc[0] < reached):
+                    raise RuntimeError("the rows of a vessel did not come in time order")
+                reached = frame["micros"].iloc[-1]
             if state.exists:
                 lat, lon, sog, seen = state.get
                 last = {"lat": lat, "lon": lon, "sog": np.nan if sog is None else sog, "micros": _as_micros(seen)}
                 if not arrival_order:
                     frame = frame[frame["micros"] > last["micros"]]
+                if not len(frame):
+                    continue
                 frame = pd.concat([pd.DataFrame([last]), frame[["lat", "lon", "sog", "micros"]]], ignore_index=True)
             if not len(frame):
                 continue
@@ -119,7 +141,7 @@ def vessel_rule(timeout_min: int, arrival_order: bool) -> Callable:
                 _as_text(end["micros"]),
             ))
             touched = True
-            alerts = score_track(frame)
+            alerts = score_track(frame, timeout_min if event_time else None)
             if len(alerts):
                 yield finish(mmsi, alerts)
         if touched:
@@ -128,49 +150,116 @@ def vessel_rule(timeout_min: int, arrival_order: bool) -> Callable:
     return on_vessel
 
 
+class VesselState:
+    """One vessel's value state and its timer, for one call of the rule.
+
+    The timer counts from now, or in event time from the last position.
+    """
+
+    def __init__(self, handle, value, now_ms: int | None, timed_out: bool = False):
+        self.handle, self.value, self.now_ms, self.hasTimedOut = handle, value, now_ms, timed_out
+
+    @property
+    def exists(self) -> bool:
+        return self.value.exists()
+
+    @property
+    def get(self) -> tuple:
+        return self.value.get()
+
+    def update(self, last: tuple) -> None:
+        self.value.update(last)
+
+    def remove(self) -> None:
+        self.value.clear()
+
+    def setTimeoutDuration(self, ms: float) -> None:  # noqa: N802 - the name that group states have
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        since = _as_micros(self.get[3]) // 1000 if self.now_ms is None else self.now_ms
+        self.handle.registerTimer(int(since + ms))
+
+
+class VesselProcessor(StatefulProcessor):
+    """The rule as a processor of a keyed stream: the last position in a value state, silence by a timer."""
+
+    def __init__(self, rule: Callable, event_time: bool):
+        self.rule, self.event_time, self.fields = rule, event_time, schemas.ddl(schemas.ALERT_STATE)
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", self.fields)
+
+    def _state(self, timers, timed_out: bool) -> VesselState:
+        now = None if self.event_time else timers.getCurrentProcessingTimeInMs()
+        return VesselState(self.handle, self.last, now, timed_out)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        return self.rule(key, rows, self._state(timerValues, False))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        return self.rule(key, iter(()), self._state(timerValues, True))
+
+    def close(self) -> None:
+        pass
+
+
 def vessel_alerts(
-    stream: DataFrame, timeout_min: int = ref.SILENCE_MINUTES, arrival_order: bool = False
+    stream: DataFrame, timeout_min: float = ref.SILENCE_MINUTES, arrival_order: bool = False, delay: str | None = None
 ) -> DataFrame:
     """Alerts from a stream of (MMSI, Latitude, Longitude, Sog, time_utc text).
 
-    Cleaning runs as Column expressions before the shuffle. Rows of one micro-batch are compared in time order and
-    older rows than the known position are passed over; ``arrival_order=True`` takes rows as they come instead.
+    Cleaning runs as Column expressions before the shuffle. Rows of one micro-batch are sorted by vessel and time on
+    their way to the state, and older rows than the known position are passed over; ``arrival_order=True`` takes rows
+    as they come instead.
+
+    Silence is told by the clock when nothing came for ``timeout_min``. With ``delay``, how late rows may be, it is told
+    in event time: when the watermark has passed a vessel's last position by that, or its next row lies further on. The
+    vessel's track then starts anew. So the alerts do not depend on when and in how many batches the rows are read, and
+    a drained run tells those that fell silent. Start the result with ``start_alert_stream``.
     """
+    at = normalize_time(F.col("time_utc"))
     usable = stream.select(
-        F.col("MMSI").alias("mmsi"), F.col("Latitude"), F.col("Longitude"), clean_sog(F.col("Sog")).alias("sog"),
-        F.unix_micros(normalize_time(F.col("time_utc"))).alias("micros"),
-    ).filter(has_coordinates() & F.col("micros").isNotNull()).select(
-        "mmsi", F.col("Latitude").alias("lat"), F.col("Longitude").alias("lon"), "sog", "micros"
+        F.col("MMSI").alias("mmsi"), F.col("Latitude"), F.col("Longitude"), clean_sog(F.col("Sog")).alias("sog"), at.alias("at"),
+    ).filter(has_coordinates() & F.col("at").isNotNull())
+    if delay is not None:
+        usable = usable.withWatermark("at", delay)
+    rows = usable.select(
+        "mmsi", F.col("Latitude").alias("lat"), F.col("Longitude").alias("lon"), "sog", F.unix_micros("at").alias("micros"),
+        *([] if delay is None else ["at"]),
     )
-    return usable.groupBy("mmsi").applyInPandasWithState(
-        vessel_rule(timeout_min, arrival_order),
-        schemas.ddl(schemas.ALERTS),
-        schemas.ddl(schemas.ALERT_STATE),
-        "append",
-        GroupStateTimeout.ProcessingTimeTimeout,
+    if not arrival_order:
+        rows = rows.repartition("mmsi").sortWithinPartitions("mmsi", "micros")
+    event_time = delay is not None
+    return rows.groupBy("mmsi").transformWithStateInPandas(
+        VesselProcessor(vessel_rule(timeout_min, arrival_order, event_time), event_time),
+        schemas.ddl(schemas.ALERTS), "append", "EventTime" if event_time else "ProcessingTime",
     )
 
 
 def start_alert_stream(
     alerts: DataFrame, sink: str, checkpoint: str, *, trigger: dict | None = None, name: str | None = "hot_alerts",
-    keyed_json: bool = True, **options: str,
+    keyed_json: bool = True, event_time: bool = False, **options: str,
 ) -> StreamingQuery:
     """Write alerts as keyed JSON (or as columns) to ``sink``, appending.
 
-    A drained run (``availableNow``) goes without no-data batches: with silence timers set they would follow each
-    other for as long as any vessel has a timer, and the run would never end.
+    A drained run (``availableNow``) goes without no-data batches unless silence is told in ``event_time``: with timers
+    of the clock they would follow each other for as long as any vessel has one, and the run would never end.
     """
     rows = to_keyed_json(alerts, "mmsi") if keyed_json else alerts
     writer = rows.writeStream.format(sink).outputMode("append").option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
     writer = writer.options(**options).trigger(**(trigger or {"processingTime": TRIGGER}))
-    if not (trigger or {}).get("availableNow"):
-        return writer.start()
+    settings = dict(STATE_SETTINGS)
+    if (trigger or {}).get("availableNow") and not event_time:
+        settings[NO_DATA_BATCHES] = "false"
     conf = alerts.sparkSession.conf
-    before = conf.get(NO_DATA_BATCHES)
-    conf.set(NO_DATA_BATCHES, "false")
+    before = {key: conf.get(key) for key in settings}
+    for key, value in settings.items():
+        conf.set(key, value)
     try:
         return writer.start()  # the query keeps the settings it was started with
     finally:
-        conf.set(NO_DATA_BATCHES, before)
+        for key, value in before.items():
+            conf.set(key, value)

@@ -5,18 +5,21 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wakeline import schemas
-from wakeline.plans.bronze import bronze_metadata, bronze_positions
+from wakeline.plans.bronze import bronze_metadata, bronze_positions, metadata_faults, position_faults
 from wakeline.plans.silver import silver_metadata, silver_positions
 from wakeline.sources import sinks
 
 TRIGGER = "30 seconds"
+#: How late a copy of a message may come and still be known as one.
+COPY_DELAY = "1 hour"
 BatchFn = Callable[[DataFrame, int], None]
 Publish = Callable[[DataFrame], None]
+REASONS = ("invalid_json", "missing_mmsi", "invalid_position", "invalid_time")
 
 
 def batch_name(epoch_id: int) -> str:
@@ -24,23 +27,34 @@ def batch_name(epoch_id: int) -> str:
     return f"epoch-{epoch_id:010d}"
 
 
-def audit(path: str, layer: str, epoch_id: int, batch: DataFrame, rows: DataFrame, other: Column | None,
-          copies: bool, started: float) -> None:
+def once_each(
+    stream: DataFrame, key: str = "MMSI", time: str = "time_utc", delay: str = COPY_DELAY
+) -> DataFrame:
+    """One row of each (vessel, event time), also when its copies come in different micro-batches.
+
+    The watermark follows the newest event time by ``delay``: rows older than that are dropped as late, and the state
+    forgets a key when no copy of it can be told from a late row any more.
+    """
+    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark([key, time])
+
+
+def audit(
+    spark: SparkSession, path: str, layer: str, epoch_id: int, seen: dict[str, int], written: int, copies: bool,
+    started: float,
+) -> None:
     """One row about a finished micro-batch; a repeated batch replaces its row.
 
-    What was read is written, of another kind of message (``other``), a copy (if all that the step drops are copies),
-    or rejected: not readable or not valid. Both frames are cached, so each count is one pass over memory.
+    What was read is written, of another kind of message, a copy (if all that the step drops are copies), or rejected,
+    by reason. ``seen`` and ``written`` were observed while the batch was written.
     """
-    of_others = F.lit(0).cast("bigint") if other is None else F.count_if(other)
-    read, others = batch.agg(F.count(F.lit(1)), of_others).first()
-    written = rows.count()
-    dropped = read - written - others
+    others = seen.get("rows_other", 0)
+    dropped = seen["rows_read"] - written - others
     row = (
-        layer, epoch_id, batch_name(epoch_id), read, written, 0 if copies else dropped, others, dropped if copies else 0,
-        int((time.monotonic() - started) * 1000),
+        layer, epoch_id, batch_name(epoch_id), seen["rows_read"], written, 0 if copies else dropped, others,
+        dropped if copies else 0, *[seen.get(reason, 0) for reason in REASONS], int((time.monotonic() - started) * 1000),
     )
     (
-        batch.sparkSession.createDataFrame([row], schemas.ddl(schemas.AUDIT[:-1]))
+        spark.createDataFrame([row], schemas.ddl(schemas.AUDIT[:-1]))
         .withColumn("finished_at", F.current_timestamp())
         .coalesce(1).write.mode("overwrite").parquet(f"{path}/layer_epoch={layer}-{epoch_id}")
     )
@@ -49,29 +63,40 @@ def audit(path: str, layer: str, epoch_id: int, batch: DataFrame, rows: DataFram
 def _fan_out(
     transform: Callable[[DataFrame, str], DataFrame], layer: str, archive: str, partition_by: list[str],
     publish: Publish | None, audit_path: str | None, by_clock: str | None = None, kind: str | None = None,
+    faults: dict[str, Column] | None = None, read_twice: bool = False,
 ) -> BatchFn:
     """With ``by_clock``, a column that holds the time of the first try, the rows' day comes from it too. ``kind`` is
-    the message type that the step takes from a mixed feed."""
+    the message type that the step takes from a mixed feed, ``faults`` tells why such messages are rejected.
+
+    What is read and what is written is counted by observations in the pass that writes the archive.
+    """
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        started = time.monotonic()
-        # one micro-batch: read and parsed once, and both sinks get the very same rows and clock stamps
-        batch = batch.persist()
-        rows = transform(batch, batch_name(epoch_id))
+        started, spark = time.monotonic(), batch.sparkSession
+        if read_twice:
+            batch = batch.persist()
+            if batch.isEmpty():  # a batch that only moves the watermark
+                batch.unpersist()
+                return
+        read, done = Observation(), Observation()
+        counts = [F.count(F.lit(1)).alias("rows_read")]
+        if kind is not None:
+            counts.append(F.count_if(F.col("MessageType") != kind).alias("rows_other"))
+        counts += [F.count_if(test).alias(reason) for reason, test in (faults or {}).items()]
+        rows = transform(batch.observe(read, *counts), batch_name(epoch_id))
         if by_clock is not None:
-            clock = F.lit(sinks.first_clock(batch.sparkSession, archive, epoch_id).isoformat(sep=" ")).cast("timestamp")
+            clock = F.lit(sinks.first_clock(spark, archive, epoch_id).isoformat(sep=" ")).cast("timestamp")
             rows = rows.withColumns({by_clock: clock, "partition_date": F.to_date(clock)})
-        rows = rows.persist()
+        rows = rows.observe(done, F.count(F.lit(1)).alias("rows_written"))
+        if publish is not None:
+            rows = rows.persist()  # both sinks get the very same rows and clock stamps
         try:
-            if batch.isEmpty():
-                return
             sinks.write_idempotent(rows, archive, epoch_id, partition_by)
             if publish is not None:
                 publish(rows)
             if audit_path is not None:
-                other = None if kind is None else F.col("MessageType") != kind
                 copies = kind is None and by_clock is None
-                audit(audit_path, layer, epoch_id, batch, rows, other, copies, started)
+                audit(spark, audit_path, layer, epoch_id, read.get, done.get["rows_written"], copies, started)
         finally:
             rows.unpersist()
             batch.unpersist()
@@ -84,7 +109,7 @@ def bronze_batch(archive: str, publish: Publish | None = None, audit_path: str |
     lineage.setdefault("source_file", archive)
     return _fan_out(
         lambda batch, name: bronze_positions(batch, name, **lineage), "bronze_positions", archive,
-        ["partition_date", "partition_hour"], publish, audit_path, kind="PositionReport",
+        ["partition_date", "partition_hour"], publish, audit_path, kind="PositionReport", faults=position_faults(),
     )
 
 
@@ -93,6 +118,7 @@ def bronze_metadata_batch(archive: str, publish: Publish | None = None, audit_pa
     return _fan_out(
         lambda batch, name: bronze_metadata(batch, name, **lineage), "bronze_metadata", archive,
         ["partition_date"], publish, audit_path, by_clock="ingestion_timestamp", kind="ShipStaticData",
+        faults=metadata_faults(),
     )
 
 
@@ -105,7 +131,7 @@ def silver_batch(table: str, audit_path: str | None = None) -> BatchFn:
             "_silver_batch_id": F.lit(name), "partition_date": F.to_date("event_timestamp"),
         })
 
-    return _fan_out(transform, "silver_positions", table, ["partition_date"], None, audit_path)
+    return _fan_out(transform, "silver_positions", table, ["partition_date"], None, audit_path, read_twice=True)
 
 
 def silver_metadata_batch(table: str, audit_path: str | None = None) -> BatchFn:
