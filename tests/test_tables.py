@@ -271,6 +271,76 @@ def test_late_rows_and_static_data_reach_the_ends_of_days(spark, frames, tmp_pat
     assert snapshots.newest(Storage(spark, f"{path}/gold/vessel_day_ends")).number == number
 
 
+EVENTS = ["vessel_dark_events", "vessel_speed_anomalies", "vessel_loitering"]
+
+
+def test_late_rows_reach_all_events(spark, frames, tmp_path):
+    """Rows days late fill gaps, move their ends and make new ones; rows that go take theirs with them."""
+    path = str(tmp_path)
+    positions = frames.silver.withColumns({"_silver_batch_id": F.lit("s"), "partition_date": F.to_date("event_timestamp")})
+    metadata = frames.metadata.drop("_row_id").withColumns({
+        "_silver_batch_id": F.lit("s"), "partition_date": F.to_date("processing_timestamp"),
+    }).dropDuplicates(["mmsi", "processing_timestamp"])
+
+    def add(rows, table):
+        rows.coalesce(1).write.mode("append").partitionBy("partition_date").parquet(f"{path}/silver/{table}")
+
+    def events():
+        out = []
+        for name in EVENTS:
+            rows = stored(spark, path, name)
+            kinds = dict(rows.dtypes)
+            rows = rows.select(*[F.round(c, 6).alias(c) if kinds[c] == "double" else F.col(c) for c in sorted(rows.columns)])
+            out.append(sorted(map(repr, rows.collect())))
+        return out
+
+    day = F.col("partition_date").cast("string")
+    vessel = F.pmod(F.xxhash64("mmsi"), F.lit(5))
+    # The whole first day of some vessels, the second day's afternoon of others; some are seen on the third day only.
+    late = (vessel == 0) & (day == "2024-01-01") | (vessel == 1) & (day == "2024-01-02") & (F.hour("event_timestamp") >= 12)
+    late = late | (vessel == 2) & (day <= "2024-01-02") | (day == "2024-01-04")
+    add(positions.where(~late), "positions")
+    add(metadata, "metadata")
+    refresh_gold(spark, path, as_of="2024-01-04", test=False)
+    first = events()
+    add(positions.where(late), "positions")
+    Storage(spark, f"{path}/silver/positions").delete("partition_date=2024-01-03")
+    before = spark.catalog.listTables()
+    refresh_gold(spark, path, as_of="2024-01-04", test=False)
+    assert spark.catalog.listTables() == before
+    after = events()
+    refresh_gold(spark, path, as_of="2024-01-04", full_refresh=True, test=False)
+    assert after == events() and all(a != b for a, b in zip(first, after))
+
+
+def test_models_over_staging_by_vessel_do_not_shuffle_by_vessel(spark, frames):
+    from wakeline.plans import activity, dark, loiter, risk, speed
+
+    staged = frames.staged
+    assert staged.hot is None
+    for model in (dark.vessel_dark_events, speed.vessel_speed_anomalies, lambda stg, layout: loiter.vessel_loitering(stg),
+                  activity.vessel_activity_summary, lambda stg, layout: risk.vessel_roster(stg)):
+        plan = staged.each(lambda stg, layout: model(stg, layout=layout))._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(mmsi" not in plan and plan.count("FileScan") == 1
+    score = frames.risk._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(mmsi" not in score
+
+
+def test_staging_of_hot_vessels(spark, frames):
+    """Hot vessels are kept apart from the buckets, and the models find the same in both."""
+    from wakeline.operators.sequence import track_layout
+    from wakeline.plans import dark
+    from wakeline.plans.staged import write_staging
+
+    stg = frames.stg
+    layout = track_layout(stg, "mmsi", "event_timestamp", rows_per_window=stg.groupBy("mmsi").count().agg(F.max("count")).first()[0] - 1)
+    staged = write_staging(stg, layout)
+    assert 0 < staged.hot.select("mmsi").distinct().count() < stg.select("mmsi").distinct().count()
+    found = staged.each(lambda rows, how: dark.vessel_dark_events(rows, layout=how))
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, frames.dark.select(found.columns).collect()))
+    staged.remove()
+
+
 def test_refresh_waits_for_fresh_silver(spark, root):
     later = datetime.now(timezone.utc).replace(tzinfo=None) + timedelta(hours=9)
     assert refresh_gold(spark, root[0], now=later) == {"status": "skipped"}

@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wakeline.sources import snapshots
 from wakeline.sources.storage import Storage
@@ -25,28 +26,35 @@ def merge_upsert(target: DataFrame, updates: DataFrame, key: str, sync_schema: b
 
 def merge_into(
     spark: SparkSession, path: str, updates: DataFrame, key: str, partition_by: str, sync_schema: bool = False,
-    sort_by: Sequence[str] = (), storage: Storage | None = None,
+    sort_by: Sequence[str] = (), storage: Storage | None = None, whole_days: Sequence[str] = (), gone: DataFrame | None = None,
 ) -> None:
     """Upsert into a table partitioned by day, rewriting only the days the updates touch.
 
     A key must determine its day (event ids hash the event time), so no other day can hold a matching row. The updates
     are computed once, into a folder beside the table's data. The merged days become visible by one commit (see
     ``snapshots``): a job that dies at any point leaves the table as it was or as it should be, and can run again.
+
+    Of ``whole_days`` (texts) the updates have all rows there are: stored rows that they do not bring again go. So do
+    those whose key and day are in ``gone``.
     """
     storage = storage or Storage(spark, path)
     staged = f"{snapshots.DATA}/updates-{uuid.uuid4().hex}"
     snapshots.clean(storage)
     updates.write.partitionBy(partition_by).parquet(storage.at(staged))
     days = [d for d in storage.folders(staged) if "=" in d]
-    if not days:
-        updates, days = updates.limit(0), []
-    else:
-        updates = spark.read.schema(updates.schema).parquet(storage.at(staged)).select(*updates.columns)
+    updates = spark.read.schema(updates.schema).parquet(storage.at(staged)).select(*updates.columns) if days else updates.limit(0)
+    replaced = {f"{partition_by}={day}" for day in whole_days}
+    leaving = [] if gone is None else [f"{partition_by}={r[0]}" for r in gone.select(F.col(partition_by).cast("string")).distinct().collect()]
+    touched = {*days, *replaced, *leaving}
     commit = snapshots.newest(storage)
-    taken = [f.name for f in snapshots.outside(storage, commit) if f.name.split("/")[0] in days]
+    taken = [f.name for f in snapshots.outside(storage, commit) if f.name.split("/")[0] in touched]
+    kept_days = sorted(touched - replaced)
     merged = updates
-    if taken or any(d in commit.days for d in days):
-        merged = merge_upsert(snapshots.read(spark, path, days=days), updates, key, sync_schema)
+    if any(f.split("/")[0] in kept_days for f in taken) or any(d in commit.days for d in kept_days):
+        stored = snapshots.read(spark, path, days=kept_days)
+        if gone is not None:
+            stored = stored.join(gone.select(key), key, "left_anti")
+        merged = merge_upsert(stored, updates, key, sync_schema)
 
     def write(folder: str) -> None:
         (
@@ -54,4 +62,4 @@ def merge_into(
             .write.partitionBy(partition_by).parquet(folder)
         )
 
-    snapshots.change(storage, write, merged.schema, lambda _: True, taken, keep_folders=[staged])
+    snapshots.change(storage, write, merged.schema, lambda day: day not in touched, taken, keep_folders=[staged])

@@ -33,11 +33,13 @@ PLACE, PART, EDGE = "_place", "_part", "_edge"
 
 @dataclass(frozen=True)
 class TrackLayout:
-    """How tracks are windowed: all keys whole, or those in ``hot`` (one column, ``_hot_key``) in so many ranges."""
+    """How tracks are windowed: all keys whole, or those in ``hot`` (one column, ``_hot_key``) in so many ranges.
+    ``rows`` is how many rows were counted."""
 
     whole_keys: bool
     hot: DataFrame | None = None
     ranges: int = 0
+    rows: int = 0
 
 
 WHOLE_KEYS = TrackLayout(True)
@@ -53,10 +55,10 @@ def track_layout(
     many there are."""
     per_key = df.groupBy(F.col(key).alias("_hot_key")).agg(F.count(F.lit(1)).alias("_rows"))
     hot = F.col("_rows") > rows_per_window
-    rows = per_key.agg(F.sum(F.when(hot, F.col("_rows")))).first()[0]
+    every, rows = per_key.agg(F.sum("_rows"), F.sum(F.when(hot, F.col("_rows")))).first()
     if not rows:
-        return WHOLE_KEYS
-    return TrackLayout(False, per_key.filter(hot).select("_hot_key"), ranges or -(-2 * rows // rows_per_window))
+        return TrackLayout(True, rows=every or 0)
+    return TrackLayout(False, per_key.filter(hot).select("_hot_key"), ranges or -(-2 * rows // rows_per_window), every)
 
 
 Names = dict[str, str]

@@ -9,6 +9,7 @@ from wakeline.functions.geo import haversine_km
 from wakeline.functions.timeparts import elapsed, event_id
 from wakeline.operators.incremental import before, incremental_cutoff, since
 from wakeline.operators.sequence import TrackLayout, with_previous
+from wakeline.plans.late import JUDGED, judged
 
 LOOKBACK_HOURS = 6
 GAP_MINUTES = 120
@@ -37,12 +38,13 @@ def vessel_dark_events(
     """Gaps between consecutive positions of a vessel.
 
     With ``target`` only gaps that ended since max(signal_recovered_at) - 6 h are computed. ``compat=True`` looks
-    at no row before that moment (a gap that began earlier is then missed); the default seeds it.
+    at no row before that moment (a gap that began earlier is then missed); the default seeds it. Of rows made by
+    ``late.affected_rows`` those to be judged are.
     """
     wanted = stg.select(
         "mmsi", "vessel_name", "flag_country", "vessel_type_normalized", "latitude", "longitude", "ocean_region",
         "port_name", "port_country", "event_timestamp", *ties,
-        *[c for c in ("partition_date",) if c in stg.columns],
+        *[c for c in ("partition_date", JUDGED) if c in stg.columns],
     )
     if target is not None:
         cutoff = incremental_cutoff(target, "signal_recovered_at", LOOKBACK_HOURS)
@@ -54,7 +56,7 @@ def vessel_dark_events(
         ties=ties, layout=layout,
     )
     recovered = F.col("event_timestamp")
-    gaps = ordered.withColumn("gap_minutes", elapsed("MINUTE", recovered, F.col("signal_lost_at"))).filter(
+    gaps = judged(ordered).withColumn("gap_minutes", elapsed("MINUTE", recovered, F.col("signal_lost_at"))).filter(
         (F.col("gap_minutes") > GAP_MINUTES) & F.col("last_known_lat").isNotNull()
     )
     if target is not None and not compat:

@@ -1,4 +1,5 @@
-"""The last row and the last port of each vessel and day: one small table that several models read instead of silver."""
+"""The first and the last row and the last port of each vessel and day: one small table that several models read
+instead of silver."""
 
 from __future__ import annotations
 
@@ -12,9 +13,10 @@ from wakeline.operators.incremental import before, since
 
 
 def day_ends(stg: DataFrame, ties: tuple[str, ...] = ()) -> DataFrame:
-    """(mmsi, date_day, last, port): combined on the map side, so a task sends a row for each vessel and day at most."""
+    """(mmsi, date_day, first, last, port): combined on the map side, so a task sends a row for each vessel and day at most."""
     moment = F.struct("event_timestamp", *ties)
     return stg.groupBy("mmsi", "date_day").agg(
+        F.min_by(F.struct(*stg.columns), moment).alias("first"),
         F.max_by(F.struct(*stg.columns), moment).alias("last"), last_known(F.col("port_name"), moment).alias("port"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wakeline.functions.geo import tenth_degree
@@ -22,12 +22,54 @@ def loiter_candidates(stg: DataFrame) -> DataFrame:
         & (status.isNull() | ~status.isin("at_anchor", "moored"))
         & ~F.coalesce("is_in_port_zone", F.lit(False))
     ).select(
-        *IDENTITY, "event_timestamp", F.col("date_day").alias("event_date"), "speed_over_ground",
-        "heading_change_degrees",
+        *[c for c in IDENTITY if c in stg.columns], "event_timestamp", F.col("date_day").alias("event_date"),
+        "speed_over_ground", "heading_change_degrees",
         tenth_degree(F.col("latitude")).alias("lat_cell"), tenth_degree(F.col("longitude")).alias("lon_cell"),
     )
 
 
+def cell_days(stg: DataFrame) -> DataFrame:
+    """The candidate rows of each vessel, cell and day as one row of sums: what stays over any days are made of.
+
+    Of the identity all but the ship category, which comes from the newest static data.
+    """
+    rows = loiter_candidates(stg)
+    turn = F.abs("heading_change_degrees")
+    identity = [c for c in IDENTITY if c in rows.columns and c != "vessel_type_normalized"]
+    return rows.groupBy(*identity, "lat_cell", "lon_cell", F.col("event_date").alias("date_day")).agg(
+        F.min("event_timestamp").alias("begin"), F.max("event_timestamp").alias("end"), F.count(F.lit(1)).alias("positions"),
+        F.sum("speed_over_ground").alias("speed_sum"), F.count("speed_over_ground").alias("speed_rows"),
+        F.sum(turn).alias("turn_sum"), F.count(turn).alias("turn_rows"),
+    )
+
+
+def stays_of_days(days: DataFrame) -> DataFrame:
+    """The stays that ``vessel_loitering`` finds in all rows, from ``cell_days`` with the ship category."""
+    begin, end = F.min("begin"), F.max("end")
+    stays = days.groupBy(*IDENTITY, "lat_cell", "lon_cell").agg(
+        _zone().alias("loiter_zone"), begin.alias("window_start"), end.alias("window_end"),
+        F.sum("positions").alias("position_count"), elapsed("MINUTE", end, begin).alias("duration_minutes"),
+        F.try_divide(F.sum("speed_sum"), F.sum("speed_rows")).alias("avg_speed_knots"),
+        F.try_divide(F.sum("turn_sum"), F.sum("turn_rows")).alias("avg_heading_change"),
+        F.min("date_day").alias("event_date"),
+    )
+    return _long_stays(stays)
+
+
+def _zone() -> Column:
+    return F.concat(F.col("lat_cell").cast("string"), F.lit("_"), F.col("lon_cell").cast("string"))
+
+
+def _long_stays(stays: DataFrame) -> DataFrame:
+    minutes = F.col("duration_minutes")
+    level = (
+        F.when((minutes > 720) & (F.col("avg_heading_change") > 20), "HIGH").when(minutes > 360, "MEDIUM").otherwise("LOW")
+    )
+    return stays.filter(minutes > 180).select(
+        event_id(F.col("mmsi"), F.col("window_start")).alias("loiter_event_id"), "*", level.alias("risk_level")
+    )
+
+
 def with_visits(rows: DataFrame, minutes: int, layout: TrackLayout | None = None) -> DataFrame:
     """Add ``visit``, the time at which the vessel's visit to its cell began.
 
@@ -59,7 +101,7 @@ def vessel_loitering(
         rows, group = with_visits(rows, sessionize, layout), [*group, "visit"]
     begin, end = F.min("event_timestamp"), F.max("event_timestamp")
     stays = rows.groupBy(*group).agg(
-        F.concat(F.col("lat_cell").cast("string"), F.lit("_"), F.col("lon_cell").cast("string")).alias("loiter_zone"),
+        _zone().alias("loiter_zone"),
         begin.alias("window_start"),
         end.alias("window_end"),
         F.count(F.lit(1)).alias("position_count"),
@@ -67,11 +109,5 @@ def vessel_loitering(
         F.avg("speed_over_ground").alias("avg_speed_knots"),
         F.avg(F.abs("heading_change_degrees")).alias("avg_heading_change"),
         F.min("event_date").alias("event_date"),
-    ).filter(F.col("duration_minutes") > 180).drop("visit")
-    minutes = F.col("duration_minutes")
-    level = (
-        F.when((minutes > 720) & (F.col("avg_heading_change") > 20), "HIGH").when(minutes > 360, "MEDIUM").otherwise("LOW")
-    )
-    return stays.select(
-        event_id(F.col("mmsi"), F.col("window_start")).alias("loiter_event_id"), "*", level.alias("risk_level")
     )
+    return _long_stays(stays.drop("visit"))

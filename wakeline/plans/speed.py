@@ -12,6 +12,7 @@ from wakeline.functions.timeparts import elapsed, event_id
 from wakeline.operators.incremental import incremental_cutoff, since
 from wakeline.operators.sequence import TrackLayout, with_previous
 from wakeline.plans.dark import recent_with_seeds
+from wakeline.plans.late import JUDGED, judged
 
 LOOKBACK_HOURS = 2
 
@@ -42,7 +43,7 @@ def vessel_speed_anomalies(
         "mmsi", "vessel_name", "vessel_type_normalized", "flag_country", "ocean_region", "port_country",
         "event_timestamp", F.col("date_day").alias("event_date"), F.col("speed_over_ground").alias("reported_sog"),
         "speed_change_rate", "latitude", "longitude", *ties,
-        *[c for c in ("partition_date",) if c in stg.columns],
+        *[c for c in ("partition_date", JUDGED) if c in stg.columns],
     )
     if target is not None:
         cutoff = incremental_cutoff(target, "event_timestamp", LOOKBACK_HOURS)
@@ -51,7 +52,7 @@ def vessel_speed_anomalies(
         wanted, {"_lat": "latitude", "_lon": "longitude", "_before": "event_timestamp"}, ties=ties, layout=layout
     )
     seconds = elapsed("SECOND", F.col("event_timestamp"), F.col("_before"))
-    timed = ordered.withColumn("_seconds", seconds).filter((F.col("_seconds") > 0) & F.col("_lat").isNotNull())
+    timed = judged(ordered).withColumn("_seconds", seconds).filter((F.col("_seconds") > 0) & F.col("_lat").isNotNull())
     if target is not None and not compat:
         timed = since(timed, cutoff)
     miles = haversine_nm(F.col("_lat"), F.col("_lon"), F.col("latitude"), F.col("longitude"))

@@ -20,6 +20,7 @@ from wakeline.operators.incremental import incremental_cutoff
 from wakeline.operators.merge import merge_into, merge_upsert
 from wakeline.operators.sequence import TrackLayout, track_layout
 from wakeline.plans import activity, alerts, bronze, dark, day_ends, erratic, loiter, ports, reports, risk, silver, speed, staging
+from wakeline.plans.staged import Staged, write_staging
 from wakeline.quality.expectations import expect
 from wakeline.quality.suites import SUITES
 from wakeline.schemas import AUDIT, BRONZE_POSITIONS, RAW_POSITION, RAW_STATIC, ddl
@@ -107,6 +108,11 @@ class Frames:
     def stg(self) -> DataFrame:
         return staging.stg_vessel_positions(self.silver, self.metadata, meta_tie_break=("_row_id",))
 
+    @cached_property
+    def staged(self) -> Staged:
+        """Staging written once, by vessel."""
+        return write_staging(self.stg, self.layout)
+
     @cached_property
     def ends(self) -> DataFrame:
         return day_ends.day_ends(self.stg)
@@ -137,7 +143,11 @@ class Frames:
 
     @cached_property
     def risk(self) -> DataFrame:
-        return risk.vessel_risk_score(self.stg, self.dark, self.speed, self.loiter, as_of=adapter.AS_OF)
+        dark_events, anomalies, stays = (self.staged.each(model) for model in (
+            lambda stg, layout: dark.vessel_dark_events(stg, layout=layout),
+            lambda stg, layout: speed.vessel_speed_anomalies(stg, layout=layout),
+            lambda stg, layout: loiter.vessel_loitering(stg)))
+        return risk.vessel_risk_score(self.staged.rows, dark_events, anomalies, stays, as_of=adapter.AS_OF)
 
     @cached_property
     def alerts(self) -> DataFrame:
