@@ -218,3 +218,17 @@ def test_calibration_is_the_binomial_tail():
     met = [(np.abs((x - y) @ rng.standard_normal((64, embeddings.PROJECTIONS))) <= embeddings.distance_at(0.93)).sum()
            for _ in range(4000)]
     assert (np.array(met) >= count).mean() >= 0.996
+
+
+def test_text_labels_that_look_like_components_do_not_meet(spark):
+    df = spark.createDataFrame([(1, "a,1.0", [2.0]), (2, "a", [1.0, 2.0]), (3, "a", [1.0, 2.0])],
+                               "vec_id long, label string, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_vectors(df).collect()}
+    assert got == {1: (0, 1), 2: (1, 2), 3: (1, 2)}
+
+
+def test_row_keys_tell_null_from_empty_and_have_128_bits(spark):
+    rows = [(None, None), (None, ""), (None, "-"), (1, None), (1, ""), (11, ""), (1, "1"), (1, "\n+")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    keys = {bytes(r[0]) for r in df.select(ngram.row_key(df, "text", "doc_id")).collect()}
+    assert len(keys) == len(rows) and {len(k) for k in keys} == {16}

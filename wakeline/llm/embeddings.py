@@ -71,8 +71,9 @@ def prepared(vectors: DataFrame, key: str, vector: str, label: str, threshold: f
     rows = vectors.select(F.col(quoted(key)).alias("id"), F.col(quoted(label)).alias("label"), x.alias("x"), unit(x).alias("u"))
     live = F.col("u").isNotNull() & F.col("label").isNotNull()
     width = max(WIDE * distance_at(threshold), 1e-6)
+    name = F.col("label").cast("string")  # its length before it, as a text may hold what separates the components
     return rows.select(
-        "id", F.when(live, F.sha1(F.concat_ws(",", F.col("label").cast("string"), F.col("x").cast("array<string>")))).alias("node"),
+        "id", F.when(live, F.sha1(F.concat_ws(",", F.length(name).cast("string"), name, F.col("x").cast("array<string>")))).alias("node"),
         "label", F.size("x").alias("dims"), F.floor(F.col("u.first") / width).alias("cell"), F.col("u.unit").alias("unit"))
 
 

@@ -103,7 +103,11 @@ def features(docs: DataFrame, text: str, key: str, words: int) -> DataFrame:
 
 
 def row_key(docs: DataFrame, text: str, key: str):
-    return F.xxhash64(F.col(quoted(key)), F.col(quoted(text)))
+    """128 bits of a row's key and whole text, null told from empty: what rows are joined and taken out by."""
+    def part(name: str):
+        return F.coalesce(F.concat(F.lit("+"), F.col(quoted(name)).cast("string")), F.lit("-"))
+
+    return F.unhex(F.md5(F.concat(part(key), F.lit("\n"), part(text))))
 
 
 def dealt(rows: DataFrame, blocks: str, node: str, keys: list[str]) -> DataFrame:
