@@ -77,3 +77,22 @@ def test_index_finds_records_in_the_files(spark, tmp_path):
     for r in warc.read_archives(spark, str(tmp_path / "out")).collect():
         part = files[r.archive][r.offset:r.offset + r.length]
         assert part.startswith(b"WARC/1.1\r\n") and part.endswith(b"\r\n\r\n") and r.payload_digest.encode() in part
+
+
+def test_captures_are_ordered_by_time_not_by_page(spark):
+    from datetime import datetime, timedelta
+
+    base = datetime(2023, 6, 1)
+    rows = [(i, f"http://a.example/{i % 2}", f"body {i % 3}", base + timedelta(microseconds=(50 - i) * 7) if i % 9 else None) for i in range(50)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, seen timestamp").repartition(6)
+    got = warc.capture_histories(df, time="seen").collect()
+    at = {i: t.strftime("%Y-%m-%dT%H:%M:%S.%fZ") if t else warc.CAPTURED for i, _, _, t in rows}
+    want = sorted((warc.url_key(u), at[i], i) for i, u, _, _ in rows)
+    assert [(r.url_key, r.captured, r.page_id) for r in got] == want
+    check(got, [r[:3] for r in rows])
+
+
+def test_one_payload_in_a_third_of_the_rows(spark):
+    rows = [(i, f"http://h{i % 7}.example/{i}", "error" if i % 3 == 0 else f"page {i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    check(warc.capture_histories(df).collect(), rows)

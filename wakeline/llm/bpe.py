@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import heapq
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import public_tokenizers
@@ -143,41 +144,54 @@ class MergeReplay:
 
 
 class WordTable:
-    """Words met so far and their tokens, as one flat array; forgotten as a whole when it is full."""
+    """Words met so far and their tokens, as one flat array; when it is full, words met only once are forgotten."""
 
     def __init__(self, replay: MergeReplay):
         self.replay = replay
-        self.clear()
-
-    def clear(self) -> None:
-        self.place: dict[str, int] = {}
+        self.place: dict[str, int] = Places()
         self.flat = np.zeros(0, np.int32)
         self.length = np.zeros(0, np.int64)
         self.begin = np.zeros(0, np.int64)
+        self.met = np.zeros(0, np.int64)
+
+    def trim(self) -> None:
+        """Keep the words met again since they came, the more frequent ones if these are more than half of the table."""
+        order = np.argsort(-self.met, kind="stable")[:REMEMBERED // 2]
+        kept = np.sort(order[self.met[order] > 1])
+        names = list(self.place)
+        self.place = Places(zip([names[i] for i in kept.tolist()], range(len(kept))))
+        self.flat = gather(self.flat, self.begin[kept], self.length[kept])
+        self.length, self.met = self.length[kept], np.ones(len(kept), np.int64)
+        self.begin = np.cumsum(self.length) - self.length
 
     def encode(self, split: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of all texts one after the other, and the number of tokens of each text."""
         if len(self.place) > REMEMBERED:
-            self.clear()
+            self.trim()
         known = len(self.place)
-        place = self.place
-        for words in split:
-            for word in words:
-                if word not in place:
-                    place[word] = len(place)
-        fresh = list(place)[known:]
+        at = np.fromiter(map(self.place.__getitem__, chain.from_iterable(split)), np.int64)
+        fresh = list(islice(self.place, known, None))
         if fresh:
             ids, length = self.replay.encode([word.encode() for word in fresh])
             self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(length) - length])
             self.length = np.concatenate([self.length, length])
             self.flat = np.concatenate([self.flat, ids])
-        at = np.fromiter((place[word] for words in split for word in words), np.int64)
+            self.met = np.concatenate([self.met, np.zeros(len(fresh), np.int64)])
+        self.met += np.bincount(at, minlength=len(self.met))
         sizes = np.fromiter(map(len, split), np.int64, len(split))
         tokens = np.concatenate([[0], np.cumsum(self.length[at])])
         edges = np.concatenate([[0], np.cumsum(sizes)])
         return gather(self.flat, self.begin[at], self.length[at]), np.diff(tokens[edges])
 
 
+class Places(dict):
+    """Word -> its number; a word that is asked for the first time gets the next one."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 def gather(flat: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
     """flat[begin[0]:begin[0]+length[0]], flat[begin[1]:...], ... in one array."""
     ends = np.cumsum(length)

@@ -19,7 +19,10 @@ from pyspark.sql import functions as F
 from wakeline.llm.common import quoted, store, table
 from wakeline.session import shared_dir
 
-CAPTURED = "2024-01-01T00:00:00Z"
+#: The time of a capture that has none, and how times are written: of one width, so that texts sort as times do.
+CAPTURED, TIME_FORM = "2024-01-01T00:00:00.000000Z", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
+#: Parts that the rows of one payload are joined in.
+SALTS = 16
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 EOL, BETWEEN = "\r\n", "\r\n\r\n"
 INDEX = ("url_key string, captured string, page_id {key}, archive string, offset long, length long, "
@@ -45,13 +48,14 @@ def url_key(url: str | None) -> str:
     return ",".join(reversed(host.split("."))) + ")" + (parts.path or "/") + ("?" + parts.query if parts.query else "")
 
 
-def record(page_id: object, url: str | None, html: str | None, refers_to: object, is_revisit: bool) -> str:
+def record(page_id: object, url: str | None, html: str | None, refers_to: object, is_revisit: bool,
+           captured: str = CAPTURED) -> str:
     payload = (html or "").encode()
     http = EOL.join(["HTTP/1.1 200 OK", "Content-Type: text/html; charset=utf-8", f"Content-Length: {len(payload)}", "", ""])
     body = len(http.encode()) + (0 if is_revisit else len(payload))
     named = lambda p: "<urn:page:none>" if p is None else f"<urn:page:{p}>"
     lines = ["WARC/1.1", f"WARC-Type: {'revisit' if is_revisit else 'response'}", f"WARC-Record-ID: {named(page_id)}",
-             f"WARC-Date: {CAPTURED}", f"WARC-Payload-Digest: sha1:{digest_of(payload)}"]
+             f"WARC-Date: {captured}", f"WARC-Payload-Digest: sha1:{digest_of(payload)}"]
     if url is not None:
         lines.append(f"WARC-Target-URI: {header_value(url)}")
     if is_revisit:
@@ -82,27 +86,37 @@ def read_records(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], by
 
 
 def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", html: str = "html",
-                   smallest: int = 0) -> None:
+                   smallest: int = 0, time: str | None = None) -> None:
     """Write one record for each row into gzipped WARC files under path.
 
+    ``time`` is the column of capture times; without one, or where it is null, the time is a constant.
+
     Of rows with equal payloads of at least ``smallest`` bytes the one with the largest key is a response with its
     payload, the others are revisits of it. A WARC record of UTF-8 text is text, and every record ends in two line
     ends, so Spark's own text writer makes the files: it commits each task once, on any file system, whatever
-    executors are lost. A file holds one task's records; the shuffle before it bounds their size.
+    executors are lost. A file holds one task's records; the shuffle before it bounds their size. Rows of one payload
+    are spread over SALTS parts on their way to the decision.
+
+    Null html is an empty payload; a null key is smaller than any other; repeated rows are records each. An empty table
+    makes files without records.
     """
     k, payload = F.col(quoted(key)), F.coalesce(F.col(quoted(html)), F.lit(""))
-    rows = pages.select(k.alias("page_id"), F.col(quoted(url)).alias("url"), payload.alias("html"), F.sha1(payload).alias("sha"))
+    captured = F.lit(CAPTURED) if time is None else F.coalesce(F.date_format(F.col(quoted(time)).cast("timestamp"), TIME_FORM), F.lit(CAPTURED))
+    rows = pages.select(k.alias("page_id"), F.col(quoted(url)).alias("url"), payload.alias("html"), F.sha1(payload).alias("sha"),
+                        captured.alias("captured"))
     sharing = rows.where(F.octet_length("html") >= smallest).groupBy("sha").agg(
         F.max("page_id").alias("holder"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    linked = rows.join(sharing, "sha", "left").select(
-        "page_id", "url", "html", "holder", (F.coalesce(F.octet_length("html") >= smallest, F.lit(False))
+    dealt = sharing.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url", "captured"), F.lit(SALTS)).cast("int"))
+    linked = salted.join(dealt, ["sha", "salt"], "left").select(
+        "page_id", "url", "html", "captured", "holder", (F.coalesce(F.octet_length("html") >= smallest, F.lit(False))
                                              & F.col("holder").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("holder"))).alias("again"))
 
     @F.arrow_udf("string")
-    def to_record(page_id: pa.Array, url: pa.Array, html: pa.Array, holder: pa.Array, again: pa.Array) -> pa.Array:
-        return pa.array((record(*(x.as_py() for x in row)) for row in zip(page_id, url, html, holder, again)), pa.string())
+    def to_record(page_id: pa.Array, url: pa.Array, html: pa.Array, holder: pa.Array, again: pa.Array, captured: pa.Array) -> pa.Array:
+        return pa.array((record(*(x.as_py() for x in row)) for row in zip(page_id, url, html, holder, again, captured)), pa.string())
 
-    linked.select(to_record("page_id", "url", "html", "holder", "again").alias("value")).write.option(
+    linked.select(to_record("page_id", "url", "html", "holder", "again", "captured").alias("value")).write.option(
         "lineSep", BETWEEN).option("compression", "gzip").text(path)
 
 
@@ -205,8 +219,10 @@ def merge_runs(index: DataFrame) -> DataFrame:
         f"`{c}` {t}" for c, t in index.dtypes))
 
 
-def capture_histories(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", smallest: int = 0) -> DataFrame:
-    """Write pages as archives into the shared folder, read them back, and merge their indexes.
+def capture_histories(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", smallest: int = 0,
+                      time: str | None = None) -> DataFrame:
+    """Write pages as archives into the shared folder, read them back, and merge their indexes: captures in order of URL
+    key, time and page.
 
     Null html is an empty payload, a null URL leaves the record without a target. A null key is smaller than any
     other; rows with equal key and payload are captures of one kind. Payloads below ``smallest`` bytes are responses
@@ -215,7 +231,7 @@ def capture_histories(pages: DataFrame, key: str = "page_id", url: str = "url",
     """
     spark = pages.sparkSession
     path = f"{shared_dir(spark)}/llm/warc-{uuid.uuid4().hex}"
-    write_archives(pages, path, key, url, html, smallest)
+    write_archives(pages, path, key, url, html, smallest, time)
     kind = pages.select(F.col(quoted(key))).dtypes[0][1]
     return merge_runs(store(read_archives(spark, path, kind), "warc-index"))
 
