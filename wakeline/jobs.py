@@ -22,6 +22,10 @@ from wakeline.sources.streams import read_json_stream
 from wakeline.streaming import alerts, ingest
 
 DATASETS = ("positions", "metadata")
+GOLD = (
+    "vessel_activity_summary", "port_traffic", "vessel_erratic_course", "vessel_dark_events",
+    "vessel_speed_anomalies", "vessel_loitering", "vessel_risk_score",
+)
 PROFILE_COLUMNS = ["MMSI", "Latitude", "Longitude", "Sog", "ShipName", "time_utc"]
 
 
@@ -45,9 +49,10 @@ def _publisher(args: argparse.Namespace):
 
 def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "alerts":
-        stream = alerts.vessel_alerts(_stream(spark, args, schemas.ALERT_INPUT), args.silence)
+        stream = alerts.vessel_alerts(_stream(spark, args, schemas.ALERT_INPUT), args.silence, delay=args.delay)
         query = alerts.start_alert_stream(
-            stream, args.sink, args.checkpoint, trigger=_trigger(args), **_pairs(args.sink_option)
+            stream, args.sink, args.checkpoint, trigger=_trigger(args), event_time=args.delay is not None,
+            **_pairs(args.sink_option)
         )
     else:
         fields, batch = {
@@ -60,9 +65,10 @@ def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
         if args.job.startswith("bronze"):
             more["publish"] = _publisher(args)
         name = args.job.replace("-", "_")
-        query = ingest.start(
-            _stream(spark, args, fields), batch(args.output, **more), args.checkpoint, name, _trigger(args)
-        )
+        stream = _stream(spark, args, fields)
+        if args.job == "silver-positions" and args.delay is not None:
+            stream = ingest.once_each(stream, delay=args.delay)
+        query = ingest.start(stream, batch(args.output, **more), args.checkpoint, name, _trigger(args))
     query.awaitTermination()
 
 
@@ -78,11 +84,7 @@ def run_compaction(spark: SparkSession, args: argparse.Namespace) -> None:
 def run_report(spark: SparkSession, args: argparse.Namespace) -> None:
     """Every report over the stored tables."""
     silver = silver_table(spark, args.root)
-    names = (
-        "vessel_activity_summary", "port_traffic", "vessel_erratic_course", "vessel_dark_events",
-        "vessel_speed_anomalies", "vessel_loitering", "vessel_risk_score",
-    )
-    gold = {name: df for name in names if (df := stored(spark, args.root, name)) is not None}
+    gold = {name: df for name in GOLD if (df := stored(spark, args.root, name)) is not None}
     shown = {
         "overview": reports.report_overview(silver), "top flags": reports.report_top_flags(silver),
         "regions": reports.report_regions(silver), "timeline": reports.report_timeline(silver),
@@ -116,7 +118,18 @@ def run_duplicates(spark: SparkSession, args: argparse.Namespace) -> None:
     layers.duplicate_batches(silver).show(50, truncate=False)
 
 
+def run_sql(spark: SparkSession, args: argparse.Namespace) -> None:
+    """A query over the layers and gold tables by their names."""
+    layers.register_layers(spark, args.root)
+    layers.register_gold(spark, args.root, GOLD)
+    spark.sql(args.query).show(args.rows, truncate=False)
+
+
 def run_refresh(spark: SparkSession, args: argparse.Namespace) -> None:
+    for table in DATASETS:
+        problems = layers.newest_day_problems(spark, f"{args.root}/silver/{table}", sum(schemas.LAYERS[f"silver_{table}"], []))
+        if problems:
+            raise SystemExit(f"silver {table}: {'; '.join(problems)}")
     print(json.dumps(refresh_gold(
         spark, args.root, args.as_of, args.full_refresh, args.dedup, None if args.any_age else args.fresh_hours
     )))
@@ -138,10 +151,13 @@ def parser() -> argparse.ArgumentParser:
         if name == "alerts":
             job.add_argument("--sink", default="kafka")
             job.add_argument("--silence", type=int, default=120, metavar="MINUTES")
+            job.add_argument("--delay", help="tell silence in event time, with rows so late at most, e.g. '10 minutes'")
         else:
             job.add_argument("--output", required=True)
             job.add_argument("--audit")
             job.add_argument("--sink", help="also publish keyed JSON, e.g. kafka")
+        if name == "silver-positions":
+            job.add_argument("--delay", help="drop copies that come in other batches so late at most, e.g. '1 hour'")
     job = jobs.add_parser("compact")
     job.set_defaults(run=run_compaction)
     job.add_argument("--base", required=True)
@@ -158,6 +174,11 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--dedup", action="store_true", help="keep one row per vessel and event time")
     job.add_argument("--fresh-hours", type=float, default=2)
     job.add_argument("--any-age", action="store_true", help="run whether silver is fresh or not")
+    job = jobs.add_parser("sql")
+    job.set_defaults(run=run_sql)
+    job.add_argument("--root", required=True)
+    job.add_argument("--rows", type=int, default=50)
+    job.add_argument("query")
     for name, run, place in (
         ("report", run_report, "--root"), ("duplicates", run_duplicates, "--root"), ("profile", run_profile, "--path")
     ):

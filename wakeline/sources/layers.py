@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 
 from wakeline import schemas
 from wakeline.sources import snapshots
+from wakeline.sources.storage import Storage
+
+#: Folder levels below a day that say who wrote a file and mean nothing once files are merged.
+WRITERS = ("batch", snapshots.VERSION)
 
 
 def read_layer(spark: SparkSession, path: str, fields: schemas.Fields | None = None) -> DataFrame:
@@ -18,9 +22,11 @@ def read_layer(spark: SparkSession, path: str, fields: schemas.Fields | None = N
     return snapshots.read(spark, path, schemas.ddl(fields) if fields else None)
 
 
-def read_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Exactly these files, their schemas merged."""
-    return spark.read.option("mergeSchema", "true").parquet(*paths)
+def read_files(spark: SparkSession, paths: Sequence[str], base: str | None = None) -> DataFrame:
+    """Exactly these files, their schemas merged. Folders between ``base`` and a file that say ``name=value`` are
+    columns."""
+    reader = spark.read.option("mergeSchema", "true")
+    return (reader if base is None else reader.option("basePath", base)).parquet(*paths)
 
 
 def register_layers(spark: SparkSession, root: str) -> list[str]:
@@ -31,6 +37,22 @@ def register_layers(spark: SparkSession, root: str) -> list[str]:
     return list(schemas.LAYERS)
 
 
+def register_gold(spark: SparkSession, root: str, names: Sequence[str]) -> list[str]:
+    """Views over those gold tables that some refresh has made."""
+    found = [name for name in names if snapshots.exists(spark, f"{root}/gold/{name}")]
+    for name in found:
+        snapshots.read(spark, f"{root}/gold/{name}").createOrReplaceTempView(name)
+    return found
+
+
+def newest_day_problems(spark: SparkSession, path: str, declared: schemas.Fields) -> list[str]:
+    """How the newest day of a stored layer differs from its declared columns; one day's files are looked at."""
+    days = snapshots.marks(Storage(spark, path))
+    if not days:
+        return []
+    return check_schema(snapshots.read(spark, path, days=[max(days)]).drop(*WRITERS), declared)
+
+
 def is_fresh(spark: SparkSession, path: str, hours: float = 2, as_of: datetime | None = None) -> bool:
     """True when some data file under ``path`` changed within ``hours`` of ``as_of`` (UTC).
 
