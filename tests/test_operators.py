@@ -48,7 +48,7 @@ def test_previous_equals_plain_lag(spark, per_day, limit):
     df = skewed(spark).withColumn("day", F.to_date("event_timestamp"))
     keys = ["mmsi", "day"] if per_day else ["mmsi"]
     plain = df.withColumn("before", F.lag("x").over(Window.partitionBy(*keys).orderBy("event_timestamp")))
-    layout = track_layout(df, "mmsi", "event_timestamp", rows_per_window=limit)
+    layout = track_layout(df, "mmsi", "event_timestamp", rows_per_window=limit, ranges=60 if limit == 10 else None)
     assert layout.whole_keys == (limit == 10_000)
     got = with_previous(df, {"before": "x"}, per_day=per_day, layout=layout)
     assert rows(got) == rows(plain)
@@ -214,7 +214,7 @@ def test_staging_same_with_and_without_broadcast(frames):
 def test_models_do_not_depend_on_the_layout(frames):
     from wakeline.plans.alerts import vessel_alerts_batch
 
-    sliced = track_layout(frames.bronze, "MMSI", "time_utc", rows_per_window=5)
+    sliced = track_layout(frames.bronze, "MMSI", "time_utc", rows_per_window=5, ranges=40)
     assert not sliced.whole_keys
     for build in (
         lambda layout: vessel_alerts_batch(frames.bronze, layout=layout),
