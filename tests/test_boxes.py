@@ -70,3 +70,26 @@ def test_no_boxes_and_no_points(spark):
     assert {r["name"] for r in no_boxes.collect()} == {None} and no_boxes.count() == len(points)
     assert in_first_box(spark.createDataFrame([], POINT), spark.createDataFrame(boxes, BOX), ["name"]).count() == 0
     assert box_index(spark.createDataFrame(boxes, BOX), ["name"]).groupBy("_cell").count().filter("count > 1").count() == 0
+
+
+def test_cells_hold_no_box_that_comes_after_a_covering_one(spark):
+    """A thousand boxes over the same cells: one of them covers each cell, so the index stays as large as the cells."""
+    boxes = [(0.0 - i, 4.0 + i, 0.0 - i, 4.0 + i, 2000 - i, f"b{i}") for i in range(3)]
+    boxes += [(0.5, 3.5, 0.5, 3.5, 5000 + i, f"late{i}") for i in range(1000)] + [(1.2, 1.4, 1.2, 1.4, 7, "early")]
+    points = [(i, i % 7 - 1.5, i % 5 - 0.5) for i in range(35)] + [(99, 1.3, 1.3), (100, 1.2, 1.4)]
+    index = box_index(spark.createDataFrame(boxes, BOX), ["name"])
+    assert index.agg(F.max(F.size("_boxes"))).first()[0] <= 4
+    got = in_first_box(spark.createDataFrame(points, POINT), spark.createDataFrame(boxes, BOX), ["name"])
+    assert sorted(((r["id"], r["name"]) for r in got.collect()), key=repr) == brute(boxes, points)
+
+
+def test_a_lookup_past_the_limit_is_never_broadcast_by_estimate(spark, tmp_path):
+    """Boxes from a small file, which Spark takes for small after every explode."""
+    boxes, points = some()
+    spark.createDataFrame(boxes, BOX).coalesce(1).write.parquet(str(tmp_path / "boxes"))
+    many = spark.read.parquet(str(tmp_path / "boxes"))
+    df = in_first_box(spark.createDataFrame(points, POINT), many, ["name"], max_rows=1)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") >= 1 and "_boxes" not in "".join(
+        line for line in plan.splitlines() if "BroadcastExchange" in line)
