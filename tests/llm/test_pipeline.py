@@ -83,3 +83,21 @@ def test_odd_rows_and_no_rows(spark, odd, none, name):
     if name != "packing":
         assert out.where(F.col("doc_id") == 7).count() == 1
     assert STAGE[name](spark, none, SMALL).count() == 0
+
+
+def test_texts_reach_python_in_small_batches(spark):
+    """10,000 whole documents at once are more memory than a task may take; a smaller setting of the user stays."""
+    from wakeline.llm import packing, toxicity
+    from wakeline.llm.common import BATCH_ROWS, TEXT_ROWS
+
+    docs = spark.createDataFrame([(i, f"some words {i}") for i in range(5)], "doc_id long, text string")
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    before = spark.conf.get(BATCH_ROWS)
+    try:
+        for step in (lambda: packing.pack(docs), lambda: toxicity.score(docs, toxicity.fit(docs, labels))):
+            for given, expected in (("10000", TEXT_ROWS), ("0", TEXT_ROWS), ("7", 7)):
+                spark.conf.set(BATCH_ROWS, given)
+                assert step().count() == 5
+                assert int(spark.conf.get(BATCH_ROWS)) == expected
+    finally:
+        spark.conf.set(BATCH_ROWS, before)

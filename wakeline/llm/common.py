@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from wakeline.session import shared_dir
 
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+BATCH_ROWS, TEXT_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 500
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +57,17 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Send whole texts to Python by TEXT_ROWS rows at most, from here on in this session.
+
+    Spark's own 10,000 rows of a few kilobytes each are some 40 MB, held by the executor, while its buffers double, and
+    by the Python worker, for every task at once. A smaller number set by the user stays.
+    """
+    rows = int(spark.conf.get(BATCH_ROWS))
+    if not 0 < rows <= TEXT_ROWS:
+        spark.conf.set(BATCH_ROWS, str(TEXT_ROWS))
+
+
 def connected(edges: DataFrame, name: str = "components") -> DataFrame:
     """(node, component): the smallest node reachable from each node that has an edge; edges has columns a and b.
 

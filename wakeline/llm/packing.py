@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from wakeline.llm.bpe import blocks, gather
-from wakeline.llm.common import quoted, store, table
+from wakeline.llm.common import bounded_batches, quoted, store, table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 CAPACITY, END = 4096, 2
@@ -273,6 +273,7 @@ def token_pieces(docs: DataFrame, text: str = "text", key: str = "doc_id", vocab
     With ``added_tokens`` the content of an added token, such as <|endoftext|>, becomes its one id, as the library's
     ``encode`` has it by default; without, it is text like any other (``encode_special_tokens = True``).
     """
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
     narrow = id_type(shared.value, end)
     kind = docs.select(F.col(quoted(key)).alias("key"))

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm.common import put, quoted, table
+from wakeline.llm.common import bounded_batches, put, quoted, table
 
 #: What is learnt from is bounded: labelled rows, in the order of a hash of their id, and terms, by association.
 MAX_EXAMPLES, MAX_TERMS = 8192, 2048
@@ -147,6 +147,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     words that say nothing. The score of a vote is the share of toxic examples at that vote, found by leaving each
     example out of its own neighbours.
     """
+    bounded_batches(docs.sparkSession)
     k, t = F.col(quoted(key)), F.col(quoted(text))
     train = (labels.where(F.col(label).isNotNull() & k.isNotNull() & ~held_out(k)).groupBy(k.alias("key"))
              .agg(F.max(label).cast("int").alias("toxic")).orderBy(F.xxhash64(F.lit(20), "key"), "key").limit(examples))
@@ -205,6 +206,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id"
     a half if there are no labels at all. Repeated rows are scored each; an empty table gives no rows. A column with
     an output's name gives way to it.
     """
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.select(F.col(quoted(key))).dtypes[0][1]
 
