@@ -232,3 +232,17 @@ def test_cutoff_prunes_day_folders(spark, tmp_path):
     plan = recent._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(partition_date" in plan and "PushedFilters: [IsNotNull(event_timestamp)" in plan
     assert recent.count() > 0
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_one_shuffle_by_vessel_up_to_staging(spark, frames):
+    """De-duplication, deltas and a lookup past the broadcast limit take one shuffle of the positions together."""
+    silver = plan_of(frames.silver)
+    assert silver.count("Exchange hashpartitioning(") == 1
+    stg = stg_vessel_positions(frames.silver, frames.metadata, meta_tie_break=("_row_id",), broadcast_rows=1, layout=frames.layout)
+    assert plan_of(stg).count("Exchange hashpartitioning(") == 2  # positions, static data
+    two = plan_of(dark.vessel_dark_events(stg, layout=frames.layout))
+    assert two.count("Exchange hashpartitioning(") == 2 and "Generate" not in two

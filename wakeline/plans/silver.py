@@ -86,6 +86,9 @@ def silver_positions(
         # counted before de-duplication: an upper bound that needs no shuffle of whole rows
         layout = track_layout(bronze, "MMSI", "time_utc")
     renamed = rename_positions(bronze)
+    if layout.whole_keys:
+        # One shuffle by vessel serves de-duplication, deltas and all that looks at a vessel's track later.
+        renamed = renamed.repartition("mmsi")
     unique = dedup_latest(renamed, latest_by=("ingestion_timestamp", *tie_break))
     moved = movement_deltas(unique, layout)
     # boxes come last: their columns need not travel through the shuffles

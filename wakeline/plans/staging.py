@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wakeline import refdata as ref
 from wakeline.operators.dedup import top1
 from wakeline.operators.joins import BROADCAST_ROWS, left_lookup
+from wakeline.operators.sequence import TrackLayout
 
 FROM_METADATA = ["vessel_type_normalized", "destination_clean", "imo_number", "callsign", "draught"]
 
@@ -18,11 +19,13 @@ def latest_metadata(meta: DataFrame, tie_break: tuple[str, ...] = ()) -> DataFra
 
 
 def with_latest_metadata(
-    positions: DataFrame, meta: DataFrame, tie_break: tuple[str, ...] = (), broadcast_rows: int = BROADCAST_ROWS
+    positions: DataFrame, meta: DataFrame, tie_break: tuple[str, ...] = (), broadcast_rows: int = BROADCAST_ROWS,
+    layout: TrackLayout | None = None,
 ) -> DataFrame:
+    """``layout``, made for the positions' vessels, tells which of them are hot, so that they are not counted again."""
     newest = latest_metadata(meta, tie_break).select("mmsi", *FROM_METADATA)
     vessels = meta.select("mmsi").distinct()  # as many rows as ``newest`` (or one more, for null)
-    joined = left_lookup(positions, newest, "mmsi", F.col("event_timestamp"), vessels, broadcast_rows)
+    joined = left_lookup(positions, newest, "mmsi", F.col("event_timestamp"), vessels, broadcast_rows, layout=layout)
     category = F.coalesce("vessel_type_normalized", F.lit(ref.SHIP_TYPE_MISSING))
     return joined.withColumn("vessel_type_normalized", category)
 
@@ -44,6 +47,7 @@ def stg_vessel_positions(
     dedup: bool = False,
     meta_tie_break: tuple[str, ...] = (),
     broadcast_rows: int = BROADCAST_ROWS,
+    layout: TrackLayout | None = None,
 ) -> DataFrame:
     """The staging view every gold model reads. ``dedup=True`` keeps the newest row per (mmsi, event time)."""
     kept = positions.filter(is_vessel_position())
@@ -51,7 +55,7 @@ def stg_vessel_positions(
         kept = top1(
             kept, ["mmsi", "event_timestamp"], [F.desc("processing_timestamp"), F.desc("_bronze_batch_id")]
         )
-    joined = with_latest_metadata(kept, meta, meta_tie_break, broadcast_rows)
+    joined = with_latest_metadata(kept, meta, meta_tie_break, broadcast_rows, layout)
     return joined.withColumns({
         "date_day": F.to_date("event_timestamp"),
         "hour_of_day": F.hour("event_timestamp"),

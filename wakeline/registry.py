@@ -106,7 +106,7 @@ class Frames:
 
     @cached_property
     def stg(self) -> DataFrame:
-        return staging.stg_vessel_positions(self.silver, self.metadata, meta_tie_break=("_row_id",))
+        return staging.stg_vessel_positions(self.silver, self.metadata, meta_tie_break=("_row_id",), layout=self.layout)
 
     @cached_property
     def staged(self) -> Staged:
