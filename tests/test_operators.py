@@ -246,3 +246,12 @@ def test_one_shuffle_by_vessel_up_to_staging(spark, frames):
     assert plan_of(stg).count("Exchange hashpartitioning(") == 2  # positions, static data
     two = plan_of(dark.vessel_dark_events(stg, layout=frames.layout))
     assert two.count("Exchange hashpartitioning(") == 2 and "Generate" not in two
+
+
+def test_hot_vessels_write_only_what_activity_reads(spark, frames):
+    from wakeline.plans import activity
+    from wakeline.registry import sliced
+
+    days = activity.vessel_activity_summary(frames.stg, layout=sliced(frames))
+    ranged = [line for line in days._jdf.queryExecution().analyzed().toString().splitlines() if "Relation" in line and PART in line]
+    assert ranged and not any(c in line for line in ranged for c in ("callsign", "imo_number", "course_over_ground"))

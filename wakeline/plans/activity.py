@@ -9,6 +9,13 @@ from wakeline.functions.geo import flat_km
 from wakeline.functions.timeparts import elapsed
 from wakeline.operators.sequence import TrackLayout, with_previous
 
+#: What the summary reads of staging.
+READ = (
+    "mmsi", "date_day", "event_timestamp", "latitude", "longitude", "vessel_name", "flag_country", "vessel_type_normalized",
+    "ocean_region", "port_name", "is_in_port_zone", "speed_over_ground", "speed_change_rate", "heading_change_degrees",
+    "destination_clean", "_source_system", "_pipeline_version",
+)
+
 
 def avg_if(condition: Column, value: Column) -> Column:
     return F.avg(F.when(condition, value))
@@ -34,7 +41,8 @@ def vessel_activity_summary(stg: DataFrame, layout: TrackLayout | None = None) -
     gap = F.col("minutes_since_prev")
     in_port = F.coalesce("is_in_port_zone", F.lit(False))
     first, last = F.min("event_timestamp"), F.max("event_timestamp")
-    return day_segments(stg, layout).groupBy("mmsi", "date_day").agg(
+    # Only these columns go through the ranges of hot vessels, which are written.
+    return day_segments(stg.select(*READ), layout).groupBy("mmsi", "date_day").agg(
         F.max("vessel_name").alias("vessel_name"),
         F.max("flag_country").alias("flag_country"),
         F.max("vessel_type_normalized").alias("vessel_type"),
