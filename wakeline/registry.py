@@ -349,6 +349,22 @@ def silver_stream(f: Frames) -> DataFrame:
     return comparable(rows, thousandths=("distance_to_port_km",), doubles=("heading",))
 
 
+def table_counts(f: Frames) -> DataFrame:
+    """All models over staging written once, by vessel."""
+    each, rows = f.staged.each, f.staged.rows
+
+    def erratic_days(stg: DataFrame, layout: TrackLayout) -> DataFrame:
+        return erratic.vessel_erratic_course(activity.vessel_activity_summary(stg, layout=layout), stg)
+
+    return reports.report_table_counts({
+        "vessel_activity_summary": each(lambda stg, layout: activity.vessel_activity_summary(stg, layout=layout)),
+        "port_traffic": ports.port_traffic(rows), "vessel_erratic_course": each(erratic_days),
+        "vessel_dark_events": each(lambda stg, layout: dark.vessel_dark_events(stg, layout=layout)),
+        "vessel_speed_anomalies": each(lambda stg, layout: speed.vessel_speed_anomalies(stg, layout=layout)),
+        "vessel_loitering": each(lambda stg, layout: loiter.vessel_loitering(stg)), "vessel_risk_score": f.risk,
+    })
+
+
 QUERIES |= {
     "bronze_flatten": bronze_flatten,
     "bronze_validate": bronze_validate,
@@ -406,11 +422,7 @@ QUERIES |= {
     ),
     "report_overview": lambda f: comparable(reports.report_overview(f.silver)),
     "report_gold_totals": lambda f: reports.report_gold_totals(f.activity),
-    "report_table_counts": lambda f: reports.report_table_counts({
-        "vessel_activity_summary": f.activity, "port_traffic": f.ports, "vessel_erratic_course": f.erratic,
-        "vessel_dark_events": f.dark, "vessel_speed_anomalies": f.speed, "vessel_loitering": f.loiter,
-        "vessel_risk_score": f.risk,
-    }),
+    "report_table_counts": table_counts,
     "report_top_flags": lambda f: reports.report_top_flags(f.silver),
     "report_regions": lambda f: reports.report_regions(f.silver),
     "report_types": lambda f: reports.report_types(f.activity),
