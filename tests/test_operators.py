@@ -255,3 +255,11 @@ def test_hot_vessels_write_only_what_activity_reads(spark, frames):
     days = activity.vessel_activity_summary(frames.stg, layout=sliced(frames))
     ranged = [line for line in days._jdf.queryExecution().analyzed().toString().splitlines() if "Relation" in line and PART in line]
     assert ranged and not any(c in line for line in ranged for c in ("callsign", "imo_number", "course_over_ground"))
+
+
+def test_queries_that_read_staging_often_write_it_once(frames):
+    from wakeline.registry import QUERIES, Frames
+
+    for name in ("report_table_counts", "dark_events_seeded"):
+        df = QUERIES[name](Frames(frames.spark, frames.sf_dir))
+        assert not any(f.endswith("/events.parquet") for f in df.inputFiles())

@@ -24,7 +24,7 @@ from wakeline.plans.staged import Staged, write_staging
 from wakeline.quality.expectations import expect
 from wakeline.quality.suites import SUITES
 from wakeline.schemas import AUDIT, BRONZE_POSITIONS, RAW_POSITION, RAW_STATIC, ddl
-from wakeline.session import shared_dir, use_utc
+from wakeline.session import shared_dir, use_utc, written
 from wakeline.sources import events_adapter as adapter
 from wakeline.sources import layers, routing, snapshots
 from wakeline.sources.compaction import compact
@@ -263,10 +263,15 @@ def dark_incremental(f: Frames, compat: bool) -> DataFrame:
 
 
 def dark_seeded(f: Frames) -> DataFrame:
-    """The stored half plus an incremental run whose seeds come from the ends of days: the same as a full run."""
-    target = first_half(f, f.dark, "signal_recovered_at")
+    """The stored half plus an incremental run whose seeds come from the ends of days: the same as a full run.
+
+    Staging and the stored half are written once, as every step of the run reads them."""
+    stg = f.staged.rows
+    full = f.staged.each(lambda rows, layout: dark.vessel_dark_events(rows, layout=layout))
+    target = written(first_half(f, full, "signal_recovered_at"), "dark")
     cutoff = incremental_cutoff(target, "signal_recovered_at", dark.LOOKBACK_HOURS)
-    new = dark.vessel_dark_events(f.stg, target, layout=f.layout, seeds=day_ends.seeds_before(f.ends, f.stg, cutoff))
+    seeds = day_ends.seeds_before(day_ends.day_ends(stg), stg, cutoff)
+    new = dark.vessel_dark_events(stg, target, layout=f.layout, seeds=seeds)
     return comparable(merge_upsert(target, new, "dark_event_id"), thousandths=("displacement_km",))
 
 
