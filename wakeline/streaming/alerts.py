@@ -36,6 +36,10 @@ RADIUS_NM = ref.EARTH_RADIUS_KM / ref.KM_PER_NAUTICAL_MILE
 SPEED_LIMIT, SPOOFING, SUDDEN = ref.ALERT_SPEED_LIMIT_KNOTS, ref.SPOOFING_SPEED_CHANGE, ref.SUDDEN_SPEED_CHANGE
 
 
+#: The columns of a track and their types.
+TRACK = {"lat": "float64", "lon": "float64", "sog": "float64", "micros": "int64"}
+
+
 def _nautical_miles(lat1, lon1, lat2, lon2):
     phi1, phi2 = np.radians(lat1), np.radians(lat2)
     chord = np.sin((phi2 - phi1) / 2) ** 2 + np.cos(phi1) * np.cos(phi2) * np.sin(np.radians(lon2 - lon1) / 2) ** 2
@@ -47,32 +51,34 @@ def score_track(track: pd.DataFrame, silence_min: float | None = None) -> pd.Dat
 
     With ``silence_min`` a longer way in time is a silence, told with the position before it, and nothing else.
     """
-    prev, here = track.iloc[:-1].reset_index(drop=True), track.iloc[1:].reset_index(drop=True)
-    passed = (here["micros"] - prev["micros"]).to_numpy()
+    return _scored(*(track[c].to_numpy(kind) for c, kind in TRACK.items()), silence_min)
+
+
+def _scored(lat, lon, sog, micros, silence_min: float | None) -> pd.DataFrame:
+    """Plain arrays: a call is for one vessel, and most have few rows, so what counts is the cost of a call."""
+    passed = np.diff(micros)
     hours = passed / 3.6e9
     with np.errstate(divide="ignore", invalid="ignore"):
-        knots = _nautical_miles(prev["lat"], prev["lon"], here["lat"], here["lon"]).to_numpy() / hours
-    change = (here["sog"] - prev["sog"]).abs().fillna(0.0).to_numpy()
+        knots = _nautical_miles(lat[:-1], lon[:-1], lat[1:], lon[1:]) / hours
+    change = np.abs(np.diff(sog))
+    change[np.isnan(change)] = 0.0
     over = knots > SPEED_LIMIT
-    silent = np.zeros(len(here), bool) if silence_min is None else passed > silence_min * 6e7
-    kind = np.select(
-        [silent, over & (change > SPOOFING), over, change > SUDDEN],
-        ["AIS_GAP", "GPS_SPOOFING", "IMPOSSIBLE_SPEED", "SUDDEN_ACCELERATION"], default="",
-    )
-    hit = (hours > 0) & (kind != "")
-    at = np.flatnonzero(hit)
-    sog, seen = here["sog"].to_numpy(), prev["micros"].to_numpy()
-    text = [
-        silence_text(silence_min, _as_text(seen[i])) if silent[i] else
-        f"calculated_speed={knots[i]:.1f}kn reported_sog={None if np.isnan(sog[i]) else float(sog[i])}kn speed_change={change[i]:.1f}kn"
-        for i in at
-    ]
+    silent = np.zeros(len(passed), bool) if silence_min is None else passed > silence_min * 6e7
+    at = np.flatnonzero((hours > 0) & (silent | over | (change > SUDDEN) | (over & (change > SPOOFING))))
+    kind, severity, text, place = [], [], [], []
+    for i in at.tolist():
+        reported = sog[i + 1]
+        if silent[i]:
+            kind.append("AIS_GAP")
+            text.append(silence_text(silence_min, _as_text(micros[i])))
+        else:
+            kind.append(("GPS_SPOOFING" if change[i] > SPOOFING else "IMPOSSIBLE_SPEED") if over[i] else "SUDDEN_ACCELERATION")
+            text.append(f"calculated_speed={knots[i]:.1f}kn reported_sog={None if np.isnan(reported) else float(reported)}kn speed_change={change[i]:.1f}kn")
+        severity.append("medium" if kind[-1] in ("SUDDEN_ACCELERATION", "AIS_GAP") else "high")
+        place.append(i if silent[i] else i + 1)
     return pd.DataFrame({
-        "alert_type": kind[hit],
-        "severity": np.where(np.isin(kind[hit], ["SUDDEN_ACCELERATION", "AIS_GAP"]), "medium", "high"),
-        "description": text,
-        "latitude": np.where(silent, prev["lat"], here["lat"])[hit],
-        "longitude": np.where(silent, prev["lon"], here["lon"])[hit],
+        "alert_type": kind, "severity": severity, "description": text, "latitude": lat[place] if place else lat[:0],
+        "longitude": lon[place] if place else lon[:0],
     })
 
 
@@ -96,7 +102,7 @@ def vessel_rule(timeout_min: float, arrival_order: bool, event_time: bool = Fals
     """The state function: one call per vessel and micro-batch, and one when its timer runs out.
 
     Frames come in time order (or as they arrived, with ``arrival_order``) and are looked at one by one: what is held
-    of a vessel is one frame and its last position.
+    of a vessel is one frame and its last position. The state is read and written once for each call.
     """
     columns = schemas.names(schemas.ALERTS)
     timeout_ms = timeout_min * 60 * 1000
@@ -118,33 +124,31 @@ def vessel_rule(timeout_min: float, arrival_order: bool, event_time: bool = Fals
         if state.hasTimedOut:
             yield from gap(mmsi, state)
             return
-        touched, reached = False, None
+        last, reached, touched = None, None, False
+        known = state.get if state.exists else None
+        if known is not None:
+            last = (known[0], known[1], np.nan if known[2] is None else known[2], _as_micros(known[3]))
         for frame in frames:
-            if not arrival_order and len(frame):
-                if not frame["micros"].is_monotonic_increasing or (reached is not None and frame["micros"].iloc[0] < reached):
+            track = [frame[c].to_numpy(kind) for c, kind in TRACK.items()]
+            micros = track[3]
+            if not arrival_order and len(micros):
+                if (np.diff(micros) < 0).any() or (reached is not None and micros[0] < reached):
                     raise RuntimeError("the rows of a vessel did not come in time order")
-                reached = frame["micros"].iloc[-1]
-            if state.exists:
-                lat, lon, sog, seen = state.get
-                last = {"lat": lat, "lon": lon, "sog": np.nan if sog is None else sog, "micros": _as_micros(seen)}
-                if not arrival_order:
-                    frame = frame[frame["micros"] > last["micros"]]
-                if not len(frame):
-                    continue
-                frame = pd.concat([pd.DataFrame([last]), frame[["lat", "lon", "sog", "micros"]]], ignore_index=True)
-            if not len(frame):
+                reached = micros[-1]
+                if last is not None:
+                    newer = micros > last[3]
+                    track = [c[newer] for c in track]
+            if not len(track[0]):
                 continue
-            frame = frame.astype({"lat": "float64", "lon": "float64", "sog": "float64"})
-            end = frame.iloc[-1]
-            state.update((
-                float(end["lat"]), float(end["lon"]), None if np.isnan(end["sog"]) else float(end["sog"]),
-                _as_text(end["micros"]),
-            ))
-            touched = True
-            alerts = score_track(frame, timeout_min if event_time else None)
+            if last is not None:
+                track = [np.concatenate([np.array([v], c.dtype), c]) for v, c in zip(last, track)]
+            last, touched = tuple(c[-1] for c in track), True
+            alerts = _scored(*track, timeout_min if event_time else None)
             if len(alerts):
                 yield finish(mmsi, alerts)
         if touched:
+            lat, lon, sog, seen = last
+            state.update((float(lat), float(lon), None if np.isnan(sog) else float(sog), _as_text(seen)))
             state.setTimeoutDuration(timeout_ms)
 
     return on_vessel
