@@ -16,16 +16,22 @@ ROWS_PER_FILE = 5_000_000
 
 
 def write_idempotent(
-    df: DataFrame, path: str, epoch_id: int, partition_by: Sequence[str] = (), rows_per_file: int = ROWS_PER_FILE
+    df: DataFrame, path: str, epoch_id: int, partition_by: Sequence[str] = (), rows_per_file: int = ROWS_PER_FILE,
+    ranges_by: Sequence[str] = (),
 ) -> None:
     """Write one micro-batch into its own ``<day>/batch=<epoch>`` folders, replacing what an earlier try left there.
 
     A batch that is processed again holds the same rows in the same days, so it replaces exactly its own folders. The
     day comes first in the path: readers prune by day, and a closed day can be compacted. Tasks get even shares of
     the rows: a small batch makes few files, a large one as many tasks and files as it needs.
+
+    With ``ranges_by``, columns that the folders follow in order, the shares are ranges of these: a task writes to few
+    of many folders, and there are about as many files as tasks and folders, not as many as their product. The bounds
+    come from a sample, so the rows should be persisted.
     """
+    spread = df.repartitionByRange(*ranges_by) if ranges_by else df.hint("rebalance")
     (
-        df.withColumn("batch", F.lit(str(epoch_id))).hint("rebalance")
+        spread.withColumn("batch", F.lit(str(epoch_id)))
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", rows_per_file)
         .partitionBy(*partition_by, "batch").parquet(path)
     )

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wakeline import schemas
+from wakeline.operators.sequence import ROWS_PER_WINDOW, WHOLE_KEYS
 from wakeline.plans.bronze import bronze_metadata, bronze_positions, metadata_faults, position_faults
 from wakeline.plans.silver import silver_metadata, silver_positions
 from wakeline.sources import sinks
@@ -53,29 +54,32 @@ def audit(
         layer, epoch_id, batch_name(epoch_id), seen["rows_read"], written, 0 if copies else dropped, others,
         dropped if copies else 0, *[seen.get(reason, 0) for reason in REASONS], int((time.monotonic() - started) * 1000),
     )
+    # A frame made from Python rows would start a Python worker for this one.
+    cells = [F.lit(value).cast(kind).alias(name) for value, (name, kind) in zip(row, schemas.AUDIT[:-1], strict=True)]
     (
-        spark.createDataFrame([row], schemas.ddl(schemas.AUDIT[:-1]))
-        .withColumn("finished_at", F.current_timestamp())
-        .coalesce(1).write.mode("overwrite").parquet(f"{path}/layer_epoch={layer}-{epoch_id}")
+        spark.range(0, 1, 1, 1).select(*cells, F.current_timestamp().alias("finished_at"))
+        .write.mode("overwrite").parquet(f"{path}/layer_epoch={layer}-{epoch_id}")
     )
 
 
 def _fan_out(
-    transform: Callable[[DataFrame, str], DataFrame], layer: str, archive: str, partition_by: list[str],
+    transform: Callable[..., DataFrame], layer: str, archive: str, partition_by: list[str],
     publish: Publish | None, audit_path: str | None, by_clock: str | None = None, kind: str | None = None,
-    faults: dict[str, Column] | None = None, read_twice: bool = False,
+    faults: dict[str, Column] | None = None, read_twice: bool = False, ranges_by: Sequence[str] = (),
 ) -> BatchFn:
     """With ``by_clock``, a column that holds the time of the first try, the rows' day comes from it too. ``kind`` is
     the message type that the step takes from a mixed feed, ``faults`` tells why such messages are rejected.
 
-    What is read and what is written is counted by observations in the pass that writes the archive.
+    What is read and what is written is counted by observations in the pass that writes the archive. With ``read_twice``
+    the batch is persisted and its rows are counted first; ``transform`` takes their number as a third argument.
     """
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        started, spark = time.monotonic(), batch.sparkSession
+        started, spark, known = time.monotonic(), batch.sparkSession, ()
         if read_twice:
             batch = batch.persist()
-            if batch.isEmpty():  # a batch that only moves the watermark
+            known = (batch.count(),)
+            if known == (0,):  # a batch that only moves the watermark
                 batch.unpersist()
                 return
         read, done = Observation(), Observation()
@@ -83,7 +87,7 @@ def _fan_out(
         if kind is not None:
             counts.append(F.count_if(F.col("MessageType") != kind).alias("rows_other"))
         counts += [F.count_if(test).alias(reason) for reason, test in (faults or {}).items()]
-        rows = transform(batch.observe(read, *counts), batch_name(epoch_id))
+        rows = transform(batch.observe(read, *counts), batch_name(epoch_id), *known)
         if by_clock is not None:
             clock = F.lit(sinks.first_clock(spark, archive, epoch_id).isoformat(sep=" ")).cast("timestamp")
             rows = rows.withColumns({by_clock: clock, "partition_date": F.to_date(clock)})
@@ -91,7 +95,8 @@ def _fan_out(
         if publish is not None:
             rows = rows.persist()  # both sinks get the very same rows and clock stamps
         try:
-            sinks.write_idempotent(rows, archive, epoch_id, partition_by)
+            # Taking a sample runs the plan: only persisted rows are observed once.
+            sinks.write_idempotent(rows, archive, epoch_id, partition_by, ranges_by=ranges_by if publish is not None else ())
             if publish is not None:
                 publish(rows)
             if audit_path is not None:
@@ -110,6 +115,7 @@ def bronze_batch(archive: str, publish: Publish | None = None, audit_path: str |
     return _fan_out(
         lambda batch, name: bronze_positions(batch, name, **lineage), "bronze_positions", archive,
         ["partition_date", "partition_hour"], publish, audit_path, kind="PositionReport", faults=position_faults(),
+        ranges_by=["time_utc", "MMSI"],
     )
 
 
@@ -125,8 +131,9 @@ def bronze_metadata_batch(archive: str, publish: Publish | None = None, audit_pa
 def silver_batch(table: str, audit_path: str | None = None) -> BatchFn:
     """Bronze rows of one micro-batch -> silver: de-duplicated and compared within the batch."""
 
-    def transform(batch: DataFrame, name: str) -> DataFrame:
-        rows = silver_positions(batch, scope="batch")
+    def transform(batch: DataFrame, name: str, count: int) -> DataFrame:
+        # No vessel has more rows than the batch: only a large one is counted by vessel.
+        rows = silver_positions(batch, scope="batch", layout=WHOLE_KEYS if count <= ROWS_PER_WINDOW else None)
         return rows.withColumns({
             "_silver_batch_id": F.lit(name), "partition_date": F.to_date("event_timestamp"),
         })
