@@ -1,5 +1,6 @@
 """Operators 1 and 10 against the tokenizer libraries."""
 
+import sys
 import zlib
 
 import numpy as np
@@ -58,6 +59,52 @@ def test_replay_with_merges_that_enable_lower_ranks():
     check()
 
 
+@pytest.mark.parametrize("long", [0, 3, 256])
+def test_long_words_rank_by_rank_and_short_ones_side_by_side(ranks, library, monkeypatch, long):
+    monkeypatch.setattr(bpe, "LONG", long)
+    monkeypatch.setattr(bpe, "BAND", 4)
+    monkeypatch.setattr(bpe, "BLOCK_BYTES", 60)
+    replay = bpe.MergeReplay(ranks)
+    odd_words = ["a" * 300, " " * 700, "ab" * 150, "日本語" * 90, "e\u0301" * 40, "x", "\x00\x00\x00", "0" * 257, "Zé" * 85 + "z"]
+
+    @settings(max_examples=100, deadline=None)
+    @given(st.lists(st.one_of(st.text(min_size=1, max_size=30), st.text("aeinrst", min_size=1, max_size=400),
+                              st.sampled_from(odd_words)), max_size=8))
+    def check(words):
+        ids, counts = replay.encode([w.encode() for w in words])
+        got = [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] if words else []
+        assert got == [library._core_bpe.encode_single_piece(w.encode()) for w in words]
+
+    check()
+
+
+def test_pairs_lead_to_every_token_and_to_nothing_else(ranks):
+    pairs = bpe.Pairs(ranks)
+    some = np.random.default_rng(1).integers(0, len(ranks), (2, 50_000))
+    token = {rank: t for t, rank in ranks.items()}
+    want = [ranks.get(token[a] + token[b], -1) for a, b in some.T.tolist()]
+    assert pairs.merge(some[0], some[1]).tolist() == want
+    split = [(ranks[t[:1]], ranks[t[1:]], rank) for t, rank in ranks.items() if len(t) > 1 and t[1:] in ranks]
+    left, right, merged = np.array(split).T
+    assert (pairs.merge(left, right) == merged).all()
+    assert (pairs.merge(np.append(left, -1), np.append(np.full(len(left), -1), 97)) == -1).all()
+    assert bpe.Pairs({bytes([i]): i for i in range(256)}).merge(left, right).max() == -1
+
+
+def test_new_words_are_replayed_without_a_step_of_python_for_each(ranks, library):
+    letters = np.random.default_rng(2).choice(list("aeionrstlmdu"), (20_000, 9))
+    words = ["".join(w).encode() for w in letters]
+    replay, calls = bpe.MergeReplay(ranks), []
+    sys.setprofile(lambda frame, event, _: calls.append(event))
+    try:
+        ids, counts = replay.encode(words)
+    finally:
+        sys.setprofile(None)
+    assert len(calls) < len(words)
+    for word, part in list(zip(words, np.split(ids, np.cumsum(counts)[:-1])))[::50]:
+        assert part.tolist() == library._core_bpe.encode_single_piece(word)
+
+
 def test_op1_on_the_table_and_odd_rows(spark, odd, none, library):
     for docs in (table(spark, SMALL, "documents"), odd):
         rows = bpe.decode(bpe.encode(docs)).select("text", "ids", "decoded").collect()

@@ -19,7 +19,9 @@ from wakeline.llm.common import put, quoted, table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 #: Bytes whose new words are replayed together, words a worker remembers from earlier blocks, and pairs it remembers.
-BLOCK_BYTES, REMEMBERED, PAIRS = 1_000_000, 100_000, 300_000
+BLOCK_BYTES, REMEMBERED, PAIRS = 1_000_000, 200_000, 300_000
+#: Entries that are taken out of the index together at least, and bytes up to which a word takes part in that.
+BAND, LONG = 4_096, 256
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -27,14 +29,60 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-class MergeReplay:
-    """Applies the merges of a rank table to many words at once, in rank order."""
+#: Two numbers below WIDE = 1 << HALF are kept as one: a pair of tokens, or a rank and a slot.
+HALF = 32
+WIDE = 1 << HALF
+
 
-    #: Pairs are remembered as left * WIDE + right.
-    WIDE = 1 << 32
+class Pairs:
+    """All pairs of tokens that merge and what they merge to, in an open hash table of arrays."""
 
     def __init__(self, ranks: dict[bytes, int]):
+        left, right, merged = [], [], []
+        for token, rank in ranks.items():
+            for cut in range(1, len(token)):
+                a, b = ranks.get(token[:cut]), ranks.get(token[cut:])
+                if a is not None and b is not None:
+                    left.append(a)
+                    right.append(b)
+                    merged.append(rank)
+        keys = np.array(left, np.int64) * WIDE + np.array(right, np.int64)
+        bits = (4 * len(keys) + 16).bit_length()
+        self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys = np.full(1 << bits, -1, np.int64)
+        self.merged = np.full(1 << bits, -1, np.int64)
+        at, todo = self.places(keys), np.arange(len(keys))
+        while len(todo):
+            free = todo[self.keys[at[todo]] < 0]
+            self.keys[at[free]] = keys[free]
+            todo = todo[self.keys[at[todo]] != keys[todo]]
+            at[todo] = (at[todo] + 1) & self.last
+        self.merged[at] = merged
+
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).view(np.int64)
+
+    def merge(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The token that each pair merges to, -1 if there is none."""
+        keys = left * WIDE + right
+        at = self.places(keys)
+        held = self.keys[at]
+        found = np.where(held == keys, self.merged[at], -1)
+        todo = np.flatnonzero((held != keys) & (held >= 0))
+        while len(todo):
+            at[todo] = (at[todo] + 1) & self.last
+            held = self.keys[at[todo]]
+            found[todo] = np.where(held == keys[todo], self.merged[at[todo]], -1)
+            todo = todo[(held != keys[todo]) & (held >= 0)]
+        return found
+
+
+class MergeReplay:
+    """Applies the merges of a rank table to many words at once, in rank order."""
+
+    def __init__(self, ranks: dict[bytes, int], merging: Pairs | None = None):
         self.ranks = ranks
+        self.merging = merging or Pairs(ranks)
         self.token = {rank: token for token, rank in ranks.items()}
         self.single = np.array([ranks[bytes([b])] for b in range(256)])
         self.of_bytes = np.array([[ranks.get(bytes([a, b]), -1) for b in range(256)] for a in range(256)])
@@ -44,12 +92,84 @@ class MergeReplay:
         """The token that two neighbours merge to, -1 if there is none."""
         if len(self.pairs) > PAIRS:
             self.pairs.clear()
-        found = self.pairs[left * self.WIDE + right] = self.ranks.get(self.token[left] + self.token[right], -1)
+        found = self.pairs[left * WIDE + right] = self.ranks.get(self.token[left] + self.token[right], -1)
         return found
 
     def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The tokens of all words one after the other, and the number of tokens of each word.
 
+        Words of up to LONG bytes are replayed side by side, longer ones rank by rank: a word takes one merge of each
+        step that it shares with others, so a long one would keep them waiting.
+        """
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        short = size <= LONG
+        parts = [np.flatnonzero(~short)] + [np.flatnonzero(short & (part == p)) for part in [np.cumsum(size) // BLOCK_BYTES]
+                                            for p in np.unique(part)]
+        ids, length, begin, done = [np.zeros(0, np.int32)], np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), 0
+        for n, part in enumerate(parts):
+            if len(part):
+                found, counts = (self.side_by_side if n else self.by_rank)([words[i] for i in part.tolist()])
+                ids.append(found)
+                length[part], begin[part] = counts, done + np.cumsum(counts) - counts
+                done += len(found)
+        return gather(np.concatenate(ids), begin, length), length
+
+    def side_by_side(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of bounded length, a merge of every word at a time.
+
+        The index holds rank * WIDE + slot for each pair that merges, so it leads from a pair to its slots, lowest rank
+        and leftmost slot first. Its lowest part, of whole ranks, is taken out, and of that part each word's first entry
+        is merged in each step; words do not touch, so their order does not matter. Only the two pairs at each merged
+        slot are entered anew, in the part at hand if they are low enough, whatever rank was merged before. An entry
+        whose pair has changed is passed by. The slot after the last stands for none.
+        """
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        raw = np.frombuffer(b"".join(words), np.uint8)
+        count, ends = len(raw), np.cumsum(size)
+        word = np.repeat(np.arange(len(words)), size)
+        tokens = np.append(self.single[raw], -1)
+        first = np.append(np.diff(word, prepend=-1) != 0, True)
+        before = np.where(first, count, np.arange(count + 1) - 1)
+        after = np.append(np.where(first[1:], count, np.arange(count) + 1), count)
+        merged = np.full(count + 1, -1, np.int64)
+        inner = np.flatnonzero(~first[1:])
+        merged[inner] = self.of_bytes[raw[inner], raw[inner + 1]]
+        slots = np.flatnonzero(merged >= 0)
+        index = merged[slots] * WIDE + slots
+        none = np.iinfo(np.int64).max
+        least = np.full(len(words), none)
+        while len(index):
+            most = min(len(index) - 1, max(len(index) // 4, BAND))
+            limit = ((np.partition(index, most)[most] >> HALF) + 1) << HALF
+            taken = index < limit
+            part, later = index[taken], [index[~taken]]
+            while len(part):
+                slot = part & (WIDE - 1)
+                live = merged[slot] == part >> HALF
+                part, owner = part[live], word[slot[live]]
+                np.minimum.at(least, owner, part)
+                lowest = least[owner] == part
+                least[owner] = none
+                now, part = part[lowest], part[~lowest]
+                rank, slot = now >> HALF, now & (WIDE - 1)
+                right, leads = after[slot], before[slot]
+                follows = after[right]
+                tokens[slot], tokens[right], merged[right] = rank, -1, -1
+                after[slot], before[follows] = follows, slot
+                here, there = self.merging.merge(rank, tokens[follows]), self.merging.merge(tokens[leads], rank)
+                merged[slot], merged[leads] = here, there
+                entered = np.concatenate([(here * WIDE + slot)[here >= 0], (there * WIDE + leads)[there >= 0]])
+                taken = entered < limit
+                later.append(entered[~taken])
+                part = np.concatenate([part, entered[taken]])
+            index = np.concatenate(later)
+        left = tokens[:count] >= 0
+        per_word = np.concatenate([[0], np.cumsum(left)])
+        return tokens[:count][left].astype(np.int32), per_word[ends] - per_word[ends - size]
+
+    def by_rank(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of any length, a rank at a time.
+
         All words lie in one row of slots; ``waiting`` maps each pair that occurs (by the token it merges to) to the
         slots where it begins. The lowest rank is taken out, its slots are merged from left to right, and only the
         two pairs at each merged slot are entered anew. An entry that a neighbouring merge has outdated is passed by.
@@ -76,7 +196,7 @@ class MergeReplay:
         heap = list(waiting)
         heapq.heapify(heap)
 
-        known, wide, rank = self.pairs.get, self.WIDE, self.rank
+        known, wide, rank = self.pairs.get, WIDE, self.rank
         while heap:
             r = heapq.heappop(heap)
             here = waiting.pop(r)
@@ -220,11 +340,12 @@ def encode(docs: DataFrame, text: str = "text", output: str = "ids", ranks: str
     Null and empty texts give an empty array. Repeated rows are encoded each. An empty table gives no rows. A column
     of docs that has the output's name gives way to it.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks))
+    by_token = read_ranks(ranks)
+    shared = docs.sparkSession.sparkContext.broadcast((by_token, Pairs(by_token)))
 
     @F.arrow_udf("array<int>")
     def to_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        words, find = WordTable(MergeReplay(shared.value)), regex.compile(pattern).findall
+        words, find = WordTable(MergeReplay(*shared.value)), regex.compile(pattern).findall
         for batch in batches:
             ids, counts = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
             sizes = pc.fill_null(pc.binary_length(batch), 0).to_numpy(zero_copy_only=False).astype(np.int64)
