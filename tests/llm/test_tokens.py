@@ -157,6 +157,36 @@ def test_word_ids_match_library(tokenizer):
     assert known.ids(places).tolist() == tokenizer.encode(letters, add_special_tokens=False).ids
 
 
+def test_letters_with_punctuation_behind_need_no_splitting(tokenizer):
+    """All runs of two ASCII marks behind plain and accented words, without a call of the splitter or of translate."""
+    marks = [chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum()]
+    words = [stem + a + b for stem in ("word", "Éçole", "s", "ŉß") for a in marks for b in ["", *marks, "'###"]]
+    known, called = packing.WordIds(open(packing.VOCABULARY, encoding="utf-8").read()), set()
+    known.units = packing.Units(known.tokenizer)
+    places = known.places(words)
+    sys.setprofile(lambda frame, event, of: called.add(of.__name__) if event == "c_call" else None)
+    try:
+        known.learn()
+    finally:
+        sys.setprofile(None)
+    assert not called & {"pre_tokenize_str", "normalize_str", "translate"}
+    assert known.ids(places).tolist() == tokenizer.encode(" ".join(words), add_special_tokens=False).ids
+
+
+def test_units_are_kept_between_tasks_and_forgotten_when_too_many(tokenizer, monkeypatch):
+    vocabulary = open(packing.VOCABULARY, encoding="utf-8").read()
+    monkeypatch.setattr(packing, "KEPT", 5)
+    for words in (["Some", "words,", "çà!!", "1st", (49407,), "don't"], ["words", "Some.", "other", "ÇÀ", (49406,)], [(49407,), "1st"]):
+        known = packing.WordIds(vocabulary)
+        places = known.places(words)
+        known.learn()
+        want = [i for w in words for i in (w if isinstance(w, tuple) else tokenizer.encode(w, add_special_tokens=False).ids)]
+        assert known.ids(places).tolist() == want
+        assert known.units is packing.worker_memory(vocabulary)
+        known.units.trim()
+        assert len(known.units) == len(known.units.size) <= 5
+
+
 def check_packed(rows, texts, tokenizer, capacity=packing.CAPACITY):
     """Every id in exactly one piece, offsets gapless, no sequence too long; returns tokens and padded length."""
     want = [np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + [packing.END], "<u4") for t in texts]

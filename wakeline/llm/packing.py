@@ -6,8 +6,10 @@ import heapq
 import re
 import sys
 import types
+from codecs import charmap_decode
 from collections.abc import Iterator
 from itertools import chain, islice
+from string import punctuation
 
 import numpy as np
 import pandas as pd
@@ -33,7 +35,8 @@ BLOCK_BYTES, REMEMBERED, KEPT = 2_000_000, 300_000, 120_000
 LAST_LATIN = "\u017f"
 #: How byte-level tokenizers show a byte: as itself where it prints, else as the next letter from 256 on.
 _PRINTS = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-SHOWN = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PRINTS)}
+_OTHERS = [b for b in range(256) if b not in _PRINTS]
+SHOWN = "".join(chr(256 + _OTHERS.index(b) if b in _OTHERS else b) for b in range(256))
 
 
 def differencing(sizes: np.ndarray, ways: int) -> np.ndarray:
@@ -123,15 +126,55 @@ def words_of(text: str) -> list[str]:
     return text.split()
 
 
-def worker_memory(vocabulary: str) -> tuple[Tokenizer, dict[str, tuple[int, ...]]]:
+class Units(dict):
+    """The place of each unit that the tokenizer splits words into, and the ids of the units by place.
+
+    A unit is written in the letters of byte-level tokenizers, or it is a tuple of ids that stands for these.
+    """
+
+    def __init__(self, tokenizer: Tokenizer):
+        super().__init__()
+        self.tokenizer = tokenizer
+        self.fresh: list[str | tuple[int, ...]] = []
+        self.flat, self.begin, self.size = np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def __missing__(self, unit: str | tuple[int, ...]) -> int:
+        self[unit] = place = len(self)
+        self.fresh.append(unit)
+        return place
+
+    def learn(self) -> None:
+        """Have the model tokenise the units seen since the last time."""
+        tokenize = self.tokenizer.model.tokenize
+        found = [unit if isinstance(unit, tuple) else [t.id for t in tokenize(unit)] for unit in self.fresh]
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(found), "<u4", int(size.sum()))])
+        self.fresh = []
+
+    def trim(self) -> None:
+        """Keep the units that were met first, which are the frequent ones, if there are too many."""
+        if len(self) > KEPT:
+            kept = list(islice(self.items(), KEPT))
+            self.clear()
+            self.update(kept)
+            self.begin, self.size = self.begin[:KEPT], self.size[:KEPT]
+            self.flat = self.flat[:int(self.size.sum())]
+
+    def ids(self, places: np.ndarray) -> np.ndarray:
+        return gather(self.flat, self.begin[places], self.size[places])
+
+
+def worker_memory(vocabulary: str) -> Units:
     """The tokenizer and the units it has met, kept by a Python worker from task to task.
 
     A unit's ids depend on the vocabulary alone, so what is remembered never changes a result.
     """
     memory = sys.modules.setdefault("packing_worker_memory", types.ModuleType("packing_worker_memory")).__dict__
     if memory.get("vocabulary") != vocabulary:
-        memory.update(vocabulary=vocabulary, tokenizer=Tokenizer.from_str(vocabulary), units={})
-    return memory["tokenizer"], memory["units"]
+        memory.update(vocabulary=vocabulary, units=Units(Tokenizer.from_str(vocabulary)))
+    return memory["units"]
 
 
 class AddedTokens:
@@ -164,7 +207,8 @@ class WordIds(dict):
 
     def __init__(self, vocabulary: str):
         super().__init__()
-        self.tokenizer, self.by_unit = worker_memory(vocabulary)
+        self.units = worker_memory(vocabulary)
+        self.tokenizer = self.units.tokenizer
         self.fresh: list[str | tuple[int]] = []
         self.flat, self.begin, self.size = np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
@@ -180,14 +224,7 @@ class WordIds(dict):
         self.update(kept)
         self.begin, self.size = self.begin[:len(kept)], self.size[:len(kept)]
         self.flat = self.flat[:int(self.size.sum())]
-        self.trim()
-
-    def trim(self) -> None:
-        """Leave to the worker's next task no more than a bounded number of units."""
-        if len(self.by_unit) > KEPT:
-            kept = list(islice(self.by_unit.items(), KEPT))
-            self.by_unit.clear()
-            self.by_unit.update(kept)
+        self.units.trim()
 
     def places(self, words: list[str | tuple[int]]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
@@ -195,38 +232,33 @@ class WordIds(dict):
     def learn(self) -> None:
         """Tokenise the words seen since the last time, by the tokenizer's own three steps.
 
-        A word of Latin letters with stops behind it needs no splitting by the tokenizer: the letters, in lower case,
-        are one unit, the stops another; composed letters are in normal form already. All other words are normalised
-        and split by it, joined by blanks.
+        A word of Latin letters with ASCII punctuation behind it needs no splitting by the tokenizer: the letters, in
+        lower case, are one unit, the punctuation another; composed letters are in normal form already. All other words
+        are normalised and split by it, joined by blanks.
         """
         if not self.fresh:
             return
-        model, known = self.tokenizer.model, self.by_unit
-        known_ids = known.get
-        found: list[tuple[int, ...]] = []
-        hard = []
-        for word in self.fresh:
+        units, at, count, hard = self.units, [], [], []
+        for n, word in enumerate(self.fresh):
             if isinstance(word, tuple):
-                found.append(word)
+                at.append(units[word])
+                count.append(1)
                 continue
-            stem = word.rstrip(".,;:!?")
+            stem = word.rstrip(punctuation)
             unit = stem.lower()
             if not (stem.isalpha() and (stem.isascii() or max(stem) <= LAST_LATIN and unit.isalpha())):
-                hard.append(len(found))
-                found.append(())
+                hard.append(n)
+                count.append(0)
                 continue
             if not unit.isascii():
-                unit = unit.encode().decode("latin-1").translate(SHOWN)
-            ids = known_ids(unit)
-            if ids is None:
-                ids = known[unit] = tuple([t.id for t in model.tokenize(unit)])
+                unit = charmap_decode(unit.encode(), "strict", SHOWN)[0]
+            at.append(units[unit])
             if len(stem) < len(word):
-                stops = word[len(stem):]
-                more = known_ids(stops)
-                if more is None:
-                    more = known[stops] = tuple([t.id for t in model.tokenize(stops)])
-                ids = ids + more
-            found.append(ids)
+                at.append(units[word[len(stem):]])
+                count.append(2)
+            else:
+                count.append(1)
+        owner = np.repeat(np.arange(len(count)), count)
         if hard:
             joined = self.tokenizer.normalizer.normalize_str(" ".join([self.fresh[i] for i in hard]))
             parts = joined.split(" ")
@@ -234,17 +266,16 @@ class WordIds(dict):
                 raise ValueError("normalising made or removed a blank inside a word")
             ends = np.cumsum(np.fromiter((len(w) + 1 for w in parts), np.int64, len(parts)))
             split = self.tokenizer.pre_tokenizer.pre_tokenize_str(joined)
-            at = np.searchsorted(ends, np.fromiter((o[0] for _, o in split), np.int64, len(split)), side="right")
-            for (unit, _), k in zip(split, at.tolist()):
-                ids = known_ids(unit)
-                if ids is None:
-                    ids = known[unit] = tuple([t.id for t in model.tokenize(unit)])
-                i = hard[k]
-                found[i] = found[i] + ids
-        size = np.fromiter(map(len, found), np.int64, len(found))
+            begins = np.fromiter((o[0] for _, o in split), np.int64, len(split))
+            at += [units[unit] for unit, _ in split]
+            owner = np.concatenate([owner, np.array(hard)[np.searchsorted(ends, begins, side="right")]])
+        units.learn()
+        order = np.argsort(owner, kind="stable")
+        at, owner = np.array(at, np.int64)[order], owner[order]
+        size = np.bincount(owner, weights=units.size[at], minlength=len(count)).astype(np.int64)
         self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(size) - size])
         self.size = np.concatenate([self.size, size])
-        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(found), "<u4", int(size.sum()))])
+        self.flat = np.concatenate([self.flat, units.ids(at)])
         self.fresh = []
 
     def ids(self, places: np.ndarray) -> np.ndarray:
@@ -305,7 +336,7 @@ def token_pieces(docs: DataFrame, text: str = "text", key: str = "doc_id", vocab
                     pa.array([part] * len(rows), pa.int32()), pa.array(befores, pa.int64()), keys.take(pa.array(at)),
                     pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()), pa.array(totals, pa.int64()),
                     pa.array(pieces, pa.binary())], names=["part", "before", "key", "start", "length", "doc_tokens", "ids"])
-        known.trim()
+        known.units.trim()
 
     return docs.select(F.col(quoted(key)).alias("key"), F.col(quoted(text)).alias("text")).mapInArrow(cut, schema)
 
