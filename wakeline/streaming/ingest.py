@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -62,6 +63,18 @@ def audit(
     )
 
 
+def observed(observation: Observation, rows: DataFrame, counts: Sequence[Column]) -> dict[str, int]:
+    """What ``observation`` saw, or ``counts`` taken from ``rows`` in a pass of their own.
+
+    If no row is left to write, adaptive execution cuts the steps before out of the plan, and what they observed is lost.
+    """
+    try:
+        seen = observation.get
+    except Py4JJavaError:  # the lost row has no schema to be read by
+        seen = {}
+    return seen or rows.agg(*counts).first().asDict()
+
+
 def _fan_out(
     transform: Callable[..., DataFrame], layer: str, archive: str, partition_by: list[str],
     publish: Publish | None, audit_path: str | None, by_clock: str | None = None, kind: str | None = None,
@@ -70,8 +83,9 @@ def _fan_out(
     """With ``by_clock``, a column that holds the time of the first try, the rows' day comes from it too. ``kind`` is
     the message type that the step takes from a mixed feed, ``faults`` tells why such messages are rejected.
 
-    What is read and what is written is counted by observations in the pass that writes the archive. With ``read_twice``
-    the batch is persisted and its rows are counted first; ``transform`` takes their number as a third argument.
+    What is read and what is written is counted by observations in the pass that writes the archive; a batch that leaves
+    nothing to write may be counted in another pass. With ``read_twice`` the batch is persisted and its rows are counted
+    first; ``transform`` takes their number as a third argument.
     """
 
     def run(batch: DataFrame, epoch_id: int) -> None:
@@ -91,7 +105,8 @@ def _fan_out(
         if by_clock is not None:
             clock = F.lit(sinks.first_clock(spark, archive, epoch_id).isoformat(sep=" ")).cast("timestamp")
             rows = rows.withColumns({by_clock: clock, "partition_date": F.to_date(clock)})
-        rows = rows.observe(done, F.count(F.lit(1)).alias("rows_written"))
+        written = F.count(F.lit(1)).alias("rows_written")
+        rows = rows.observe(done, written)
         if publish is not None:
             rows = rows.persist()  # both sinks get the very same rows and clock stamps
         try:
@@ -101,7 +116,8 @@ def _fan_out(
                 publish(rows)
             if audit_path is not None:
                 copies = kind is None and by_clock is None
-                audit(spark, audit_path, layer, epoch_id, read.get, done.get["rows_written"], copies, started)
+                seen, out = observed(read, batch, counts), observed(done, rows, [written])
+                audit(spark, audit_path, layer, epoch_id, seen, out["rows_written"], copies, started)
         finally:
             rows.unpersist()
             batch.unpersist()
